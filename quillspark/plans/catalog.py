@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_series"]
+MODULES = ["q_series", "q_cleaning"]
 
 
 def registry() -> dict:

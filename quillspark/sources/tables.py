@@ -101,12 +101,25 @@ def _spark_sql_text(text: str) -> str:
     return text.replace('"Adj Close"', "`Adj Close`")
 
 
+_N_DOCS = "(SELECT count(*) AS n_docs FROM {documents})"
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Build a fixture view as a lazy DataFrame."""
+    """Build a fixture view as a lazy DataFrame.
+
+    The document count used as a join modulus is resolved first (a metadata-only count) and inlined as a
+    literal: left as a cross-joined subquery, Catalyst may push a filter that spans both join sides into
+    the join and lose the equi-join key, turning it into a nested-loop join.
+    """
+    text = _spark_sql_text(FIXTURES[name])
+    if _N_DOCS in text:
+        n = read_table(spark, sf_dir, "documents").count()
+        text = text.replace(_N_DOCS, f"(SELECT CAST({n} AS BIGINT) AS n_docs)")
     args = {}
-    for dep in _deps(name):
-        args[dep] = fixture(spark, sf_dir, dep) if dep in FIXTURES else read_table(spark, sf_dir, dep)
-    return spark.sql(_spark_sql_text(FIXTURES[name]), **args)
+    for dep in _PLACEHOLDER.findall(text):
+        if dep not in args:
+            args[dep] = fixture(spark, sf_dir, dep) if dep in FIXTURES else read_table(spark, sf_dir, dep)
+    return spark.sql(text, **args)
 
 
 def fixture_cte(*names: str) -> str:
