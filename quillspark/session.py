@@ -52,6 +52,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read it back.
+
+    Survives executor loss like a reliable checkpoint, and the re-read relation starts a fresh plan: a
+    checkpointed plan keeps its origin constraints, and iterative jobs would grow them round over round.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = checkpoint_dir(spark).rstrip("/") + f"/quill_tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
