@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
 from ..functions import text as tx
+from ..session import cut_lineage
 from . import ordered
 
 SEP = " <SEP> "
@@ -66,7 +67,8 @@ def tfidf(posts: DataFrame, day: str, order: Sequence[str], text: str = "text",
     Vocabulary: 2 <= df <= max_df * n_days, then the ``max_features`` terms of highest total count
     (ties: term). idf = ln((1 + n) / (1 + df)) + 1; weights are count * idf, L2-normalised per day.
     """
-    counts = _day_counts(posts, day, order, text, stop_words, bucket_rows)
+    # used three times below (document frequency, totals, weights): materialised once
+    counts = cut_lineage(_day_counts(posts, day, order, text, stop_words, bucket_rows))
     n_days = posts.select(day).distinct().agg(F.count(F.lit(1)).alias("_nd"))
     stats = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("total"))
     stats = stats.crossJoin(F.broadcast(n_days)).where(
@@ -214,6 +216,7 @@ def truncated_svd(weights: DataFrame, row: str, term: str, value: str, k: int =
     from pyspark.sql import Window
 
     spark = weights.sparkSession
+    weights = cut_lineage(weights.select(row, term, value))
     terms = weights.select(term).distinct()
     idx = terms.withColumn("_i", F.row_number().over(Window.orderBy(term)) - 1)
     n_terms = idx.count()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_series", "q_cleaning", "q_reports", "q_text", "q_graph"]
+MODULES = ["q_series", "q_cleaning", "q_reports", "q_text", "q_graph", "q_models"]
 
 
 def registry() -> dict:
