@@ -87,7 +87,10 @@ def knn(df: DataFrame, id_col: str, vec: str, k: int, metric: str = "cosine", th
         rows = np.repeat(np.arange(A.shape[0]), kk)
         cols = oid[part.ravel()]
         keep = np.isfinite(key[rows, cols])
-        return pd.DataFrame({"src": qi[rows][keep], "dst": ci[cols][keep], "score": s[rows, cols][keep]})
+        rows, cols = rows[keep], cols[keep]
+        # the expansion |a|^2 + |b|^2 - 2ab ranks well but cancels; report exact distances of the picks
+        score = s[rows, cols] if metric == "cosine" else np.linalg.norm(A[rows] - B[cols], axis=1)
+        return pd.DataFrame({"src": qi[rows], "dst": ci[cols], "score": score})
 
     cand = q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInPandas(
         block_topk, schema="src long, dst long, score double")
