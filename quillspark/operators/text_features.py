@@ -49,8 +49,9 @@ def word_tokens(c, stop_words: Sequence[str] = ()) -> Column:
     toks = F.regexp_extract_all(F.lower(F.coalesce(c if isinstance(c, Column) else F.col(c), F.lit(""))),
                                 F.lit(TOKEN_PATTERN), 0)
     if stop_words:
-        stops = _arr_lit(list(stop_words))
-        toks = F.filter(toks, lambda t: ~F.array_contains(stops, t))
+        # isin on a literal list becomes a hash InSet; array_contains would scan the list per token
+        stop_list = list(stop_words)
+        toks = F.filter(toks, lambda t: ~t.isin(stop_list))
     return toks
 
 
@@ -120,21 +121,21 @@ def sentiment_scores(posts: DataFrame, day: str, text: str = "text", lexicon: di
     """
     lex = lexicon or lx.SENTIMENT_LEXICON
     lex_map = F.create_map(*[x for k, v in sorted(lex.items()) for x in (F.lit(k), F.lit(float(v)))])
-    neg, up, down = _arr_lit(list(negations)), _arr_lit(list(boost_up)), _arr_lit(list(boost_down))
+    lex_keys, neg, up, down = sorted(lex), list(negations), list(boost_up), list(boost_down)
     # the token array is materialised as a column first: referenced inside the per-token lambda, an
     # inline expression would be re-evaluated for every token
     toks = F.col("_toks")
 
     def valence(t, i):
-        v = F.coalesce(F.try_element_at(lex_map, t), F.lit(0.0))
-        prev1 = F.when(i >= 1, F.try_element_at(toks, i))
+        # membership via isin (hash InSet); the map is read only for lexicon words
+        v = F.when(t.isin(lex_keys), F.try_element_at(lex_map, t)).otherwise(F.lit(0.0))
+        prev1 = F.coalesce(F.when(i >= 1, F.try_element_at(toks, i)), F.lit(""))
         sgn = F.signum(v)
-        v = (v + F.when(F.array_contains(up, F.coalesce(prev1, F.lit(""))) & (v != 0), sgn * lx.BOOST)
-               .when(F.array_contains(down, F.coalesce(prev1, F.lit(""))) & (v != 0), -sgn * lx.BOOST)
+        v = (v + F.when((v != 0) & prev1.isin(up), sgn * lx.BOOST)
+               .when((v != 0) & prev1.isin(down), -sgn * lx.BOOST)
                .otherwise(F.lit(0.0)))
-        negated = F.exists(F.slice(toks, F.greatest(i - 2, F.lit(1)), F.least(i, F.lit(3))),
-                           lambda p: F.array_contains(neg, p))
-        return F.when((i >= 1) & negated, v * lx.NEGATION_SCALAR).otherwise(v)
+        negated = F.exists(F.slice(toks, F.greatest(i - 2, F.lit(1)), F.least(i, F.lit(3))), lambda p: p.isin(neg))
+        return F.when((v != 0) & (i >= 1) & negated, v * lx.NEGATION_SCALAR).otherwise(v)
 
     s = F.aggregate(F.transform(toks, valence), F.lit(0.0), lambda acc, x: acc + x)
     per = posts.select(day, F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))),
@@ -192,8 +193,8 @@ def community_labels(docs: DataFrame, community: str, text: str = "text",
     """Most frequent label token per community (count desc, then token); fallback ``Comm {id}``.
     Tokens: maximal word runs made only of ASCII letters/underscore, length >= 2, lower-cased."""
     runs = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(LABEL_RUN_PATTERN), 0)
-    stops = _arr_lit(list(stop_words))
-    toks = F.filter(runs, lambda t: t.rlike(LABEL_TOKEN) & ~F.array_contains(stops, t))
+    stop_list = list(stop_words)
+    toks = F.filter(runs, lambda t: t.rlike(LABEL_TOKEN) & ~t.isin(stop_list))
     counts = docs.select(community, F.explode(toks).alias("term")).groupBy(community, "term").agg(F.count(F.lit(1)).alias("n"))
     # highest count, ties to the smaller term
     best = counts.groupBy(community).agg(F.min_by("term", F.struct(-F.col("n"), F.col("term"))).alias("label"))
