@@ -98,7 +98,7 @@ SQL_HOUR_PROFILE = _orig_cte() + "SELECT *, total_engagement + viewCount_sum AS
     """CASE WHEN abs(total_engagement) >= 1e9 THEN printf('%.1fB', round_even(total_engagement / 1e9, 1))
  WHEN abs(total_engagement) >= 1e6 THEN printf('%.1fM', round_even(total_engagement / 1e6, 1))
  WHEN abs(total_engagement) >= 1e3 THEN printf('%.1fK', round_even(total_engagement / 1e3, 1))
- ELSE printf('%.0f', round_even(total_engagement, 0)) END AS total_engagement_short
+ ELSE printf('%.0f', round_even(CAST(total_engagement AS DOUBLE), 0)) END AS total_engagement_short
 FROM (SELECT *, likeCount_sum + retweetCount_sum + replyCount_sum AS total_engagement FROM (""" + \
     _sql_profile("CAST(hour(timestamp) AS INTEGER)", "hour", HOUR_SPEC).replace("GROUP BY", "WHERE timestamp IS NOT NULL GROUP BY") + "))"
 
@@ -358,7 +358,7 @@ SELECT metric, total, round(mean, 6) AS mean, CASE WHEN gt = 0 THEN NULL ELSE ro
  CASE WHEN abs(total) >= 1e9 THEN printf('%.1fB', round_even(total / 1e9, 1))
  WHEN abs(total) >= 1e6 THEN printf('%.1fM', round_even(total / 1e6, 1))
  WHEN abs(total) >= 1e3 THEN printf('%.1fK', round_even(total / 1e3, 1))
- ELSE printf('%.0f', round_even(total, 0)) END AS total_short
+ ELSE printf('%.0f', round_even(CAST(total AS DOUBLE), 0)) END AS total_short
 FROM lg, g"""
 
 
