@@ -28,6 +28,13 @@ RT_EXTRACT = r"(?s)^RT" + WS_CLASS + "+@(" + WORD_CLASS + "+):" + WS_CLASS + "*(
 ALNUM_PATTERN = r"[a-zA-Z0-9]"
 # ------------------------------------------------------------------------------------------------------
 
+# The same whitespace set written with Java's White_Space property (verified equal to str.isspace over the
+# BMP): two character predicates instead of fifteen ranges, so Spark's regexes run faster. The explicit
+# class above stays for engines without Unicode properties (the DuckDB oracle).
+WS_JAVA = r"[\p{IsWhite_Space}\x{1C}-\x{1F}]"
+RT_PATTERN_J = RT_PATTERN.replace(WS_CLASS, WS_JAVA)
+RT_EXTRACT_J = RT_EXTRACT.replace(WS_CLASS, WS_JAVA)
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -35,12 +42,12 @@ def _c(c) -> Column:
 
 def py_strip(c) -> Column:
     """``str.strip()``: drop leading/trailing Python whitespace."""
-    return F.regexp_replace(_c(c), "^" + WS_CLASS + "+|" + WS_CLASS + "+$", "")
+    return F.regexp_replace(_c(c), "^" + WS_JAVA + "+|" + WS_JAVA + "+$", "")
 
 
 def collapse_ws(c) -> Column:
     """``' '.join(s.split())``: runs of whitespace become one blank, ends trimmed."""
-    return py_strip(F.regexp_replace(_c(c), WS_CLASS + "+", " "))
+    return py_strip(F.regexp_replace(_c(c), WS_JAVA + "+", " "))
 
 
 def drop_zero_width(c) -> Column:
@@ -64,7 +71,7 @@ def has_alnum(c) -> Column:
 
 
 def is_retweet_text(c) -> Column:
-    return F.coalesce(_c(c).rlike(RT_PATTERN), F.lit(False))
+    return F.coalesce(_c(c).rlike(RT_PATTERN_J), F.lit(False))
 
 
 def is_reply_text(c) -> Column:
@@ -74,8 +81,8 @@ def is_reply_text(c) -> Column:
 def retweet_parts(c) -> tuple[Column, Column]:
     """(author, content) of ``RT @author: content`` after a strip; both null when the text does not match."""
     s = py_strip(c)
-    author = F.regexp_extract(s, RT_EXTRACT, 1)
-    content = py_strip(F.regexp_extract(s, RT_EXTRACT, 2))
+    author = F.regexp_extract(s, RT_EXTRACT_J, 1)
+    content = py_strip(F.regexp_extract(s, RT_EXTRACT_J, 2))
     matched = author != F.lit("")
     return (F.when(matched, author), F.when(matched, content))
 
