@@ -139,19 +139,29 @@ def kept(tagged: DataFrame) -> DataFrame:
     return tagged.where(F.col("removed_by").isNull()).drop("removed_by")
 
 
-def waterfall(tagged: DataFrame, kind: str) -> DataFrame:
-    """A2 for one class: (kind, step_no, step, rows_in, removed, rows_out) in rule order, zero rows kept."""
-    spark = tagged.sparkSession
-    steps = spark.createDataFrame([(i + 1, s) for i, s in enumerate(STEPS[kind])], "step_no int, step string")
-    counts = tagged.groupBy(F.col("removed_by").alias("step")).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("total"))
-    removed = steps.join(counts, "step", "left").select("step_no", "step", F.coalesce("n", F.lit(0)).alias("removed"))
+def waterfall(tagged: dict, spark=None) -> DataFrame:
+    """A2: (kind, step_no, step, rows_in, removed, rows_out) for each class in rule order, zero rows kept.
+
+    ``tagged`` maps kind -> tagged frame. The tags of all classes are unioned and counted in one grouped
+    aggregate; the running totals are a window over at most a handful of step rows per class.
+    """
     from pyspark.sql import Window
-    w = Window.orderBy("step_no").rowsBetween(Window.unboundedPreceding, 0)
-    return (removed.crossJoin(total)
+    spark = spark or next(iter(tagged.values())).sparkSession
+    steps = spark.createDataFrame([(k, i + 1, s) for k in tagged for i, s in enumerate(STEPS[k])],
+                                  "kind string, step_no int, step string")
+    tags = None
+    for k, t in tagged.items():
+        part = t.select(F.lit(k).alias("kind"), F.col("removed_by").alias("step"))
+        tags = part if tags is None else tags.unionByName(part)
+    counts = tags.groupBy("kind", "step").agg(F.count(F.lit(1)).alias("n"))
+    total = counts.groupBy("kind").agg(F.sum("n").alias("total"))
+    removed = steps.join(counts, ["kind", "step"], "left").select(
+        "kind", "step_no", "step", F.coalesce("n", F.lit(0)).alias("removed"))
+    w = Window.partitionBy("kind").orderBy("step_no").rowsBetween(Window.unboundedPreceding, 0)
+    return (removed.join(total, "kind", "left")
             .withColumn("rows_out", F.coalesce(F.col("total"), F.lit(0)) - F.sum("removed").over(w))
             .withColumn("rows_in", F.col("rows_out") + F.col("removed"))
-            .select(F.lit(kind).alias("kind"), "step_no", "step", F.col("rows_in").cast("bigint"),
+            .select("kind", "step_no", "step", F.col("rows_in").cast("bigint"),
                     F.col("removed").cast("bigint"), F.col("rows_out").cast("bigint")))
 
 

@@ -163,9 +163,11 @@ def hash_embeddings(tokens: DataFrame, key: str, tok: str = "tok", dim: int = 64
     """T4 default encoder: signed feature hashing of word tokens, L2-normalised, ``dim`` floats per key.
     Bucket = h mod dim, sign = + when (h div dim) is even. A learned encoder can replace it through
     ``encode_with`` (mapInPandas)."""
-    h = poly_hash(F.col(tok))
-    contrib = tokens.select(key, (h % dim).cast("int").alias("d"),
-                            F.when(F.floor(h / dim) % 2 == 0, 1.0).otherwise(-1.0).alias("s"))
+    # count each (key, token) first (combined map-side), then hash once per distinct pair
+    tf_ = tokens.groupBy(key, F.col(tok).alias("_tok")).agg(F.count(F.lit(1)).alias("_n"))
+    h = poly_hash(F.col("_tok"))
+    contrib = tf_.select(key, (h % dim).cast("int").alias("d"),
+                         (F.when(F.floor(h / dim) % 2 == 0, 1.0).otherwise(-1.0) * F.col("_n")).alias("s"))
     sums = contrib.groupBy(key, "d").agg(F.sum("s").alias("v"))
     norm = sums.groupBy(key).agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("_n"))
     v = sums.join(norm, key).select(key, "d", F.when(F.col("_n") > 0, F.col("v") / F.col("_n")).otherwise(0.0).alias("v"))

@@ -10,6 +10,7 @@ from ..functions import numeric as nf
 from ..functions import text as tx
 from ..operators import cleaning as cl
 from . import sqlfrag as S
+from ..session import cut_lineage
 from .common import COUNT_COLS, fixture, fixture_cte, r6
 
 CNT = ", ".join(COUNT_COLS)
@@ -23,8 +24,8 @@ def route_posts(spark, d):
     return routed(spark, d).select("row_id", "kind", "text", "timestamp", "text_length", *COUNT_COLS)
 
 
-def route_summary(spark, d):
-    c = cl.class_counts(routed(spark, d))
+def route_summary(spark, d, routed_df=None):
+    c = cl.class_counts(routed_df if routed_df is not None else routed(spark, d))
     return c.select("kind", "n", "total", r6(nf.safe_pct("n", "total")).alias("share_pct"))
 
 
@@ -51,21 +52,22 @@ def clean_retweets(spark, d):
         "originalTextLength")
 
 
-def cleaning_waterfall(spark, d):
-    r = routed(spark, d)
-    parts = [cl.waterfall(cl.TAGGERS[k](r), k) for k in cl.KINDS]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+def cleaning_waterfall(spark, d, routed_df=None):
+    # three cleaning jobs branch off the routed posts: materialise them once in the checkpoint folder
+    r = routed_df if routed_df is not None else cut_lineage(routed(spark, d))
+    return cl.waterfall({k: cl.TAGGERS[k](r) for k in cl.KINDS})
 
 
 def cleaning_report(spark, d):
     """A24 + P14: split shares and per-class retention with a quality bucket."""
-    c = route_summary(spark, d)
+    r = cut_lineage(routed(spark, d))
+    c = route_summary(spark, d, r)
     split = c.select(F.concat(F.lit("split:"), "kind").alias("step"), F.col("total").alias("initial_count"),
                      F.col("n").alias("final_count"))
     total = c.agg(F.max("total").alias("t")).select(
         F.lit("split").alias("step"), F.coalesce("t", F.lit(0)).alias("initial_count"),
         F.coalesce("t", F.lit(0)).alias("final_count"))
-    wf = cleaning_waterfall(spark, d)
+    wf = cleaning_waterfall(spark, d, r)
     cleanrows = wf.groupBy("kind").agg(F.max("rows_in").alias("initial_count"), F.min("rows_out").alias("final_count")) \
         .select(F.concat(F.lit("clean:"), "kind").alias("step"), "initial_count", "final_count")
     rep = total.unionByName(split).unionByName(cleanrows)

@@ -76,3 +76,17 @@ def test_streaming_router_matches_batch(spark, scratch_dir):
     got = spark.read.parquet(out).groupBy("kind").count().collect()
     exp = qc.routed(spark, SF_SMALL).groupBy("kind").count().collect()
     assert sorted(got) == sorted(exp)
+
+
+def test_save_model_writes_model_metadata_and_features(spark, scratch_dir):
+    from pyspark.ml.regression import RandomForestRegressor
+    from quillspark.operators import regression as rg
+    df = spark.createDataFrame([(float(i), float(i % 7), float(i) * 2.0) for i in range(60)], "a double, b double, y double")
+    m = RandomForestRegressor(featuresCol="features", labelCol="y", numTrees=5, maxDepth=3, seed=1).fit(rg.assemble(df, ["a", "b"]))
+    out = os.path.join(scratch_dir, "best")
+    sk.save_model(spark, m, out, "Random Forest", {"test_r2": 0.9}, {"t_mean": 1.0, "t_std": 2.0}, ["a", "b"])
+    meta = spark.read.text(out + "/model_metadata").first()[0]
+    assert '"n_features": 2' in meta and "RandomForestRegressionModel" in meta
+    assert [r[0] for r in spark.read.option("header", True).csv(out + "/feature_columns").collect()] == ["a", "b"]
+    from pyspark.ml.regression import RandomForestRegressionModel
+    assert RandomForestRegressionModel.load(out + "/model").getNumTrees == 5
