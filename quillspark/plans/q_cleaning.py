@@ -38,6 +38,14 @@ def route_preview(spark, d, n: int = 3, seed: int = 0):
              .select("kind", "row_id", F.to_date("timestamp").alias("date"), tx.preview("text", 80).alias("preview")))
 
 
+def input_overview(spark, d):
+    """Per routed class, rows, first and last timestamp and texts missing after the stage re-read."""
+    r = routed(spark, d)
+    return r.groupBy("kind").agg(F.count(F.lit(1)).alias("n_rows"), F.min("timestamp").alias("first_ts"),
+                                 F.max("timestamp").alias("last_ts"),
+                                 F.count(F.when(tx.null_tokens("text").isNull(), 1)).alias("missing_text"))
+
+
 def clean_originals(spark, d):
     return cl.kept(cl.tag_originals(routed(spark, d))).select("row_id", "text", "timestamp", *COUNT_COLS, "text_length")
 
@@ -194,8 +202,12 @@ SQL_CLEAN_PRICES = fixture_cte("raw_prices") + """SELECT TRY_CAST(Date AS DATE)
  TRY_CAST(Close AS DOUBLE) AS Close, CAST(TRY_CAST(Volume AS DOUBLE) AS BIGINT) AS Volume
 FROM raw_prices WHERE pos <> 1"""
 
+SQL_INPUT_OVERVIEW = _with(_routed_sql()) + f"""SELECT kind, count(*) AS n_rows, min(timestamp) AS first_ts,
+ max(timestamp) AS last_ts, count(*) FILTER (WHERE ({S.null_tokens('text')}) IS NULL) AS missing_text FROM routed GROUP BY kind"""
+
 REGISTRY = {
     "route_posts": (route_posts, SQL_ROUTE_POSTS),
+    "input_overview": (input_overview, SQL_INPUT_OVERVIEW),
     "route_summary": (route_summary, SQL_ROUTE_SUMMARY),
     "route_preview": (route_preview, None),
     "clean_originals": (clean_originals, SQL_CLEAN_ORIGINALS),

@@ -185,7 +185,7 @@ def community_before_moves(spark, d, top_n: int = 14):
     lab = F.concat(F.lit("Comm "), F.col("community").cast("string"))
     wl = Window.partitionBy(lab).orderBy(F.col("diff").desc(), F.col("community").asc())
     rn = F.row_number().over(wl) - 1
-    return top.select(F.row_number().over(w).alias("rank"), "community", r6("diff").alias("diff"), lab.alias("base_label")) \
+    return top.select(F.row_number().over(w).cast("bigint").alias("rank"), "community", r6("diff").alias("diff"), lab.alias("base_label")) \
               .withColumn("label", F.when(rn == 0, F.col("base_label")).otherwise(F.concat("base_label", F.lit(" ("), rn.cast("string"), F.lit(")")))) \
               .drop("base_label")
 

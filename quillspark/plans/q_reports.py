@@ -153,7 +153,7 @@ def top_authors(spark, d, k: int = 20):
     top = ag.top_k(counts, [F.col("n").desc(), F.col("originalAuthor").asc()], k)
     w = Window.orderBy(F.col("n").desc(), F.col("originalAuthor").asc())
     return (top.crossJoin(F.broadcast(total))
-               .select(F.row_number().over(w).alias("rank"), "originalAuthor", "n",
+               .select(F.row_number().over(w).cast("bigint").alias("rank"), "originalAuthor", "n",
                        r6(nf.safe_pct("n", "total")).alias("share_pct")))
 
 
