@@ -30,8 +30,9 @@ def daily_features(spark, d, svd_k: int = 10, embed_n: int = 8, dim: int = 64):
     order = ["src_rank", "row_id"]
     counts = p.groupBy("date").agg(*[F.sum(F.coalesce(F.col(c), F.lit(0))).cast("bigint").alias(c) for c in COUNT_COLS])
     stock = fixture(spark, d, "stock").select("Date", "Close")
-    daily = ordered.asof_backward(counts, stock, "date", "Date", ["Close"])
-    daily = ordered.ffill_bfill(daily, "Close", "date", out="tesla_close").drop("Close")
+    # daily rows: plain ordered windows (the calendar bounds them)
+    daily = ordered.asof_backward(counts, stock, "date", "Date", ["Close"], bucket_fn=None)
+    daily = ordered.ffill_bfill(daily, "Close", "date", out="tesla_close", bucket_fn=None).drop("Close")
     sent = tf.sentiment_scores(p, "date")
     w, _vocab = tf.tfidf(p, "date", order)
     svd = tf.truncated_svd(w, "date", "term", "weight", svd_k)

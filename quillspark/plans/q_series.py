@@ -21,8 +21,9 @@ def daily_engagement_vs_close(spark, d):
     """A3 -> J1 (as-of backward) -> W6 (ffill, bfill) -> W1 (7-row mean) -> W3 (first difference)."""
     daily = daily_engagement(fixture(spark, d, "engagement"))
     stock = fixture(spark, d, "stock").select("Date", "Close")
-    j = ordered.asof_backward(daily, stock, "date", "Date", ["Close"], matched_key="price_date")
-    j = ordered.ffill_bfill(j, "Close", "date", out="tesla_close").drop("Close")
+    # daily rows (bounded by the calendar): one ordered window each, no bucket summaries needed
+    j = ordered.asof_backward(daily, stock, "date", "Date", ["Close"], matched_key="price_date", bucket_fn=None)
+    j = ordered.ffill_bfill(j, "Close", "date", out="tesla_close", bucket_fn=None).drop("Close")
     return j.select(
         "date", *ENG_COUNTS, "n_posts", "price_date", "tesla_close",
         r6(series.trailing_mean("likeCount", 7, "date")).alias("likes_ma7"),
