@@ -73,3 +73,11 @@ def test_merge_targets_rules(spark):
     # 1 (size 5) may go to 2 (equal size, later) or 3 (larger): greatest position wins -> 2 (pos 3)
     # 3 and 4 are both >= 20: no merge; 2 has no qualifying partner above threshold
     assert got == {1: 2}
+
+
+def test_community_before_moves_matches_published_check(spark):
+    # FIXTURES.md: at sf0.01 community 9 shows the largest rise before large moves, difference 0.057348
+    from conftest import SF_MID
+    from quillspark.plans import q_graph as qg
+    top = qg.community_before_moves(spark, SF_MID).orderBy("rank").first()
+    assert top.community == 9 and abs(top.diff - 0.057348) < 1e-6 and top.label == "Comm 9"

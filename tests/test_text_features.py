@@ -89,3 +89,15 @@ def test_svd_columns_orthogonal(spark):
     assert np.allclose(G - np.diag(np.diag(G)), 0, atol=1e-8)
     norms = np.diag(G)
     assert all(norms[i] >= norms[i + 1] - 1e-9 for i in range(3))
+
+
+def test_encode_with_runs_batch_encoder(spark):
+    df = spark.createDataFrame(POSTS, "day int, row_id long, text string")
+
+    def factory():
+        def enc(texts):
+            return [[float(len(t)), float(t.count(" "))] for t in texts]
+        return enc
+    out = {r.row_id: r.embedding for r in tf.encode_with(df, "row_id", "text", factory, 2).collect()}
+    assert out[1] == [float(len(POSTS[0][2])), float(POSTS[0][2].count(" "))]
+    assert out[2] == [0.0, 0.0]          # null text encodes as ''
