@@ -31,3 +31,13 @@ def test_column_pruning_reaches_scan(spark):
     p = plan(qs.asof_backward_rows(spark, SF_SMALL))
     orders_scan = [l for l in p.splitlines() if "orders.parquet" in l and "ReadSchema" in l]
     assert orders_scan and all("o_totalprice" not in l for l in orders_scan)
+
+
+def test_per_group_top_k_limits_before_shuffle(spark):
+    # row_number() <= k: a partial WindowGroupLimit runs before the exchange, so at most k rows per group
+    # and map partition are shuffled (the sample per class and the k-NN merge rely on this)
+    p = plan(qc.route_preview(spark, SF_SMALL))
+    lines = p.splitlines()
+    wgl = [i for i, l in enumerate(lines) if "WindowGroupLimit" in l and "Partial" in l]
+    assert wgl, p
+    assert any("Exchange" in l for l in lines[:wgl[0]])
