@@ -76,10 +76,11 @@ def metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
                F.sum(F.pow(F.col(y) - F.col(yhat), 2)).alias("_sse"),
                F.sum(F.abs(F.col(y) - F.col(yhat))).alias("_sae"))
     sst = df.crossJoin(F.broadcast(a.select("_ym"))).agg(F.sum(F.pow(F.col(y) - F.col("_ym"), 2)).alias("_sst"))
+    has = F.col("n") > 0          # empty input gives nulls, not a division error
     return a.crossJoin(sst).select(
         "n", F.when(F.col("_sst") > 0, 1 - F.col("_sse") / F.col("_sst")).alias("r2"),
-        F.sqrt(F.col("_sse") / F.col("n")).alias("rmse"), (F.col("_sae") / F.col("n")).alias("mae"),
-        (F.col("_sse") / F.col("n")).alias("mse"))
+        F.when(has, F.sqrt(F.col("_sse") / F.col("n"))).alias("rmse"), F.when(has, F.col("_sae") / F.col("n")).alias("mae"),
+        F.when(has, F.col("_sse") / F.col("n")).alias("mse"))
 
 
 def direction_accuracy(df: DataFrame, y: str, yhat: str) -> DataFrame:
