@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import bpe, decontaminate, langid, pii, secrets, shards, spans, toxicity
+from . import bpe, decontaminate, langid, line_dedup, pii, secrets, shards, shingle_join, spans, toxicity, vector_dups
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -99,12 +99,74 @@ def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_vector_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dups.find(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.95)
+
+
+OP4_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) e FROM embeddings),
+ok AS (SELECT vec_id, e FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_dot_product(e, e) > 0),
+link AS (SELECT a.vec_id a, b.vec_id b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+         WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.95),
+reach AS (SELECT vec_id id, vec_id too FROM v UNION SELECT r.id, l.b FROM reach r JOIN link l ON r.too = l.a),
+n AS (SELECT a, count(*) n FROM link GROUP BY a), c AS (SELECT id, min(too) component_id FROM reach GROUP BY id)
+SELECT vec_id, coalesce(n.n, 0) n_links, c.component_id, vec_id = c.component_id kept
+FROM v LEFT JOIN n ON n.a = vec_id JOIN c ON c.id = vec_id
+"""
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup(docs, "doc_id", "text").select(
+        "doc_id", F.size("removed").cast("bigint").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"),
+        sha256(F.coalesce("text", F.lit(""))).alias("text_sha256"))
+
+
+#: Two lines within one edit: of one length and equal but for one place, or one is the other without one character.
+OP5_SQL = """
+WITH RECURSIVE p AS (SELECT doc_id, unnest(string_split(text, chr(10))) raw, unnest(range(len(string_split(text, chr(10))))) pos FROM documents),
+o AS (SELECT doc_id, pos, trim(raw, ' ') line FROM p WHERE length(trim(raw, ' ')) >= 20),
+d AS (SELECT line, length(line) n, row_number() OVER (ORDER BY line) id, min(CAST(doc_id AS HUGEINT) * 100000000 + pos) f FROM o GROUP BY line),
+cut AS (SELECT id, n, i, hash(substr(line, 1, i - 1) || substr(line, i + 1)) h FROM (SELECT id, n, line, unnest(range(1, n + 1)) i FROM d)),
+pair AS (SELECT a.id a, b.id b FROM cut a JOIN cut b ON a.n = b.n AND a.i = b.i AND a.h = b.h AND a.id < b.id
+         UNION SELECT d.id, cut.id FROM cut JOIN d ON cut.n = d.n + 1 AND cut.h = hash(d.line)),
+both_ways AS (SELECT a, b FROM pair UNION SELECT b, a FROM pair),
+reach AS (SELECT id, id too FROM d UNION SELECT r.id, l.b FROM reach r JOIN both_ways l ON r.too = l.a),
+head AS (SELECT r.id, min(d.f) f FROM reach r JOIN d ON d.id = r.too GROUP BY r.id),
+gone AS (SELECT o.doc_id, o.pos FROM o JOIN d USING (line) JOIN head ON head.id = d.id WHERE CAST(o.doc_id AS HUGEINT) * 100000000 + o.pos <> head.f),
+g AS (SELECT doc_id, count(*) n, string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) r FROM gone GROUP BY doc_id),
+k AS (SELECT p.doc_id, string_agg(raw, chr(10) ORDER BY p.pos) t FROM p LEFT JOIN gone USING (doc_id, pos) WHERE gone.pos IS NULL GROUP BY p.doc_id)
+SELECT doc_id, coalesce(g.n, 0) n_removed, coalesce(g.r, '') removed,
+       sha256(CASE WHEN g.n > 0 THEN coalesce(k.t, '') ELSE coalesce(text, '') END) text_sha256
+FROM documents LEFT JOIN g USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+
+def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.find(read_table(spark, sf_dir, "documents"), "doc_id", "text", 4, 85)
+
+
+OP10_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + least(4, len(w)) - 1], ' ') g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) k FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) n FROM s GROUP BY doc_id),
+both_in AS (SELECT a.doc_id a, b.doc_id b, count(*) m FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM both_in JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 85 * (x.n + y.n - m)),
+reach AS (SELECT doc_id id, doc_id too FROM documents UNION SELECT r.id, l.b FROM reach r JOIN link l ON r.too = l.a),
+c AS (SELECT id, min(too) component_id FROM reach GROUP BY id)
+SELECT d.doc_id, coalesce(n.n, 0) n_shingles, c.component_id FROM documents d LEFT JOIN n USING (doc_id) JOIN c ON c.id = d.doc_id
+"""
+
+
 REGISTRY = {
     "op1_byte_bpe": (op1_byte_bpe, None),
     "op2_decontaminate": (op2_decontaminate, OP2_SQL),
     "op3_language": (op3_language, None),
+    "op4_vector_dups": (op4_vector_dups, OP4_SQL),
+    "op5_line_dedup": (op5_line_dedup, OP5_SQL),
     "op6_personal_data": (op6_personal_data, None),
     "op7_toxicity": (op7_toxicity, None),
     "op8_secrets": (op8_secrets, None),
     "op9_hilbert_shards": (op9_hilbert_shards, None),
+    "op10_shingle_join": (op10_shingle_join, OP10_SQL),
 }
