@@ -174,7 +174,7 @@ def best_segments(df: DataFrame, text: str, score: np.ndarray, least: float | No
 
 
 def fit(labelled: DataFrame, text: str, label: str, calibrate: Column, prior: float = 50.0, shrink: float = 1.0,
-        cost: float = 0.25) -> Model:
+        cost: float = 1.0) -> Model:
     """Learn from ``labelled``: word counts from the rows where ``calibrate`` is false, the rest from the others."""
     marked = labelled.withColumn("_cal", calibrate)
     score = log_odds(document_counts(marked.where("not _cal"), text, label).collect(), prior, shrink) - cost  # 2^18 rows at most
