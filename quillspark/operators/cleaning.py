@@ -9,13 +9,17 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 
+# The columns of the raw post files.
 COUNT_COLS = ["retweetCount", "replyCount", "likeCount", "quoteCount", "viewCount", "bookmarkCount"]
-RAW_COLUMNS = ["fullText", "createdAt", "isRetweet", "isReply"] + COUNT_COLS
+RAW_COLUMNS = ["fullText", "createdAt", "isRetweet", "isReply"] + COUNT_COLS + ["quote"]
+# Formats of timestamps tried in turn after the ISO ones.
+TIMESTAMP_FORMATS = ["EEE MMM dd HH:mm:ss XX yyyy", "MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm", "MM/dd/yyyy",
+                     "dd MMM yyyy HH:mm:ss", "MMM dd, yyyy", "yyyyMMdd"]
 
 # Step order of each cleaning job (fixed: it decides which rule a row is charged to).
 STEPS = {
@@ -35,7 +39,9 @@ def require_columns(df: DataFrame, cols: Sequence[str]) -> None:
 def parse_timestamp(c) -> Column:
     """``to_datetime(errors='coerce')``: unparsable -> null (no ANSI error), wall-clock timestamp."""
     col = F.col(c) if isinstance(c, str) else c
-    return col.try_cast("timestamp_ntz")
+    more = [F.try_to_timestamp(F.regexp_replace(col, "^(Mon|Tue|Wed|Thu|Fri|Sat|Sun) ", "") if f.startswith("EEE") else col,
+                               F.lit(f.removeprefix("EEE "))).cast("timestamp_ntz") for f in TIMESTAMP_FORMATS]
+    return F.coalesce(col.try_cast("timestamp_ntz"), *more)
 
 
 def standardize(raw: DataFrame) -> DataFrame:
@@ -68,17 +74,44 @@ def keep_first_ids(df: DataFrame, keys: Sequence[str], order_col: str = "row_id"
     return df.groupBy(*keys).agg(F.min(order_col).alias(order_col)).select(order_col)
 
 
-def mark_duplicates(df: DataFrame, keys: Sequence[str], candidates: Column, rule: str = "duplicate",
-                    order_col: str = "row_id", tag: str = "removed_by") -> DataFrame:
-    """Tag rows among ``candidates`` that repeat an earlier row on ``keys`` (keep first)."""
-    first = keep_first_ids(df.where(candidates), keys, order_col).withColumn("_first", F.lit(True))
-    out = df.join(first, order_col, "left")
-    dup = candidates & F.col("_first").isNull()
-    return out.withColumn(tag, F.when(F.col(tag).isNull() & dup, F.lit(rule)).otherwise(F.col(tag))).drop("_first")
+def keep_first(df: DataFrame, keys: Sequence[str], order_col: str = "row_id") -> DataFrame:
+    """The first row of each ``keys`` group. The rank filter becomes a group limit in front of the shuffle, so each
+    task sends one row of a key and no window holds a whole duplicate group."""
+    w = Window.partitionBy(*keys).orderBy(order_col)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def _rule(df: DataFrame, cond: Column, name: str, tag: str = "removed_by") -> DataFrame:
-    return df.withColumn(tag, F.when(F.col(tag).isNull() & cond, F.lit(name)).otherwise(F.col(tag)))
+class Rules:
+    """Applies the steps of a cleaning job in order. With ``tag`` every row stays and ``removed_by`` names the first
+    rule that removes it; without, the rows go in one pass and only the kept ones are left."""
+
+    def __init__(self, df: DataFrame, tag: bool):
+        self.tag = tag
+        self.df = df.withColumn("removed_by", F.lit(None).cast("string")) if tag else df
+
+    def alive(self) -> Column:
+        return F.col("removed_by").isNull() if self.tag else F.lit(True)
+
+    def set(self, **columns: Column) -> None:
+        self.df = self.df.withColumns(columns)
+
+    def remove(self, cond: Column, name: str) -> None:
+        cond = F.coalesce(cond, F.lit(False))
+        if self.tag:
+            self.df = self.df.withColumn("removed_by", F.when(self.alive() & cond, F.lit(name)).otherwise(F.col("removed_by")))
+        else:
+            self.df = self.df.where(~cond)
+
+    def duplicates(self, keys: Sequence[str] | None = None, order_col: str = "row_id") -> None:
+        """Removes rows that repeat an earlier one on ``keys`` (default: the whole row)."""
+        keys = keys or [c for c in self.df.columns if c not in (order_col, "removed_by")]
+        if not self.tag:
+            self.df = keep_first(self.df, keys, order_col)
+            return
+        first = keep_first_ids(self.df.where(self.alive()), keys, order_col).withColumn("_first", F.lit(True))
+        self.df = self.df.join(first, order_col, "left")
+        self.remove(F.col("_first").isNull(), "duplicate")
+        self.df = self.df.drop("_first")
 
 
 def _stage_reread(df: DataFrame) -> DataFrame:
@@ -86,50 +119,46 @@ def _stage_reread(df: DataFrame) -> DataFrame:
     return df.withColumn("text", tx.null_tokens("text"))
 
 
-def tag_originals(routed: DataFrame) -> DataFrame:
+def tag_originals(routed: DataFrame, tag: bool = True) -> DataFrame:
     """Q2: F2 missing text -> P7 clean -> F3 no letter/digit -> U2 whole-row duplicate (keep first)."""
-    d = _stage_reread(routed.where(F.col("kind") == "original").drop("kind"))
-    d = d.withColumn("removed_by", F.lit(None).cast("string"))
-    d = _rule(d, F.col("text").isNull(), "missing_text")
-    d = d.withColumn("text", tx.clean_text("text"))
-    d = _rule(d, ~tx.has_alnum("text"), "non_alnum")
-    keys = [c for c in d.columns if c not in ("row_id", "removed_by")]
-    return mark_duplicates(d, keys, F.col("removed_by").isNull())
+    r = Rules(_stage_reread(routed.where(F.col("kind") == "original").drop("kind")), tag)
+    r.remove(F.col("text").isNull(), "missing_text")
+    r.set(text=tx.clean_text("text"))
+    r.remove(~tx.has_alnum("text"), "non_alnum")
+    r.duplicates()
+    return r.df
 
 
-def tag_replies(routed: DataFrame) -> DataFrame:
+def tag_replies(routed: DataFrame, tag: bool = True) -> DataFrame:
     """Q3: P6 counts null -> 0, U2 whole-row duplicate first, then F2 / F4 / F3 on the raw text."""
     d = _stage_reread(routed.where(F.col("kind") == "reply").drop("kind"))
-    d = d.na.fill(0, subset=[c for c in d.columns if "Count" in c])
-    d = d.withColumn("removed_by", F.lit(None).cast("string"))
-    keys = [c for c in d.columns if c not in ("row_id", "removed_by")]
-    d = mark_duplicates(d, keys, F.lit(True))
-    d = _rule(d, F.col("text").isNull(), "missing_text")
-    d = _rule(d, tx.py_strip("text") == "", "blank_text")
-    d = _rule(d, ~tx.has_alnum("text"), "non_alnum")
-    return d
+    r = Rules(d.na.fill(0, subset=[c for c in d.columns if "Count" in c]), tag)
+    r.duplicates()
+    r.remove(F.col("text").isNull(), "missing_text")
+    r.remove(tx.py_strip("text") == "", "blank_text")
+    r.remove(~tx.has_alnum("text"), "non_alnum")
+    return r.df
 
 
-def tag_retweets(routed: DataFrame) -> DataFrame:
+def tag_retweets(routed: DataFrame, tag: bool = True) -> DataFrame:
     """Q4: F2, P8 parse ``RT @author: content``, W8 dedupe on raw content, P7, F3, W7 author count, F5."""
-    d = _stage_reread(routed.where(F.col("kind") == "retweet").drop("kind"))
-    d = d.withColumn("removed_by", F.lit(None).cast("string"))
-    d = _rule(d, F.col("text").isNull(), "missing_text")
+    r = Rules(_stage_reread(routed.where(F.col("kind") == "retweet").drop("kind")), tag)
+    r.remove(F.col("text").isNull(), "missing_text")
     author, content = tx.retweet_parts("text")
-    d = d.withColumn("originalAuthor", author).withColumn("tweet", content).drop("text")
-    d = _rule(d, F.col("originalAuthor").isNull() | F.col("tweet").isNull(), "unparseable")
-    d = mark_duplicates(d, ["tweet"], F.col("removed_by").isNull())
-    d = d.withColumn("tweet", tx.clean_text("tweet", final_strip=False))
-    d = _rule(d, ~tx.has_alnum("tweet"), "non_alnum")
+    r.set(originalAuthor=author, tweet=content)
+    r.df = r.df.drop("text")
+    r.remove(F.col("originalAuthor").isNull() | F.col("tweet").isNull(), "unparseable")
+    r.duplicates(["tweet"])
+    r.set(tweet=tx.clean_text("tweet", final_strip=False))
+    r.remove(~tx.has_alnum("tweet"), "non_alnum")
     # Author frequency among rows still alive here (after F3, before F5); grouped count joined back
     # on the author key (partial aggregation; AQE splits a hot author on the join side).
-    alive = F.col("removed_by").isNull()
-    counts = (d.where(alive).groupBy("originalAuthor").agg(F.count(F.lit(1)).alias("_arc")))
-    d = d.join(counts, "originalAuthor", "left")
-    d = d.withColumn("authorRetweetCount", F.when(alive, F.col("_arc"))).drop("_arc")
-    d = d.withColumn("originalTextLength", F.length("tweet"))
-    d = _rule(d, F.col("originalTextLength") < 5, "too_short")
-    return d
+    counts = r.df.where(r.alive()).groupBy("originalAuthor").agg(F.count(F.lit(1)).alias("_arc"))
+    r.df = r.df.join(counts, "originalAuthor", "left")
+    r.set(authorRetweetCount=F.when(r.alive(), F.col("_arc")), originalTextLength=F.length("tweet"))
+    r.df = r.df.drop("_arc")
+    r.remove(F.col("originalTextLength") < 5, "too_short")
+    return r.df
 
 
 TAGGERS = {"original": tag_originals, "reply": tag_replies, "retweet": tag_retweets}
@@ -139,13 +168,17 @@ def kept(tagged: DataFrame) -> DataFrame:
     return tagged.where(F.col("removed_by").isNull()).drop("removed_by")
 
 
+def cleaned(routed: DataFrame, kind: str) -> DataFrame:
+    """The kept rows of a class, in one pass over it."""
+    return TAGGERS[kind](routed, tag=False)
+
+
 def waterfall(tagged: dict, spark=None) -> DataFrame:
     """A2: (kind, step_no, step, rows_in, removed, rows_out) for each class in rule order, zero rows kept.
 
     ``tagged`` maps kind -> tagged frame. The tags of all classes are unioned and counted in one grouped
     aggregate; the running totals are a window over at most a handful of step rows per class.
     """
-    from pyspark.sql import Window
     spark = spark or next(iter(tagged.values())).sparkSession
     steps = spark.createDataFrame([(k, i + 1, s) for k in tagged for i, s in enumerate(STEPS[k])],
                                   "kind string, step_no int, step string")

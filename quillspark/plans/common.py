@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import fixture, fixture_cte, read_table  # noqa: F401
 
-COUNT_COLS = ["retweetCount", "replyCount", "likeCount", "quoteCount", "viewCount", "bookmarkCount"]
+from ..operators.cleaning import COUNT_COLS  # noqa: F401  (the fixed input columns)
+
 DIGITS = 6
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+
 
 from pyspark.sql import functions as F
 
@@ -13,7 +13,9 @@ from . import sqlfrag as S
 from ..session import cut_lineage
 from .common import COUNT_COLS, fixture, fixture_cte, r6
 
-CNT = ", ".join(COUNT_COLS)
+# What every stage carries along besides text and time: whole-row keys and outputs hold it.
+CARRIED = ["quote", *COUNT_COLS]
+CNT = ", ".join(CARRIED)
 
 
 def routed(spark, d):
@@ -21,7 +23,7 @@ def routed(spark, d):
 
 
 def route_posts(spark, d):
-    return routed(spark, d).select("row_id", "kind", "text", "timestamp", "text_length", *COUNT_COLS)
+    return routed(spark, d).select("row_id", "kind", "text", "timestamp", "text_length", *CARRIED)
 
 
 def route_summary(spark, d, routed_df=None):
@@ -33,11 +35,17 @@ def route_preview(spark, d, n: int = 3, seed: int = 0):
     """A seeded sample of ``n`` rows per class, newline-free and cut to 80 characters."""
     from pyspark.sql import Window
     r = routed(spark, d)
-    w = Window.partitionBy("kind").orderBy(F.xxhash64("row_id", F.lit(seed)), "row_id")
+    w = Window.partitionBy("kind").orderBy(F.md5(F.concat(F.col("row_id").cast("string"), F.lit(f":{seed}"))), "row_id")
     return (r.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n)
              .select("kind", "row_id", F.to_date("timestamp").alias("date"), tx.preview("text", 80).alias("preview")))
 
 
+def retweet_preview(spark, d, n: int = 3):
+    """The first ``n`` cleaned retweets, each cut to 100 characters."""
+    t = cl.cleaned(routed(spark, d), "retweet")
+    return t.orderBy("row_id").limit(n).select("row_id", "originalAuthor", F.substring("tweet", 1, 100).alias("preview"))
+
+
 def input_overview(spark, d):
     """Per routed class, rows, first and last timestamp and texts missing after the stage re-read."""
     r = routed(spark, d)
@@ -47,16 +55,16 @@ def input_overview(spark, d):
 
 
 def clean_originals(spark, d):
-    return cl.kept(cl.tag_originals(routed(spark, d))).select("row_id", "text", "timestamp", *COUNT_COLS, "text_length")
+    return cl.cleaned(routed(spark, d), "original").select("row_id", "text", "timestamp", *CARRIED, "text_length")
 
 
 def clean_replies(spark, d):
-    return cl.kept(cl.tag_replies(routed(spark, d))).select("row_id", "text", "timestamp", *COUNT_COLS, "text_length")
+    return cl.cleaned(routed(spark, d), "reply").select("row_id", "text", "timestamp", *CARRIED, "text_length")
 
 
 def clean_retweets(spark, d):
-    return cl.kept(cl.tag_retweets(routed(spark, d))).select(
-        "row_id", "timestamp", *COUNT_COLS, "text_length", "originalAuthor", "tweet", "authorRetweetCount",
+    return cl.cleaned(routed(spark, d), "retweet").select(
+        "row_id", "timestamp", *CARRIED, "text_length", "originalAuthor", "tweet", "authorRetweetCount",
         "originalTextLength")
 
 
@@ -119,7 +127,7 @@ otag AS (SELECT row_id, text, timestamp, {CNT}, text_length,
 
 
 def _reply_sql() -> str:
-    fills = ", ".join(f"coalesce({c}, 0) AS {c}" for c in COUNT_COLS)
+    fills = "quote, " + ", ".join(f"coalesce({c}, 0) AS {c}" for c in COUNT_COLS)
     return f"""r0 AS (SELECT row_id, {S.null_tokens('text')} AS text, timestamp, {fills}, text_length
    FROM routed WHERE kind = 'reply'),
 rtag AS (SELECT *, CASE WHEN row_id <> min(row_id) OVER (PARTITION BY {KEYS_ORIG}) THEN 'duplicate'
@@ -205,11 +213,18 @@ FROM raw_prices WHERE pos <> 1"""
 SQL_INPUT_OVERVIEW = _with(_routed_sql()) + f"""SELECT kind, count(*) AS n_rows, min(timestamp) AS first_ts,
  max(timestamp) AS last_ts, count(*) FILTER (WHERE ({S.null_tokens('text')}) IS NULL) AS missing_text FROM routed GROUP BY kind"""
 
+SQL_ROUTE_PREVIEW = _with(_routed_sql()) + """SELECT kind, row_id, CAST(timestamp AS DATE) AS date,
+ substr(replace(text, chr(10), ' '), 1, 80) AS preview
+FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY md5(CAST(row_id AS VARCHAR) || ':0'), row_id) AS rn FROM routed) WHERE rn <= 3"""
+SQL_RETWEET_PREVIEW = _with(_routed_sql(), _retweet_sql()) + """SELECT row_id, originalAuthor, substr(tweet, 1, 100) AS preview
+FROM ttag WHERE removed_by IS NULL ORDER BY row_id LIMIT 3"""
+
 REGISTRY = {
     "route_posts": (route_posts, SQL_ROUTE_POSTS),
     "input_overview": (input_overview, SQL_INPUT_OVERVIEW),
     "route_summary": (route_summary, SQL_ROUTE_SUMMARY),
-    "route_preview": (route_preview, None),
+    "route_preview": (route_preview, SQL_ROUTE_PREVIEW),
+    "retweet_preview": (retweet_preview, SQL_RETWEET_PREVIEW),
     "clean_originals": (clean_originals, SQL_CLEAN_ORIGINALS),
     "clean_replies": (clean_replies, SQL_CLEAN_REPLIES),
     "clean_retweets": (clean_retweets, SQL_CLEAN_RETWEETS),

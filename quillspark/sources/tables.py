@@ -20,7 +20,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Views over the driver tables (FIXTURES.md part B). Placeholders name base tables or other views.
-# Texts are cut to the characters the view uses before the join, so only those cross the shuffle.
+# Texts are whole.
 FIXTURES: dict[str, str] = {
     # raw posts: routing, cleaning, hour and weekday reports
     "posts": """
@@ -28,10 +28,10 @@ SELECT e.event_id AS row_id,
  CASE WHEN e.event_id % 50 = 0 THEN NULL
       WHEN e.event_id % 53 = 0 THEN '!!! ... ???'
       WHEN e.event_type = 'view'  THEN concat('RT @user', CAST(e.user_id AS STRING), ': ',
-           CASE WHEN e.event_id % 59 = 0 THEN 'ok' ELSE substr(d.text, 1, 140) END)
-      WHEN e.event_type = 'click' THEN concat('@user', CAST(e.user_id AS STRING), ' ', substr(d.text, 1, 140))
-      WHEN e.event_id % 47 = 0 THEN concat('  ', substr(d.text, 1, 60), '   ', substr(d.text, 61, 80), ' ')
-      ELSE substr(d.text, 1, 140) END AS fullText,
+           CASE WHEN e.event_id % 59 = 0 THEN 'ok' ELSE d.text END)
+      WHEN e.event_type = 'click' THEN concat('@user', CAST(e.user_id AS STRING), ' ', d.text)
+      WHEN e.event_id % 47 = 0 THEN concat('  ', substr(d.text, 1, 60), '   ', substr(d.text, 61), ' ')
+      ELSE d.text END AS fullText,
  CAST(e.ts AS STRING) AS createdAt,
  CASE WHEN e.event_type = 'purchase' AND e.event_id % 4 = 0 THEN 'True' ELSE 'False' END AS isRetweet,
  CASE WHEN e.event_type = 'error' THEN 'True' ELSE 'False' END AS isReply,
@@ -40,9 +40,10 @@ SELECT e.event_id AS row_id,
  CAST(floor(e.value * 10) AS BIGINT) AS likeCount,
  e.event_id % 5 AS quoteCount,
  CAST(floor(e.value * 100) AS BIGINT) AS viewCount,
- e.event_id % 3 AS bookmarkCount
-FROM (SELECT * FROM {events} CROSS JOIN (SELECT count(*) AS n_docs FROM {documents})) e
-JOIN (SELECT doc_id, substr(text, 1, 140) AS text FROM {documents}) d ON d.doc_id = e.event_id % e.n_docs
+ e.event_id % 3 AS bookmarkCount,
+ CASE WHEN e.event_id % 4 = 1 THEN concat('quoted ', CAST(e.event_id % 9 AS STRING)) END AS quote
+FROM {events} e
+JOIN {documents} d ON d.doc_id = e.event_id % (SELECT count(*) FROM {documents})
 """,
     # daily prices
     "stock": """
@@ -67,15 +68,15 @@ FROM {orders}
     "dated_posts": """
 SELECT o.o_orderkey AS row_id, CAST(o.o_orderdate AS DATE) AS date,
  CASE WHEN o.o_orderkey % 3 = 0 THEN 'tweets' WHEN o.o_orderkey % 3 = 1 THEN 'retweets' ELSE 'replies' END AS source,
- CASE WHEN o.o_orderkey % 41 = 0 THEN NULL ELSE substr(d.text, 1, 280) END AS text,
+ CASE WHEN o.o_orderkey % 41 = 0 THEN NULL ELSE d.text END AS text,
  o.o_orderkey % 97 AS retweetCount,
  CASE WHEN o.o_orderkey % 7 = 0 THEN NULL ELSE o.o_orderkey % 13 END AS replyCount,
  CAST(floor(o.o_totalprice) AS BIGINT) AS likeCount,
  o.o_custkey % 5 AS quoteCount,
  CAST(floor(o.o_totalprice * 10) AS BIGINT) AS viewCount,
  o.o_orderkey % 3 AS bookmarkCount
-FROM (SELECT * FROM {orders} CROSS JOIN (SELECT count(*) AS n_docs FROM {documents})) o
-JOIN (SELECT doc_id, substr(text, 1, 280) AS text FROM {documents}) d ON d.doc_id = o.o_orderkey % o.n_docs
+FROM {orders} o
+JOIN {documents} d ON d.doc_id = o.o_orderkey % (SELECT count(*) FROM {documents})
 """,
     # raw price file as strings: position column, a junk second row, an 'Adj Close' column
     "raw_prices": """
@@ -102,20 +103,19 @@ def _spark_sql_text(text: str) -> str:
     return text.replace('"Adj Close"', "`Adj Close`")
 
 
-_N_DOCS = "(SELECT count(*) AS n_docs FROM {documents})"
+_N_DOCS = "(SELECT count(*) FROM {documents})"
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Build a fixture view as a lazy DataFrame.
 
     The document count used as a join modulus is resolved first (a metadata-only count) and inlined as a
-    literal: left as a cross-joined subquery, Catalyst may push a filter that spans both join sides into
-    the join and lose the equi-join key, turning it into a nested-loop join.
+    literal in the join key, so the join stays an equi-join without a cross product.
     """
     text = _spark_sql_text(FIXTURES[name])
     if _N_DOCS in text:
         n = read_table(spark, sf_dir, "documents").count()
-        text = text.replace(_N_DOCS, f"(SELECT CAST({n} AS BIGINT) AS n_docs)")
+        text = text.replace(_N_DOCS, f"CAST({max(n, 1)} AS BIGINT)")
     args = {}
     for dep in _PLACEHOLDER.findall(text):
         if dep not in args:
