@@ -8,27 +8,42 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def exact_medians(df: DataFrame, key: str, cols: Sequence[str], parts: int = 256) -> DataFrame:
+    """``(key, median of each column)``, exact, without a task that holds a key's values.
+
+    Values are counted first (combined map-side). A key's range is cut into ``parts`` even ranges, whose counts tell
+    in which of them the middle ranks lie; only the values there are ordered. Nulls don't count."""
+    stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    v = df.selectExpr(f"`{key}` AS k", f"stack({len(cols)}, {stack}) AS (c, v)").where("v IS NOT NULL")
+    counts = v.groupBy("k", "c", "v").agg(F.count(F.lit(1)).alias("n"))
+    ends = counts.groupBy(F.col("k").alias("ek"), F.col("c").alias("ec")).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("total"))
+    part = F.when(F.col("hi") > F.col("lo"), F.least(F.lit(parts - 1), F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * parts))).otherwise(0)
+    placed = counts.join(F.broadcast(ends), F.col("k").eqNullSafe(F.col("ek")) & (F.col("c") == F.col("ec"))).select(
+        "k", "c", "v", "n", "total", part.cast("int").alias("p"))
+    before = Window.partitionBy("k", "c").orderBy("p")                        # at most ``parts`` rows of a key
+    ranges = placed.groupBy("k", "c", "p", "total").agg(F.sum("n").alias("m")).withColumn("upto", F.sum("m").over(before))
+    low, high = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1
+    middle = ranges.where((F.col("upto") >= low) & (F.col("upto") - F.col("m") < high)).select(
+        F.col("k").alias("mk"), F.col("c").alias("mc"), F.col("p").alias("mp"), (F.col("upto") - F.col("m")).alias("base"))
+    near = placed.join(F.broadcast(middle), F.col("k").eqNullSafe(F.col("mk")) & (F.col("c") == F.col("mc")) & (F.col("p") == F.col("mp")))
+    inner = Window.partitionBy("k", "c", "p").orderBy("v")
+    ranked = near.withColumn("to", F.col("base") + F.sum("n").over(inner))
+    picks = ranked.groupBy("k", "c").agg(F.min(F.when(F.col("to") >= low, F.col("v"))).alias("a"), F.min(F.when(F.col("to") >= high, F.col("v"))).alias("b"))
+    wide = picks.groupBy("k").pivot("c", list(cols)).agg(F.first((F.col("a") + F.col("b")) / 2))
+    return wide.withColumnRenamed("k", key)
+
+
 def profile(df: DataFrame, key: str, spec: dict[str, Sequence[str]], digits: int = 2) -> DataFrame:
     """``groupby(key).agg({col: [mean, median, sum, count]}).round(digits)`` with flattened names
     ``col_agg`` (P18). Sums of all-null groups are 0, as in pandas; rounding is half-even."""
-    exprs = []
-    for col, aggs in spec.items():
-        c = F.col(col)
-        for a in aggs:
-            if a == "mean":
-                e = F.bround(F.avg(c), digits)
-            elif a == "median":
-                e = F.bround(F.median(c.cast("double")), digits)
-            elif a == "sum":
-                e = F.coalesce(F.sum(c), F.lit(0))
-            elif a == "count":
-                e = F.count(c)
-            elif a == "max":
-                e = F.max(c)
-            else:
-                raise ValueError(a)
-            exprs.append(e.alias(f"{col}_{a}"))
-    return df.groupBy(key).agg(*exprs)
+    plain = {"mean": lambda c: F.bround(F.avg(c), digits), "sum": lambda c: F.coalesce(F.sum(c), F.lit(0)), "count": F.count, "max": F.max}
+    names = [(c, a) for c, aggs in spec.items() for a in aggs]
+    out = df.groupBy(key).agg(*[plain[a](F.col(c)).alias(f"{c}_{a}") for c, a in names if a != "median"])
+    middle = [c for c, a in names if a == "median"]
+    if middle:
+        med = exact_medians(df, key, middle).select(F.col(key).alias("_mk"), *[F.bround(c, digits).alias(f"{c}_median") for c in middle])
+        out = out.join(med, F.col(key).eqNullSafe(F.col("_mk")), "left").drop("_mk")
+    return out.select(key, *[f"{c}_{a}" for c, a in names])
 
 
 def pivot_counts(df: DataFrame, row_key: str, col_key: str, values: Sequence[str], names: Sequence[str],

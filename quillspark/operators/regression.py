@@ -20,8 +20,10 @@ from . import vectors as vx
 
 
 def hash_split(df: DataFrame, key: str, seed: int = 42, test_pct: int = 20, out: str = "is_train") -> DataFrame:
-    """M1: seeded 80/20 split that depends only on the key (stable under repartitioning)."""
-    return df.withColumn(out, F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100)) >= test_pct)
+    """M1: seeded 80/20 split that depends only on the key (stable under repartitioning): the first 32 bits of an
+    md5, which any engine reproduces."""
+    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+    return df.withColumn(out, F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100 >= test_pct)
 
 
 def smote(train: DataFrame, key: str, features: Sequence[str], target: str, ratio: float = 0.5, k: int = 5,
@@ -123,30 +125,37 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
 
 
 def linear_svr(train: DataFrame, features: Sequence[str], label: str, C: float = 0.01, epsilon: float = 10.0,
-               max_iter: int = 200, lr: float = 0.1, tol: float = 1e-7):
+               lr: float = 0.1, tol: float = 1e-6, patience: int = 40, max_iter: int = 20_000):
     """M6: linear epsilon-insensitive SVR, minimising 0.5|w|^2 + C * sum(max(0, |y - w.x - b| - eps)) by
-    sub-gradient steps on standardised features. Each step's gradient is one distributed aggregate.
-    Returns (w on raw features, b)."""
+    sub-gradient steps on standardised features. Each step's gradient and loss are one distributed aggregate.
+
+    Stops at a zero sub-gradient, or when ``patience`` steps have not lowered the best loss by a share of ``tol``;
+    raises if ``max_iter`` steps reach neither. Returns the best (w on raw features, b)."""
     feats = list(features)
     st = train.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(feats)],
-                   *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(feats)]).first()
+                   *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(feats)], F.count(F.lit(1)).alias("n")).first()
     mu = np.array([st[f"m{i}"] or 0.0 for i in range(len(feats))])
     sd = np.array([st[f"s{i}"] or 1.0 for i in range(len(feats))])
     sd[sd == 0] = 1.0
     z = [((F.col(c) - float(mu[i])) / float(sd[i])) for i, c in enumerate(feats)]
     w, b = np.zeros(len(feats)), 0.0
-    n = train.count()
+    best, best_at, since = None, (w, b), 0
     for it in range(max_iter):
-        pred = sum((F.lit(float(w[i])) * z[i] for i in range(len(feats))), F.lit(b))
+        pred = sum((F.lit(float(w[i])) * z[i] for i in range(len(feats))), F.lit(float(b)))
         r = F.col(label) - pred
         g = F.when(r > epsilon, -1.0).when(r < -epsilon, 1.0).otherwise(0.0)
-        row = train.agg(*[F.sum(g * z[i]).alias(f"g{i}") for i in range(len(feats))], F.sum(g).alias("gb")).first()
+        row = train.agg(*[F.sum(g * z[i]).alias(f"g{i}") for i in range(len(feats))], F.sum(g).alias("gb"),
+                        F.sum(F.greatest(F.lit(0.0), F.abs(r) - epsilon)).alias("loss")).first()
+        loss = 0.5 * float(w @ w) + C * (row["loss"] or 0.0)
+        since = 0 if best is None or loss < best - tol * abs(best) else since + 1
+        if best is None or loss < best:
+            best, best_at = loss, (w, b)
         gw = w + C * np.array([row[f"g{i}"] or 0.0 for i in range(len(feats))])
         gb = C * (row["gb"] or 0.0)
-        step = lr / np.sqrt(it + 1) / max(1.0, C * n)
-        if np.abs(gw).max(initial=0.0) < tol and abs(gb) < tol:
-            break
+        if since >= patience or (np.abs(gw).max(initial=0.0) < tol and abs(gb) < tol):
+            w, b = best_at
+            w_raw = w / sd
+            return w_raw, float(b) - float((w_raw * mu).sum())
+        step = lr / np.sqrt(it + 1) / max(1.0, C * st["n"])
         w, b = w - step * gw, b - step * gb
-    w_raw = w / sd
-    b_raw = b - float((w_raw * mu).sum())
-    return w_raw, b_raw
+    raise RuntimeError(f"linear_svr: the loss still falls after {max_iter} steps")

@@ -61,7 +61,7 @@ def knn(df: DataFrame, id_col: str, vec: str, k: int, metric: str = "cosine", th
         block_rows: int = 4096, n_rows: int | None = None) -> DataFrame:
     """Exact k nearest other rows of every row: (src, dst, score, rank). ``cosine``: higher is nearer;
     ``euclidean``: score = distance, lower is nearer. Self is excluded by id; ties go to the smaller id.
-    ``threshold`` keeps cosine >= t (applied after ranking, as the reference ranks first)."""
+    ``threshold`` keeps cosine >= t, already inside each block: ranking first and filtering then gives the same."""
     n = n_rows if n_rows is not None else df.count()
     nb = _n_blocks(n, block_rows)
     d = df.select(id_col, (l2_normalize(vec) if metric == "cosine" else F.transform(vec, lambda x: x.cast("double"))).alias(vec))
@@ -74,20 +74,21 @@ def knn(df: DataFrame, id_col: str, vec: str, k: int, metric: str = "cosine", th
         qi, ci = qp["_qid"].to_numpy(), cp["_cid"].to_numpy()
         if metric == "cosine":
             s = A @ B.T
-            key = -s
+            key = -s                     # a new array: the mark for self below leaves s as it is
         else:
             s = np.sqrt(np.maximum((A * A).sum(1)[:, None] + (B * B).sum(1)[None, :] - 2 * A @ B.T, 0.0))
-            key = s
-        key = np.where(qi[:, None] == ci[None, :], np.inf, key)
+            key = s.copy()
+        key[qi[:, None] == ci[None, :]] = np.inf
         kk = min(k, B.shape[0])
-        # order by (key, candidate id): sort candidates by id first, then a stable sort on key
-        oid = np.argsort(ci, kind="stable")
-        key_o = key[:, oid]
-        part = np.argsort(key_o, axis=1, kind="stable")[:, :kk]
-        rows = np.repeat(np.arange(A.shape[0]), kk)
-        cols = oid[part.ravel()]
-        keep = np.isfinite(key[rows, cols])
-        rows, cols = rows[keep], cols[keep]
+        # all that reach the k-th key of their row, ties included; the merge over blocks settles these by id
+        worst = np.partition(key, kk - 1, axis=1)[:, kk - 1]
+        if threshold is not None and metric == "cosine":
+            worst = np.minimum(worst, -threshold)
+        rows, cols = np.nonzero((key <= worst[:, None]) & np.isfinite(key))
+        by = np.lexsort((ci[cols], key[rows, cols], rows))
+        rows, cols = rows[by], cols[by]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        rows, cols = rows[place < kk], cols[place < kk]
         # the expansion |a|^2 + |b|^2 - 2ab ranks well but cancels; report exact distances of the picks
         score = s[rows, cols] if metric == "cosine" else np.linalg.norm(A[rows] - B[cols], axis=1)
         return pd.DataFrame({"src": qi[rows], "dst": ci[cols], "score": score})
@@ -95,10 +96,7 @@ def knn(df: DataFrame, id_col: str, vec: str, k: int, metric: str = "cosine", th
     cand = q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInPandas(
         block_topk, schema="src long, dst long, score double")
     order = [F.col("score").desc() if metric == "cosine" else F.col("score").asc(), F.col("dst").asc()]
-    top = top_k_per_group(cand, ["src"], order, k)
-    if threshold is not None:
-        top = top.where(F.col("score") >= threshold)
-    return top
+    return top_k_per_group(cand, ["src"], order, k)
 
 
 def similarity_pairs(df: DataFrame, id_col: str, vec: str, threshold: float, block_rows: int = 4096,

@@ -105,17 +105,18 @@ SELECT cm.community, cm.size, cm.pos, coalesce(roots.target, cm.community) AS ro
 FROM cm LEFT JOIN roots ON roots.node = cm.community"""
 
 
-def _docs_for_vectors(spark, d):
-    return read_table(spark, d, "documents").select(F.col("doc_id").alias("vec_id"), "text")
+def _docs_for_vectors(spark, d, n_vectors: int):
+    """Every document belongs to one vector: doc_id modulo their number."""
+    return read_table(spark, d, "documents").select((F.col("doc_id") % max(n_vectors, 1)).alias("vec_id"), "text")
 
 
 def community_summary(spark, d):
     """G5 nodes: size, mean 2-D position (given coordinates: the first two components) and T6 label from
-    the members' texts (documents with doc_id = vec_id)."""
+    the members' texts (every document, by doc_id modulo the number of vectors)."""
     v = vectors(spark, d).select("vec_id", "label", F.col("embedding")[0].cast("double").alias("x"),
                                  F.col("embedding")[1].cast("double").alias("y"))
     pos = v.groupBy("label").agg(F.count(F.lit(1)).alias("size"), r6(F.avg("x")).alias("mx"), r6(F.avg("y")).alias("my"))
-    members = v.select("vec_id", F.col("label").alias("community")).join(_docs_for_vectors(spark, d), "vec_id", "left")
+    members = v.select("vec_id", F.col("label").alias("community")).join(_docs_for_vectors(spark, d, v.count()), "vec_id", "left")
     names = tf.community_labels(members, "community").select(F.col("community").alias("label"), F.col("label").alias("name"))
     return pos.join(names, "label")
 
@@ -125,9 +126,10 @@ def _summary_sql() -> str:
     from ..functions import lexicon as lx
     stop = "[" + ", ".join(S.q(w) for w in lx.LABEL_STOP_WORDS) + "]"
     runs = f"regexp_extract_all(lower(coalesce(d.text, '')), {S.q(tf.LABEL_RUN_PATTERN)})"
-    return f"""WITH m AS (SELECT e.vec_id, e.label, CAST(e.embedding[1] AS DOUBLE) AS x, CAST(e.embedding[2] AS DOUBLE) AS y, d.text
-   FROM embeddings e LEFT JOIN documents d ON d.doc_id = e.vec_id),
-pos AS (SELECT label, count(*) AS size, round(avg(x), 6) AS mx, round(avg(y), 6) AS my FROM m GROUP BY label),
+    return f"""WITH m AS (SELECT e.label, d.text
+   FROM embeddings e JOIN (SELECT doc_id % (SELECT count(*) FROM embeddings) AS vec_id, text FROM documents) d USING (vec_id)),
+pos AS (SELECT label, count(*) AS size, round(avg(CAST(embedding[1] AS DOUBLE)), 6) AS mx, round(avg(CAST(embedding[2] AS DOUBLE)), 6) AS my
+   FROM embeddings GROUP BY label),
 lt AS (SELECT label, unnest(list_filter(regexp_extract_all(lower(coalesce(text, '')), {S.q(tf.LABEL_RUN_PATTERN)}),
    lambda x: regexp_matches(x, {S.q(tf.LABEL_TOKEN)}) AND NOT list_contains({stop}, x))) AS term FROM m),
 lc AS (SELECT label, term, count(*) AS n FROM lt GROUP BY 1, 2),
@@ -163,10 +165,10 @@ def louvain(spark, d):
 
 
 def merge_communities(spark, d):
-    """G4 to its fixpoint, starting from the partition vec_id % 40."""
+    """G4 to its fixpoint from single vectors: passes go on until no community merges (``stop_at=0``)."""
     v = vectors(spark, d)
-    part = v.select(F.col("vec_id").alias("id"), (F.col("vec_id") % MERGE_MOD).alias("community"))
-    return gx.merge_similar_communities(v, part, "vec_id", "embedding")
+    part = v.select(F.col("vec_id").alias("id"), F.col("vec_id").alias("community"))
+    return gx.merge_similar_communities(v, part, "vec_id", "embedding", stop_at=0)
 
 
 def pca_2d(spark, d):

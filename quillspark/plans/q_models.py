@@ -7,14 +7,13 @@ are checked by properties.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from ..operators import ordered
 from ..operators import regression as rg
 from ..operators import text_features as tf
-from ..session import cut_lineage
+from ..session import checkpoint_dir
+from ..sources import sinks
 from .common import COUNT_COLS, fixture, fixture_cte, r6
 
 FEATURES = COUNT_COLS + ["sentiment_compound"] + [f"tfidf_{i}" for i in range(10)] + [f"embed_{i}" for i in range(8)]
@@ -61,10 +60,18 @@ def feature_overview(spark, d):
     return a.selectExpr(f"stack({len(cols)}, {stack}) AS (feature, mean_value)")
 
 
-def _prepared(spark, d, seed: int = 42):
-    f = cut_lineage(assert_no_nulls(daily_features(spark, d)))
-    f = rg.hash_split(f, "timestamp", seed)
-    return f
+INPUTS = ("orders", "documents", "lineitem")
+SEED = 42
+
+
+def _stage(spark, d, label, build):
+    """S7 over the feature table's inputs: every model query of a session, or a later one, reads what the first made."""
+    return sinks.stage(spark, label, build, [f"{d.rstrip('/')}/{t}.parquet" for t in INPUTS], {"seed": SEED, "features": FEATURES})
+
+
+def _prepared(spark, d):
+    f = _stage(spark, d, "daily_features", lambda: daily_features(spark, d))
+    return rg.hash_split(assert_no_nulls(f), "timestamp", SEED)
 
 
 def split_80_20(spark, d):
@@ -72,37 +79,40 @@ def split_80_20(spark, d):
     return _prepared(spark, d).select("timestamp", "is_train")
 
 
+SQL_SPLIT = fixture_cte("dated_posts") + """SELECT DISTINCT date AS timestamp,
+ CAST('0x' || substr(md5(CAST(date AS VARCHAR) || ':42'), 1, 8) AS BIGINT) % 100 >= 20 AS is_train
+FROM dated_posts WHERE date IS NOT NULL"""
+
+
 def smote_rows(spark, d):
     """M2: synthetic training rows with their parents and alpha."""
     f = _prepared(spark, d)
     return rg.smote(f.where("is_train"), "timestamp", FEATURES, "tesla_close")
 
 
-def _training_sets(spark, d, seed: int = 42):
-    f = _prepared(spark, d, seed)
+def _training_sets(spark, d):
+    """Training rows with synthetic ones, test rows, and the target's scaling; each a stage."""
+    f = _prepared(spark, d)
     train = f.where("is_train")
-    syn = rg.smote(train, "timestamp", FEATURES, "tesla_close").select(*FEATURES, "tesla_close")
-    aug = cut_lineage(train.select(*FEATURES, "tesla_close").unionByName(syn))
-    stats = rg.target_stats(aug, "tesla_close")
-    tr = rg.assemble(rg.normalize_target(aug, stats, "tesla_close"), FEATURES)
-    te = rg.assemble(rg.normalize_target(f.where(~F.col("is_train")), stats, "tesla_close"), FEATURES)
-    return cut_lineage(tr), cut_lineage(te), stats
+
+    def augmented():
+        syn = rg.smote(train, "timestamp", FEATURES, "tesla_close").select(*FEATURES, "tesla_close")
+        return train.select(*FEATURES, "tesla_close").unionByName(syn)
+
+    aug = _stage(spark, d, "augmented", augmented)
+    stats = _stage(spark, d, "target_stats", lambda: rg.target_stats(aug, "tesla_close"))
+    tr = _stage(spark, d, "train", lambda: rg.assemble(rg.normalize_target(aug, stats, "tesla_close"), FEATURES).coalesce(8))
+    te = _stage(spark, d, "test", lambda: rg.assemble(rg.normalize_target(f.where(~F.col("is_train")), stats, "tesla_close"), FEATURES).coalesce(8))
+    return tr, te, stats
 
 
+# The candidates and their sizes.
 MODEL_SPECS = {
     "Random Forest": dict(kind="rf", numTrees=400, maxDepth=20, minInstancesPerNode=1, seed=42),
     "Gradient Boosted Trees": dict(kind="gbt", maxIter=400, maxDepth=8, stepSize=0.05, subsamplingRate=0.8, seed=42),
     "Linear SVR": dict(kind="svr", C=0.01, epsilon=10.0),
 }
-
-
-# Sizes used by the registered queries (the driver runs every query): same model families and learning
-# settings at a fifth of the ensemble sizes. ``train_all(spark, d, MODEL_SPECS)`` runs the reference sizes.
-QUICK_SPECS = {
-    "Random Forest": dict(kind="rf", numTrees=80, maxDepth=10, minInstancesPerNode=1, seed=42),
-    "Gradient Boosted Trees": dict(kind="gbt", maxIter=80, maxDepth=5, stepSize=0.05, subsamplingRate=0.8, seed=42),
-    "Linear SVR": dict(kind="svr", C=0.01, epsilon=10.0),
-}
+TREE_GRID = (50, 100, 150, 200, 250, 300)
 
 
 def _fit(kind: str, train, params: dict):
@@ -110,7 +120,7 @@ def _fit(kind: str, train, params: dict):
     p = dict(params)
     p.pop("kind", None)
     if kind == "rf":
-        return RandomForestRegressor(featuresCol="features", labelCol="y", **p).fit(train)
+        return RandomForestRegressor(featuresCol="features", labelCol="y", maxMemoryInMB=1024, **p).fit(train)
     if kind == "gbt":
         return GBTRegressor(featuresCol="features", labelCol="y", **p).fit(train)
     w, b = rg.linear_svr(train, FEATURES, "y", **p)
@@ -125,34 +135,63 @@ def _predict(model, df):
     return model.transform(df)
 
 
-def train_all(spark, d, specs: dict | None = None):
-    """M7 + L6: fit each candidate (failures skipped), score train R2 and test metrics; best first."""
+def _model_path(spark, d, name: str, spec: dict) -> str:
+    key = sinks.fingerprint(spark, [f"{d.rstrip('/')}/{t}.parquet" for t in INPUTS], {"name": name, "spec": spec, "seed": SEED, "features": FEATURES})
+    return checkpoint_dir(spark).rstrip("/") + f"/models/{key}"
+
+
+def fitted(spark, d, name: str, spec: dict):
+    """The candidate fitted on this input: loaded if a former query saved it, else fitted and saved."""
+    path = _model_path(spark, d, name, spec)
+    model = sinks.load_model(spark, path)
+    if model is None:
+        tr, _te, _stats = _training_sets(spark, d)
+        model = _fit(spec["kind"], tr, spec)
+        sinks.save_model(spark, model, path, name, {}, {"target": "z-scored log"}, FEATURES)
+    return model
+
+
+def train_all(spark, d, specs: dict | None = None, save_to: str | None = None):
+    """M7 + L6: fit the candidates side by side, score train R2 and test metrics; best first. A candidate that fails
+    keeps its row, with the error. The best one is saved with its scores (S8)."""
+    from concurrent.futures import ThreadPoolExecutor
+    specs = specs or MODEL_SPECS
     tr, te, _stats = _training_sets(spark, d)
-    rows, models = [], {}
-    for name, spec in (specs or MODEL_SPECS).items():
+
+    def one(item):
+        name, spec = item
         try:
-            m = _fit(spec["kind"], tr, spec)
-        except Exception:  # noqa: BLE001 - a failing candidate is skipped, as in the reference
-            continue
-        ptr, pte = _predict(m, tr), _predict(m, te)
-        mtr = rg.metrics(ptr, "y", "prediction").first()
-        mte = rg.metrics(pte, "y", "prediction").first()
-        acc = rg.direction_accuracy(pte, "y", "prediction").first()
-        rows.append((name, mtr["r2"], mte["r2"], mte["rmse"], mte["mae"], acc["accuracy"]))
-        models[name] = m
-    df = spark.createDataFrame(rows, "model string, train_r2 double, test_r2 double, test_rmse double, test_mae double, test_accuracy double")
+            m = fitted(spark, d, name, spec)
+            mtr = rg.metrics(_predict(m, tr), "y", "prediction").first()
+            pte = _predict(m, te)
+            mte = rg.metrics(pte, "y", "prediction").first()
+            acc = rg.direction_accuracy(pte, "y", "prediction").first()
+            return (name, mtr["r2"], mte["r2"], mte["rmse"], mte["mae"], acc["accuracy"], None), m
+        except Exception as e:  # noqa: BLE001 - reported in the candidate's row
+            return (name, None, None, None, None, None, f"{type(e).__name__}: {e}"[:300]), None
+
+    with ThreadPoolExecutor(len(specs)) as pool:
+        done = list(pool.map(one, specs.items()))
+    models = {row[0]: m for row, m in done if m is not None}
+    df = spark.createDataFrame([row for row, _ in done], "model string, train_r2 double, test_r2 double, test_rmse double, "
+                               "test_mae double, test_accuracy double, error string")
+    ranked = [row for row, m in done if m is not None and row[2] is not None]
+    if ranked:
+        best = max(ranked, key=lambda row: row[2])
+        scores = dict(zip(("train_r2", "test_r2", "test_rmse", "test_mae", "test_accuracy"), best[1:6]))
+        path = save_to or _model_path(spark, d, "best", specs)
+        sinks.save_model(spark, models[best[0]], path, best[0], scores, {"target": "z-scored log", "split": "80/20"}, FEATURES)
     return df.orderBy(F.col("test_r2").desc_nulls_last()), models, (tr, te)
 
 
 def leaderboard(spark, d, specs: dict | None = None):
-    return train_all(spark, d, specs or QUICK_SPECS)[0]
+    return train_all(spark, d, specs)[0]
 
 
 def importance_top15(spark, d, n: int = 15, specs: dict | None = None):
     """M15 + L5: feature importances of the boosted model, top n."""
-    tr, _te, _s = _training_sets(spark, d)
-    m = _fit("gbt", tr, (specs or QUICK_SPECS)["Gradient Boosted Trees"])
-    imp = m.featureImportances.toArray().tolist()
+    name = "Gradient Boosted Trees"
+    imp = fitted(spark, d, name, (specs or MODEL_SPECS)[name]).featureImportances.toArray().tolist()
     df = spark.createDataFrame(list(zip(FEATURES, map(float, imp))), "feature string, importance double")
     return df.orderBy(F.col("importance").desc(), F.col("feature").asc()).limit(n)
 
@@ -163,30 +202,37 @@ def boosting_curve(spark, d, specs: dict | None = None):
     tr, _te, _s = _training_sets(spark, d)
     # held-out 20% of the training part, chosen by a seeded hash of the row's features
     tr = tr.withColumn("_fit", F.pmod(F.xxhash64(*FEATURES[:6], F.lit(7)), F.lit(100)) >= 20)
-    spec = {k: v for k, v in (specs or QUICK_SPECS)["Gradient Boosted Trees"].items() if k != "kind"}
-    m = GBTRegressor(featuresCol="features", labelCol="y", **spec).fit(tr.where("_fit"))
-    a = m.evaluateEachIteration(tr.where("_fit"), "squared")
-    b = m.evaluateEachIteration(tr.where(~F.col("_fit")), "squared")
-    rows = [(i + 1, float(x) ** 0.5, float(y) ** 0.5) for i, (x, y) in enumerate(zip(a, b))]
+    spec = {k: v for k, v in (specs or MODEL_SPECS)["Gradient Boosted Trees"].items() if k != "kind"}
+    fit, held = tr.where("_fit"), tr.where(~F.col("_fit"))
+    m = GBTRegressor(featuresCol="features", labelCol="y", **spec).fit(fit)
+    a, b = (_round_errors(m, side) for side in (fit, held))
+    rows = [(i + 1, x, y) for i, (x, y) in enumerate(zip(a, b))]
     return spark.createDataFrame(rows, "round int, train_rmse double, val_rmse double")
 
 
-def validation_curve(spark, d, grid=(10, 20, 30, 40, 50, 60), folds: int = 3, specs: dict | None = None):
-    """3-fold train / validation RMSE of the forest for each tree count (hash folds)."""
+def _round_errors(model, df) -> list[float]:
+    """RMSE after each boosting round (``evaluateEachIteration`` gives mean squared errors)."""
+    return [float(x) ** 0.5 for x in model.evaluateEachIteration(df, "squared")]
+
+
+def validation_curve(spark, d, grid=TREE_GRID, folds: int = 3, specs: dict | None = None):
+    """3-fold train / validation RMSE of the forest for each tree count (hash folds); fits run side by side."""
+    from concurrent.futures import ThreadPoolExecutor
+
     from pyspark.ml.regression import RandomForestRegressor
     tr, _te, _s = _training_sets(spark, d)
     tr = tr.withColumn("_fold", F.pmod(F.xxhash64(*FEATURES[:6], F.lit(3)), F.lit(folds)))
-    spec = {k: v for k, v in (specs or QUICK_SPECS)["Random Forest"].items() if k not in ("kind", "numTrees")}
-    rows = []
-    for nt in grid:
-        trs, vas = [], []
-        for k in range(folds):
-            fit = tr.where(F.col("_fold") != k)
-            val = tr.where(F.col("_fold") == k)
-            m = RandomForestRegressor(featuresCol="features", labelCol="y", numTrees=nt, **spec).fit(fit)
-            trs.append(rg.metrics(m.transform(fit), "y", "prediction").first()["rmse"])
-            vas.append(rg.metrics(m.transform(val), "y", "prediction").first()["rmse"])
-        rows.append((int(nt), float(sum(trs) / folds), float(sum(vas) / folds)))
+    spec = {k: v for k, v in (specs or MODEL_SPECS)["Random Forest"].items() if k not in ("kind", "numTrees")}
+
+    def one(job):
+        nt, k = job
+        fit, val = tr.where(F.col("_fold") != k), tr.where(F.col("_fold") == k)
+        m = RandomForestRegressor(featuresCol="features", labelCol="y", numTrees=nt, maxMemoryInMB=1024, **spec).fit(fit)
+        return nt, *[rg.metrics(m.transform(x), "y", "prediction").first()["rmse"] for x in (fit, val)]
+
+    with ThreadPoolExecutor(4) as pool:
+        done = list(pool.map(one, [(nt, k) for nt in grid for k in range(folds)]))
+    rows = [(int(nt), *[float(sum(r[i] for r in done if r[0] == nt) / folds) for i in (1, 2)]) for nt in grid]
     return spark.createDataFrame(rows, "n_estimators int, train_rmse double, val_rmse double")
 
 
@@ -236,11 +282,16 @@ SELECT round(avg(CASE WHEN (yhat > th) = (y > th) THEN 1.0 ELSE 0.0 END) * 100.0
 
 
 def direction_confusion(spark, d):
-    return rg.direction_confusion(_standin(spark, d).where(~F.col("is_train")), "y", "yhat")
+    """M10 on calibrated test predictions: the line of M11 is fitted on the training rows first."""
+    s = _standin(spark, d)
+    line = rg.calibration(s.where("is_train"), "y", "yhat")
+    t = s.where(~F.col("is_train")).crossJoin(F.broadcast(line)).withColumn("pred", F.col("slope") * F.col("yhat") + F.col("intercept"))
+    return rg.direction_confusion(t, "y", "pred")
 
 
 SQL_CONFUSION = _STANDIN_SQL + """, t AS (SELECT * FROM si WHERE NOT is_train), a AS (SELECT avg(y) AS th FROM t),
-c AS (SELECT y > th AS actual_above, yhat > th AS predicted_above, count(*) AS n FROM t, a GROUP BY 1, 2),
+l AS (SELECT regr_slope(y, yhat) AS sl, regr_intercept(y, yhat) AS ic FROM si WHERE is_train),
+c AS (SELECT y > th AS actual_above, sl * yhat + ic > th AS predicted_above, count(*) AS n FROM t, a, l GROUP BY 1, 2),
 g AS (SELECT * FROM (VALUES (false, false), (false, true), (true, false), (true, true)) v(actual_above, predicted_above))
 SELECT g.actual_above, g.predicted_above, coalesce(c.n, 0) AS n FROM g LEFT JOIN c USING (actual_above, predicted_above)"""
 
@@ -274,7 +325,7 @@ SELECT Date, actual, round(predicted, 6) AS predicted, round(ps, 6) AS predicted
 REGISTRY = {
     "daily_features": (daily_features, None),
     "feature_overview": (feature_overview, None),
-    "split_80_20": (split_80_20, None),
+    "split_80_20": (split_80_20, SQL_SPLIT),
     "smote_rows": (smote_rows, None),
     "target_norm": (target_norm, SQL_TARGET_NORM),
     "regression_metrics": (regression_metrics, SQL_METRICS),

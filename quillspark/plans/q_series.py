@@ -52,7 +52,8 @@ def asof_backward_rows(spark, d):
     """J1 on post-grain rows: every engagement row takes the last price on or before its date."""
     eng = fixture(spark, d, "engagement").select("row_id", "date")
     stock = fixture(spark, d, "stock").select("Date", "Close")
-    return ordered.asof_backward(eng, stock, "date", "Date", ["Close"], matched_key="price_date")
+    return ordered.asof_backward_by_date(eng, stock, "date", "Date", ["Close"], matched_key="price_date").select(
+        "row_id", "date", "price_date", "Close")
 
 
 SQL_ASOF_BACKWARD = fixture_cte("engagement", "stock") + """

@@ -36,8 +36,9 @@ def build_session(master: str = "local[8]", app: str = "quillspark", shuffle_par
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder for iterative jobs.
 
-    Uses ``spark.checkpoint.dir`` (or the context's checkpoint dir) when the cluster names one. Only when it
-    is unset (tests, local runs) do we pick a folder under the warehouse directory and register it.
+    Uses ``spark.checkpoint.dir`` (or the context's checkpoint dir) when the cluster names one. Only in a local
+    session without one do we pick a folder under the warehouse directory and register it; on a cluster that folder
+    may be a machine's own, so there it raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -45,20 +46,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         wh = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
         conf_dir = wh.rstrip("/") + "/_quill_checkpoints"
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
-def cut_lineage(df):
+def cut_lineage(df, replaces=None):
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
     Survives executor loss like a reliable checkpoint, and the re-read relation starts a fresh plan: a
     checkpointed plan keeps its origin constraints, and iterative jobs would grow them round over round.
+    ``replaces``: a table of an earlier call that only ``df`` still read; it is deleted afterwards.
     """
     import uuid
     spark = df.sparkSession
     path = checkpoint_dir(spark).rstrip("/") + f"/quill_tables/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    if replaces is not None:
+        drop_table(replaces)
     return spark.read.parquet(path)
+
+
+def drop_table(df) -> None:
+    """Delete the table behind a result of ``cut_lineage`` that nothing reads any more."""
+    for f in df.inputFiles()[:1]:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(f).getParent()
+        if "/quill_tables/" in path.toString():
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
