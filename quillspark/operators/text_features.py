@@ -31,13 +31,17 @@ def _arr_lit(values: Sequence[str]) -> Column:
     return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")
 
 
-def day_pieces(posts: DataFrame, day: str, order: Sequence[str], text: str = "text",
-               bucket_rows: int = 1 << 16) -> DataFrame:
+def _day_starts(posts: DataFrame, day: str, order: Sequence[str], max_days: int = 1 << 18) -> DataFrame:
+    """``(day, _first)``: the order key of each day's first post; broadcast up to ``max_days`` days."""
+    first = posts.groupBy(day).agg(F.min(F.struct(*[F.col(c) for c in order])).alias("_first"))
+    return F.broadcast(first) if first.count() <= max_days else first
+
+
+def day_pieces(posts: DataFrame, day: str, order: Sequence[str], text: str = "text") -> DataFrame:
     """A4 in long form: each post becomes one piece of its day's concatenation (null text -> ''), the
     separator prefixed to every piece but the day's first. Concatenating pieces in ``order`` gives the
     reference's daily string; no day is gathered in one row."""
-    first = posts.groupBy(day).agg(F.min(F.struct(*[F.col(c) for c in order])).alias("_first"))
-    p = posts.join(first, day, "left")
+    p = posts.join(_day_starts(posts, day, order), day, "left")
     is_first = F.struct(*[F.col(c) for c in order]) == F.col("_first")
     piece = F.when(is_first, F.coalesce(F.col(text), F.lit(""))).otherwise(
         F.concat(F.lit(SEP), F.coalesce(F.col(text), F.lit(""))))
@@ -84,29 +88,27 @@ def tfidf(posts: DataFrame, day: str, order: Sequence[str], text: str = "text",
 
 
 def _day_counts(posts, day, order, text, stop_words, bucket_rows):
-    """(day, term, n) including the separator tokens and border bigrams of the concatenation."""
+    """(day, term, n) including the separator tokens and border bigrams of the concatenation.
+
+    A post's own tokens and bigrams go straight into the grouped count. Only its first and last token and their
+    number take part in the ordered scan that finds what stands before it."""
+    tok = posts.select(day, word_tokens(F.col(text), stop_words).alias("_tok"))
+    inner = tok.select(day, F.explode(F.concat(F.col("_tok"), bigrams(F.col("_tok")))).alias("term"))
     d = posts.select(day, *order, word_tokens(F.col(text), stop_words).alias("_tok"))
-    d = d.withColumns({"_n": F.size("_tok"), "_first_tok": F.try_element_at(F.col("_tok"), F.lit(1)),
-                       "_last_tok": F.try_element_at(F.col("_tok"), F.lit(-1))})
-    # one row per day: broadcastable, bounded by the number of days
-    first = posts.groupBy(day).agg(F.min(F.struct(*[F.col(c) for c in order])).alias("_first"))
+    d = d.select(day, *order, F.size("_tok").alias("_n"), F.try_element_at(F.col("_tok"), F.lit(1)).alias("_first_tok"),
+                 F.try_element_at(F.col("_tok"), F.lit(-1)).alias("_last_tok"))
     me = F.struct(*[F.col(c) for c in order])
-    d = d.join(first, day, "left").withColumn("_isf", me == F.col("_first")).drop("_first")
+    d = d.join(_day_starts(posts, day, order), day, "left").withColumn("_isf", me == F.col("_first")).drop("_first")
     bucket = F.struct(*[F.col(c) for c in order[:-1]], F.floor(F.col(order[-1]) / bucket_rows))
     d = ordered.carry_last(d, F.struct(F.col("_n").alias("n"), F.col("_last_tok").alias("t"), F.col("_isf").alias("f")),
                            list(order), "_pv", by=[day], bucket=bucket, inclusive=False)
-    has_prev = ~F.col("_isf")
-    empty = F.array().cast("array<string>")
     # token just before this post's separator: the previous post's last token; if it had none, the
     # separator before it (absent when the previous post was the day's first)
     tail = F.when(F.col("_pv.n") > 0, F.col("_pv.t")).when(~F.col("_pv.f"), F.lit(SEP_TOKEN))
-    sep_arr = F.when(has_prev, F.array(F.lit(SEP_TOKEN))).otherwise(empty)
-    left_bi = F.when(has_prev & tail.isNotNull(), F.array(F.concat(tail, F.lit(" " + SEP_TOKEN)))).otherwise(empty)
-    right_bi = F.when(has_prev & (F.col("_n") > 0),
-                      F.array(F.concat(F.lit(SEP_TOKEN + " "), F.col("_first_tok")))).otherwise(empty)
-    terms = F.concat(F.col("_tok"), sep_arr, bigrams(F.col("_tok")), left_bi, right_bi)
-    return (d.select(day, F.explode(terms).alias("term"))
-             .groupBy(day, "term").agg(F.count(F.lit(1)).alias("n")))
+    added = F.array(F.lit(SEP_TOKEN), F.concat(tail, F.lit(" " + SEP_TOKEN)),
+                    F.when(F.col("_n") > 0, F.concat(F.lit(SEP_TOKEN + " "), F.col("_first_tok"))))
+    border = d.where(~F.col("_isf")).select(day, F.explode(added).alias("term")).where(F.col("term").isNotNull())
+    return inner.unionByName(border).groupBy(day, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def sentiment_scores(posts: DataFrame, day: str, text: str = "text", lexicon: dict | None = None,
@@ -152,9 +154,8 @@ def poly_hash(tok: Column, mod: int = 1000003) -> Column:
 
 def day_tokens(posts: DataFrame, day: str, order: Sequence[str], text: str = "text") -> DataFrame:
     """(day, tok): word tokens of each day's concatenated text, separators included."""
-    first = posts.groupBy(day).agg(F.min(F.struct(*[F.col(c) for c in order])).alias("_first"))
     me = F.struct(*[F.col(c) for c in order])
-    p = posts.join(first, day, "left")
+    p = posts.join(_day_starts(posts, day, order), day, "left")
     sep = F.when(me != F.col("_first"), F.array(F.lit(SEP_TOKEN))).otherwise(F.array().cast("array<string>"))
     return p.select(day, F.explode(F.concat(word_tokens(F.col(text)), sep)).alias("tok"))
 
@@ -209,13 +210,12 @@ def truncated_svd(weights: DataFrame, row: str, term: str, value: str, k: int =
     """X.V for the top-``k`` right singular vectors of the (row x term) matrix, sign fixed so each
     component's largest-magnitude loading is positive.
 
-    The Gram matrix (terms x terms, bounded by the vocabulary size) is built with one tree aggregation
-    (``RowMatrix.computeGramianMatrix``); its eigenvectors are V. Projection is a join of the long
-    weight table with V (terms x k rows) and a grouped sum.
+    The Gram matrix (terms x terms, bounded by the vocabulary size) is summed in two steps: each task multiplies
+    its rows' blocks with numpy over Arrow batches, then the partial rows are added per term. Its eigenvectors are
+    V. Projection is a join of the long weight table with V (terms x k rows) and a grouped sum.
     """
     import numpy as np
-    from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
+    import pandas as pd
     from pyspark.sql import Window
 
     spark = weights.sparkSession
@@ -226,9 +226,31 @@ def truncated_svd(weights: DataFrame, row: str, term: str, value: str, k: int =
     if n_terms == 0:
         return weights.select(row).distinct().select(row, *[F.lit(0.0).alias(f"{prefix}{i}") for i in range(k)])
     w = weights.join(F.broadcast(idx), term)
-    rows = w.groupBy(row).agg(F.collect_list(F.struct("_i", value)).alias("_e"))
-    rdd = rows.select("_e").rdd.map(lambda r: Vectors.sparse(n_terms, sorted((e[0], float(e[1])) for e in r[0])))
-    gram = RowMatrix(rdd, numCols=n_terms).computeGramianMatrix().toArray()
+    rows = w.groupBy(row).agg(F.collect_list("_i").alias("i"), F.collect_list(F.col(value).cast("double")).alias("x"))
+
+    def partial_gram(batches):
+        total = np.zeros((n_terms, n_terms))
+        for b in batches:
+            for at in range(0, len(b), 512):
+                part = b.iloc[at: at + 512]
+                m = np.zeros((len(part), n_terms))
+                for r, (i, x) in enumerate(zip(part["i"], part["x"])):
+                    m[r, np.asarray(i)] = x
+                total += m.T @ m
+        hit = np.flatnonzero(total.any(axis=1))
+        yield pd.DataFrame({"i": hit, "g": [total[i] for i in hit]})
+
+    def added(batches):
+        total: dict = {}
+        for b in batches:
+            for i, g in zip(b["i"], b["g"]):
+                total[i] = total[i] + g if i in total else np.array(g)
+        yield pd.DataFrame({"i": list(total), "g": list(total.values())})
+
+    parts = rows.select("i", "x").mapInPandas(partial_gram, "i int, g array<double>")
+    gram = np.zeros((n_terms, n_terms))
+    for r in parts.repartition("i").mapInPandas(added, "i int, g array<double>").collect():   # n_terms rows
+        gram[r["i"]] = r["g"]
     vals, vecs = np.linalg.eigh(gram)
     order = np.argsort(-vals, kind="stable")[:k]
     V = vecs[:, order]
