@@ -18,80 +18,88 @@ becomes empty. Rows that repeat an id count as one document. Other columns aren'
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import cut_lineage
 from .common import components
 
 NEWLINE = "\n"
 
 
-def _table(df: DataFrame) -> DataFrame:
-    """A written table like ``cut_lineage``'s, packed more tightly: it holds texts."""
-    spark = df.sparkSession
-    path = checkpoint_dir(spark).rstrip("/") + f"/quill_tables/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.parquet(path)
+#: A sieve has 2^SIEVE_BITS bits, in 2^(SIEVE_BITS - 6) words: its broadcast is that large at most, whatever the data.
+SIEVE_BITS = 24
+
+
+def _bit(*columns: str) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(*columns), 64 - SIEVE_BITS)
+
+
+def sieve(keys: DataFrame, *columns: str) -> DataFrame:
+    """A bitmap of the hashes of ``keys``: ``(_w, _b)``, a row for each word with a bit."""
+    bits = keys.select(_bit(*columns).alias("bit"))
+    return bits.groupBy(F.expr("bit >> 6").alias("_w")).agg(F.bit_or(F.expr("1L << CAST(bit & 63 AS INT)")).alias("_b"))
+
+
+def sifted(df: DataFrame, words: DataFrame, *columns: str) -> DataFrame:
+    """Append ``_in``: true for all rows whose key is in the sieve, and for a few others. Nothing is shuffled."""
+    rows = df.withColumn("_bit", _bit(*columns)).withColumn("_w", F.expr("_bit >> 6"))
+    rows = rows.join(F.broadcast(words), "_w", "left")
+    return rows.withColumn("_in", F.expr("coalesce((_b >> CAST(_bit & 63 AS INT)) & 1 = 1, false)")).drop("_bit", "_w", "_b")
 
 
 def lines_of(df: DataFrame, doc_id: str, text: str, min_chars: int) -> DataFrame:
-    """``(doc_id, pos, line)`` of the lines that take part; ``pos`` counts all lines of the text from 0."""
+    """``(doc_id, pos, line, h1, h2)`` of the lines that take part; ``pos`` counts all lines of the text from 0, and
+    the two hashes stand for the line."""
     parts = F.posexplode(F.split(F.col(text), NEWLINE, -1)).alias("pos", "line")
     return (df.select(F.col(doc_id).alias("doc_id"), parts).withColumn("line", F.trim("line"))
-              .where(F.char_length("line") >= min_chars))
+              .where(F.char_length("line") >= min_chars)
+              .withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")}))
 
 
 def segment(length: Column, number: int, k: int) -> tuple[Column, Column]:
     """Start (from 1) and length of a segment of a line: the last segments are longer by one where it doesn't divide."""
     each = F.floor(length / (k + 1)).cast("int")
-    longer = length - each * (k + 1)
-    short = (k + 1) - longer                        # so many segments have `each` characters
+    short = (k + 1) - (length - each * (k + 1))     # so many segments have `each` characters
     start = F.lit(1) + each * number + F.greatest(F.lit(number) - short, F.lit(0))
     return start, each + F.when(F.lit(number) >= short, 1).otherwise(0)
 
 
-def _key(length: Column, number: int, part: Column) -> Column:
-    return F.xxhash64(length, F.lit(number), part)
+def _keys(line: str, n: Column, length: Column, number: int, shifts: list[int], k: int) -> list[Column]:
+    start, size = segment(length, number, k)
+    out = []
+    for x in shifts:
+        at = start + x
+        inside = (length > k) & (at >= 1) & (at + size - 1 <= n)
+        out.append(F.when(inside, F.xxhash64(length, F.lit(number), F.substring(F.col(line), at, size))))
+    return out
 
 
-def index_keys(line: str, k: int) -> Column:
-    n = F.char_length(line)
-    keys = []
-    for s in range(k + 1):
-        start, size = segment(n, s, k)
-        keys.append(_key(n, s, F.substring(F.col(line), start, size)))
-    return F.array(*keys)
+def segment_keys(line: str, n: Column, k: int) -> dict[str, Column]:
+    """Hashes of (length, segment number, text): ``own``, the line's index entries; ``even`` and ``less``, the other
+    entries under which a line within k edits and of the same length, or shorter, can stand.
 
+    Against a line shorter by d, segment s starts at its own place p there and at p + x here. The x left of it and
+    the d - x right of it are edits: |x| + |d - x| <= k, and |x| <= s and |d - x| <= k - s, as otherwise a segment
+    before or behind it matches too."""
+    def at(d):
+        return [c for s in range(k + 1) for c in _keys(line, n, n - d, s, [
+            x for x in range(-k, k + 1) if (d or x) and abs(x) + abs(d - x) <= k and abs(x) <= s and abs(d - x) <= k - s], k)]
 
-def probe_keys(line: str, k: int) -> Column:
-    """``(key, equal)``: keys of the index under which a line within k edits and not longer can stand; ``equal`` if
-    that line has the same length.
-
-    For a line longer by d, segment s starts at its own place p there and at p + x here. The x left of it and the
-    d - x right of it are edits: |x| <= s (segments before were not met), |d - x| <= k - s, |x| + |d - x| <= k."""
-    n = F.char_length(line)
-    keys = []
-    for d in range(k + 1):
-        other = n - d
-        for s in range(k + 1):
-            start, size = segment(other, s, k)
-            for x in range(-k, k + 1):
-                if abs(x) + abs(d - x) <= k and abs(x) <= s and abs(d - x) <= k - s:
-                    at = start + x
-                    inside = (other > k) & (at >= 1) & (at + size - 1 <= n)
-                    keys.append(F.when(inside, F.struct(_key(other, s, F.substring(F.col(line), at, size)).alias("key"), F.lit(d == 0).alias("equal"))))
-    return F.filter(F.array(*keys), lambda x: x.isNotNull())
+    none = F.array().cast("array<bigint>")
+    even, less = at(0), [c for d in range(1, k + 1) for c in at(d)]
+    return {"own": F.array(*[c for s in range(k + 1) for c in _keys(line, n, n, s, [0], k)]),
+            "even": F.array(*even) if even else none, "less": F.array(*less) if less else none}
 
 
 def candidates(lines: DataFrame, k: int) -> DataFrame:
     """Pairs ``(a, b)`` of line ids that meet in the index."""
-    index = lines.select(F.col("lid").alias("a"), F.explode(index_keys("line", k)).alias("key"))
-    probe = lines.select(F.col("lid").alias("b"), F.explode(probe_keys("line", k)).alias("p")).select("b", "p.key", "p.equal")
-    met = index.join(probe, "key").where("a <> b and (not equal or a < b)")
-    return met.select("a", "b").distinct()
+    index = lines.select(F.col("lid").alias("a"), F.explode("own").alias("key"))
+    equal = lines.select(F.col("lid").alias("b"), F.explode(F.concat("own", "even") if k > 1 else F.col("own")).alias("key")).where("key is not null")
+    less = lines.select(F.col("lid").alias("b"), F.explode("less").alias("key")).where("key is not null")
+    same = index.join(equal, "key").where("a < b").select("a", "b")
+    shorter = index.join(less, "key").where("a <> b").select("a", "b")
+    return same.unionByName(shorter).distinct()
 
 
 def let(value: Column, use) -> Column:
@@ -138,31 +146,44 @@ def edit_distance(a: Column, b: Column, k: int) -> Column:
         whole = F.aggregate(F.sequence(F.lit(0), n - 1), start, step, lambda acc: acc["dist"])
         return F.when(whole <= k, whole).otherwise(big(k + 1))
 
-    chars = F.struct(F.split(a, "").alias("p"), F.split(b, "").alias("t"))
-    near = let(chars, distance)
+    def guarded(c):                                 # a common guard on both sides keeps every pattern longer than the band
+        g = F.array_repeat(F.lit(""), 2 * k + 1)
+        return let(F.struct(F.concat(g, c["p"], g).alias("p"), F.concat(g, c["t"], g).alias("t")), distance)
+
+    def without_equal_end(c):
+        return let(_equal_steps(c["p"], c["t"], True), lambda m: let(F.struct(
+            F.slice(c["p"], F.lit(1), F.size(c["p"]) - m).alias("p"), F.slice(c["t"], F.lit(1), F.size(c["t"]) - m).alias("t")), guarded))
+
+    def without_equal_start(c):
+        return let(_equal_steps(c["p"], c["t"], False), lambda m: let(F.struct(
+            F.slice(c["p"], m + 1, F.size(c["p"])).alias("p"), F.slice(c["t"], m + 1, F.size(c["t"])).alias("t")), without_equal_end))
+
+    near = let(F.struct(F.split(a, "").alias("p"), F.split(b, "").alias("t")), without_equal_start)
     return F.when(F.abs(F.char_length(a) - F.char_length(b)) > k, big(k + 1)).otherwise(near)
 
 
-def _equal_start(a: Column, b: Column, step: int = 16) -> Column:
-    """Characters, in whole steps, that two strings have in common at the start."""
-    n = F.floor(F.least(F.char_length(a), F.char_length(b)) / step).cast("int")
-    same = F.transform(F.sequence(F.lit(0), n), lambda i: (i < n) & (F.substring(a, i * step + 1, F.lit(step)) == F.substring(b, i * step + 1, F.lit(step))))
-    return (F.array_position(same, False) - 1).cast("int") * step
+def _equal_steps(p: Column, t: Column, end: bool, step: int = 16) -> Column:
+    """How many characters, in whole steps, two arrays of characters have in common at the start or at the end."""
+    n = F.floor(F.least(F.size(p), F.size(t)) / step).cast("int")
+
+    def same(i):
+        if end:
+            return F.slice(p, F.size(p) - (i + 1) * step + 1, F.lit(step)) == F.slice(t, F.size(t) - (i + 1) * step + 1, F.lit(step))
+        return F.slice(p, i * step + 1, F.lit(step)) == F.slice(t, i * step + 1, F.lit(step))
+
+    equal = F.transform(F.sequence(F.lit(0), n), lambda i: F.when(i < n, same(i)).otherwise(F.lit(False)))
+    return (F.array_position(equal, False) - 1).cast("int") * step
 
 
-def verified(pairs: DataFrame, lines: DataFrame, k: int) -> DataFrame:
-    """The pairs of lines within ``k`` edits."""
-    x = lines.select(F.col("lid").alias("a"), F.col("line").alias("s"))
-    y = lines.select(F.col("lid").alias("b"), F.col("line").alias("t"))
+def verified(pairs: DataFrame, lines: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """The pairs of lines within ``k`` edits. ``lines (lid, h1, h2)`` of the pairs fetch their texts from ``found``."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct()
+    wanted = cut_lineage(lines.select("lid", "h1", "h2").join(ids, "lid", "left_semi"))
+    near = sifted(found.select("h1", "h2", "line"), sieve(wanted, "h1", "h2"), "h1", "h2").where("_in")
+    texts = cut_lineage(near.groupBy("h1", "h2").agg(F.first("line").alias("line")).join(wanted, ["h1", "h2"]).select("lid", "line"))
+    x = texts.select(F.col("lid").alias("a"), F.col("line").alias("s"))
+    y = texts.select(F.col("lid").alias("b"), F.col("line").alias("t"))
     rows = pairs.join(x, "a").join(y, "b")
-    # cut equal ends, but leave more than k characters of each: both parts of a pair are cut by as much
-    rows = rows.withColumn("_n", _equal_start(F.col("s"), F.col("t")))
-    rows = rows.select("a", "b", F.expr("substring(s, _n + 1)").alias("s"), F.expr("substring(t, _n + 1)").alias("t"))
-    rows = rows.withColumn("_n", _equal_start(F.reverse("s"), F.reverse("t")))
-    rows = rows.select("a", "b", F.expr("substring(s, 1, char_length(s) - _n)").alias("s"), F.expr("substring(t, 1, char_length(t) - _n)").alias("t"))
-    # a common guard before and after keeps every pattern longer than the band
-    guard = " " * (2 * k + 1)
-    rows = rows.select("a", "b", F.concat(F.lit(guard), "s", F.lit(guard)).alias("s"), F.concat(F.lit(guard), "t", F.lit(guard)).alias("t"))
     return rows.where(edit_distance(F.col("s"), F.col("t"), k) <= k).select("a", "b")
 
 
@@ -171,30 +192,36 @@ def removals(df: DataFrame, doc_id: str, text: str, threshold: int = 1, min_char
     if min_chars <= threshold:
         raise ValueError("min_chars must exceed threshold")
     found = lines_of(df, doc_id, text, min_chars)
-    distinct = found.groupBy("line").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
-    lines = _table(distinct.withColumn("lid", F.monotonically_increasing_id()))
-    pairs = _table(candidates(lines, threshold))
-    near = _table(components(verified(pairs, lines, threshold)))
+    occurrences = found.withColumn("n", F.char_length("line"))
+    occurrences = occurrences.select("doc_id", "pos", "h1", "h2", *[c.alias(k) for k, c in segment_keys("line", F.col("n"), threshold).items()])
+    distinct = occurrences.groupBy("h1", "h2").agg(
+        F.min(F.struct("doc_id", "pos")).alias("head"), F.count(F.lit(1)).alias("n"), *[F.first(k).alias(k) for k in ("own", "even", "less")])
+    lines = cut_lineage(distinct.withColumn("lid", F.monotonically_increasing_id()))
+    pairs = cut_lineage(candidates(lines, threshold))
+    near = cut_lineage(components(verified(pairs, lines, found, threshold)))
     # the first place of every line that has more than one occurrence or belongs to a class of more than one line
-    classed = lines.select("lid", "line", "first", "n").join(near.withColumnRenamed("id", "lid"), "lid", "left")
-    heads = classed.where("component_id is not null").groupBy("component_id").agg(F.min("first").alias("head"))
-    known = (classed.where("component_id is not null or n > 1").join(heads, "component_id", "left")
-             .select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), F.coalesce("head", "first").alias("head")))
-    places = found.select("doc_id", "pos", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
+    classed = lines.select("lid", "h1", "h2", "head", "n").join(near.withColumnRenamed("id", "lid"), "lid", "left")
+    heads = classed.where("component_id is not null").groupBy("component_id").agg(F.min("head").alias("first"))
+    known = cut_lineage(classed.where("component_id is not null or n > 1").join(heads, "component_id", "left")
+                        .select("h1", "h2", F.coalesce("first", "head").alias("head")))
+    places = sifted(found.select("doc_id", "pos", "h1", "h2"), sieve(known, "h1", "h2"), "h1", "h2").where("_in")
     gone = places.join(known, ["h1", "h2"]).where("doc_id <> head.doc_id or pos <> head.pos")
     return gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("pos")).alias("removed"))   # at most a document's lines
 
 
 def apply(df: DataFrame, doc_id: str, text: str, gone: DataFrame) -> DataFrame:
-    """Append ``removed`` (positions, empty without) and take those lines out of ``text``."""
-    rows = df.join(gone.withColumnRenamed("doc_id", doc_id), doc_id, "left")
-    rows = rows.withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
+    """Append ``removed`` (positions, empty without) and take those lines out of ``text``. Only the rows of documents
+    that lose a line, and a few others, are shuffled."""
+    none = F.array().cast("array<int>")
+    rows = sifted(df.withColumn("_id", F.col(doc_id)), sieve(gone, "doc_id"), "_id").drop("_id")
+    hit = rows.where("_in").join(gone.withColumnRenamed("doc_id", doc_id), doc_id, "left").withColumn("removed", F.coalesce("removed", none))
     kept = F.array_join(F.transform(
         F.filter(F.transform(F.split(F.col(text), NEWLINE, -1), lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
                  lambda z: ~F.array_contains("removed", z["i"])), lambda z: z["x"]), NEWLINE)
-    return rows.withColumn(text, F.when(F.size("removed") > 0, kept).otherwise(F.col(text)))
+    hit = hit.withColumn(text, F.when(F.size("removed") > 0, kept).otherwise(F.col(text)))
+    return hit.drop("_in").unionByName(rows.where("not _in").drop("_in").withColumn("removed", none))
 
 
 def dedup(df: DataFrame, doc_id: str, text: str, **options) -> DataFrame:
     """``df`` with ``removed`` appended and its texts without the removed lines."""
-    return apply(df.drop("removed"), doc_id, text, _table(removals(df, doc_id, text, **options)))
+    return apply(df.drop("removed"), doc_id, text, cut_lineage(removals(df, doc_id, text, **options)))
