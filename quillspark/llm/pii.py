@@ -175,12 +175,14 @@ def context_totals(df: DataFrame, text: str, contexts: DataFrame) -> DataFrame:
     return counted.groupBy("context").agg(F.sum("n").alias("total")).join(contexts, "context", "left_semi")
 
 
-def find(df: DataFrame, text: str, support: int = 5, confidence: float = 0.5, rounds: int = 3) -> DataFrame:
-    """Append ``spans``: the base spans and, as kinds ``ctx_...``, the discovered ones.
+def find(df: DataFrame, text: str, support: int = 5, confidence: float = 0.5, rounds: int = 3, keep_text: bool = False) -> DataFrame:
+    """Append ``spans``: the base spans and, as kinds ``ctx_...``, the discovered ones. The text itself goes, so that
+    the table of mentions stays small, unless ``keep_text``.
 
     ``rounds`` is how far found values carry to further contexts (a parameter of the method, not a limit on rows)."""
     named = df.withColumn("_row", F.monotonically_increasing_id())
-    table = cut_lineage(mentions(named, text).drop(text))
+    found = mentions(named, text)
+    table = cut_lineage(found if keep_text else found.drop(text))
     m = table.select("_row", F.explode("mentions").alias("m")).select("_row", "m.*").where("context <> 0")
     seen = m.groupBy("context", "value").agg(F.max("kind").alias("kind"), F.count(F.lit(1)).alias("n"))
     wide = seen.groupBy("context").agg(F.count(F.lit(1)).alias("values"), F.count("kind").alias("seeds"))

@@ -134,7 +134,7 @@ def test_discovers_identifiers_by_context(spark):
 
 def test_redaction(spark):
     df = spark.createDataFrame([(0, "é mail a@b.co now"), (1, None), (2, "none")], "doc_id long, text string")
-    out = spans.redact(pii.find(df, "text"), "text", "spans")
+    out = spans.redact(pii.find(df, "text", keep_text=True), "text", "spans")
     assert {r["doc_id"]: r["text"] for r in out.collect()} == {0: "é mail [email] now", 1: None, 2: "none"}
 
 
