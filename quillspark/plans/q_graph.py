@@ -10,6 +10,7 @@ from ..operators import community_price as cp
 from ..operators import graph as gx
 from ..operators import text_features as tf
 from ..operators import vectors as vx
+from ..session import cut_lineage
 from .common import fixture, fixture_cte, r6, read_table
 
 K = 10
@@ -224,7 +225,38 @@ sh AS (SELECT nx.date, c.community, c.n FROM cnt c JOIN nx ON nx.prev_date = c.d
 SELECT md.date, md.Close, tp.community, coalesce(sh.n, 0) AS n_prev
 FROM md CROSS JOIN tp LEFT JOIN sh ON sh.date = md.date AND sh.community = tp.community"""
 
+# ------------------------------------------------------------------------------------------- Q9
+def community_price_job(spark, d, threshold: float = 0.7, top_n: int = 14, start: str = "singletons", dim: int = 64):
+    """Q9 as one job over texts: T4 text vectors, G1 k-NN graph, communities (G4 merging to its end from single texts,
+    or G2 Louvain first), G3 modularity of the result, T6 labels, G6 activity before large price moves, W10 suffixes
+    in order of impact. A post belongs to the text it carries.
+
+    One row for each of the ``top_n`` communities that post more before large moves."""
+    docs = read_table(spark, d, "documents").select("doc_id", "text").where("text is not null")
+    tokens = docs.select("doc_id", F.explode(tf.word_tokens("text")).alias("tok"))
+    v = cut_lineage(tf.hash_embeddings(tokens, "doc_id", dim=dim))
+    edges = cut_lineage(vx.undirected_edges(vx.knn(v, "doc_id", "embedding", K, threshold=threshold)))
+    ids = v.select(F.col("doc_id").alias("id"))
+    part = gx.louvain(edges, ids) if start == "louvain" else ids.withColumn("community", F.col("id"))
+    part = cut_lineage(gx.merge_similar_communities(v, part, "doc_id", "embedding", threshold=threshold))
+    quality = gx.modularity(edges, part).select(r6("modularity").alias("modularity"), "n_communities")
+    member = part.withColumnRenamed("id", "doc_id")
+    names = tf.community_labels(docs.join(member, "doc_id"), "community").withColumnRenamed("label", "base")
+    sizes = part.groupBy("community").agg(F.count(F.lit(1)).alias("size"))
+    n_docs = max(read_table(spark, d, "documents").count(), 1)
+    posts = fixture(spark, d, "engagement").select("date", (F.col("row_id") % n_docs).alias("doc_id"))
+    diff = cp.activity_difference(posts.join(member, "doc_id").select("date", "community"), cp.significant_days(fixture(spark, d, "stock")))
+    top = ag.top_k(diff.where(F.col("diff") > 0), [F.col("diff").desc(), F.col("community").asc()], top_n)
+    impact = [F.col("diff").desc(), F.col("community").asc()]
+    again = F.row_number().over(Window.partitionBy("base").orderBy(*impact)) - 1       # over top_n rows
+    out = top.join(names, "community").join(sizes, "community").crossJoin(F.broadcast(quality))
+    return out.select(F.row_number().over(Window.orderBy(*impact)).cast("bigint").alias("rank"), "community", r6("diff").alias("diff"), "size",
+                      F.when(again == 0, F.col("base")).otherwise(F.concat("base", F.lit(" ("), again.cast("string"), F.lit(")"))).alias("label"),
+                      "modularity", "n_communities")
+
+
 REGISTRY = {
+    "community_price_job": (community_price_job, None),
     "knn_graph": (knn_graph, SQL_KNN),
     "modularity": (modularity, SQL_MODULARITY),
     "community_centroids": (community_centroids, SQL_CENTROIDS),

@@ -269,21 +269,27 @@ def _merged_returns(spark, d):
     s = fixture(spark, d, "stock").select("Date", "Close", "Volume")
     s = series.add_pct_change(s, "Close", "Date", "price_change", scale=100.0)
     s = series.add_pct_change(s, "Volume", "Date", "volume_change", scale=100.0)
-    return daily.join(s, daily["date"] == s["Date"], "inner").drop("Date")
+    s = s.withColumnRenamed("Date", "_day")           # column names ignore case: dropping "Date" would drop "date" too
+    return daily.join(s, F.col("date") == F.col("_day"), "inner").drop("_day")
 
 
 def engagement_return_corr(spark, d):
     """A15 (r) + A16 (degree-1 fit) of each daily engagement sum against the price change.
     The first price row has no return; it is left out (pairwise complete rows)."""
     m = _merged_returns(spark, d).where(F.col("price_change").isNotNull())
-    parts = []
+    aggs = [F.count(F.lit(1)).alias("n")]
     for c in METRICS4:
         x = F.col(f"{c}_sum").cast("double")
-        parts.append(m.agg(F.lit(f"{c}_sum").alias("metric"), F.count(F.lit(1)).alias("n"),
-                           r6(F.corr(x, "price_change")).alias("correlation"),
-                           r6(F.regr_slope("price_change", x)).alias("slope"),
-                           r6(F.regr_intercept("price_change", x)).alias("intercept")))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        aggs += [r6(F.corr(x, "price_change")).alias(f"{c}_r"), r6(F.regr_slope("price_change", x)).alias(f"{c}_s"),
+                 r6(F.regr_intercept("price_change", x)).alias(f"{c}_i")]
+    stack = ", ".join(f"'{c}_sum', {c}_r, {c}_s, {c}_i" for c in METRICS4)
+    return m.agg(*aggs).selectExpr("n", f"stack({len(METRICS4)}, {stack}) AS (metric, correlation, slope, intercept)").select(
+        "metric", "n", "correlation", "slope", "intercept")
+
+
+def daily_engagement_returns(spark, d):
+    """Daily sum, mean and max of the four counts next to the price and volume changes of the day."""
+    return _merged_returns(spark, d).withColumns({c: r6(c) for c in ("price_change", "volume_change")})
 
 
 def engagement_return_pvalue(spark, d):
@@ -303,6 +309,8 @@ mg AS (SELECT dly.*, sc.Close, sc.Volume, sc.price_change, sc.volume_change FROM
 """
 
 
+SQL_ENG_RETURNS = _merged_sql() + """SELECT * REPLACE (round(price_change, 6) AS price_change, round(volume_change, 6) AS volume_change) FROM mg"""
+
 SQL_ENG_CORR = _merged_sql() + " UNION ALL ".join(
     f"""SELECT '{c}_sum' AS metric, count(*) AS n, round(corr(CAST({c}_sum AS DOUBLE), price_change), 6) AS correlation,
  round(regr_slope(price_change, CAST({c}_sum AS DOUBLE)), 6) AS slope, round(regr_intercept(price_change, CAST({c}_sum AS DOUBLE)), 6) AS intercept
@@ -428,6 +436,7 @@ REGISTRY = {
     "quiet_days": (quiet_days, SQL_QUIET_DAYS),
     "weekday_share": (weekday_share, SQL_WEEKDAY_SHARE),
     "activity_stats": (activity_stats, SQL_ACTIVITY_STATS),
+    "daily_engagement_returns": (daily_engagement_returns, SQL_ENG_RETURNS),
     "engagement_return_corr": (engagement_return_corr, SQL_ENG_CORR),
     "engagement_return_pvalue": (engagement_return_pvalue, None),
     "top_decile_days": (top_decile_days, SQL_TOP_DECILE),
