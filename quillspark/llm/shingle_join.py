@@ -8,12 +8,14 @@ prefix where the sketch foretells many candidates, and its pairs must then share
 
 1. Documents with equal sets are one class (map-side combined digests), whose least id stands for all.
 2. Classes write their prefixes; shingles that only one class has go.
-3. Two rounds compare each class with one centre of its shingles, its most frequent one; classes that link
-   join components. Large groups of near copies melt into one here, in a number of comparisons that is linear in them.
+3. Two rounds compare each class with one centre, the class it shares most with among those that have the least hash
+   of a shingle; classes that link join components. Large groups of near copies melt into one here, in a number of
+   comparisons that is linear in them.
 4. All pairs of classes in different components that share enough prefix shingles are verified, so that no link
    between components is lost, and the components are taken again.
 
-Verification intersects the full sets, streamed by centre; centres of many members are salted. The sketch has a fixed
+Verification intersects the full sets, made again from the texts of the pairs, which compress better than hashes and
+stream past their centre; centres of many members are salted. The sketch has a fixed
 size and only steers the order: results never depend on it. Equal hashes stand for equal shingles.
 
 Documents without words, and null texts, have no shingles and link with nothing. Rows that repeat an id count as one
@@ -31,13 +33,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import components, drop_table, schema, slices, utf8, with_kernel, word_hashes, words_of
+from .common import components, drop_table, list_column, schema, slices, utf8, with_kernel, word_hashes, words_of
 
 IS_WORD = np.array([not (b == 32 or 9 <= b <= 13) for b in range(256)])
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 #: The sketch has 2^SKETCH_BITS counters, sent in chunks.
 SKETCH_BITS, CHUNK = 21, 1 << 16
 MOST_MATCHES = 4
+#: Rounds that compare classes with centres only.
+STARS = 2
 #: Members of a centre that one salt holds.
 MEMBERS = 256
 
@@ -83,12 +87,8 @@ def digests_and_sketch(docs: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingle_sets(part.column("text"), k)
-                for s in sets:
-                    sketch += np.bincount(counter(s), minlength=1 << SKETCH_BITS).astype(np.uint32) if len(s) > 1 << 18 else 0
-                small = [s for s in sets if len(s) <= 1 << 18]
-                if small:
-                    at, n = np.unique(counter(np.concatenate(small)), return_counts=True)
-                    sketch[at] += n.astype(np.uint32)
+                if any(map(len, sets)):
+                    sketch += np.bincount(counter(np.concatenate(sets)), minlength=1 << SKETCH_BITS).astype(np.uint32)
                 m = part.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
@@ -158,7 +158,6 @@ def prefixes(docs: DataFrame, k: int, sketch: np.ndarray, percent: int) -> DataF
                 m.append(l)
                 tokens.append(p.astype(np.int64))
             size = np.array([len(t) for t in tokens], np.int64)
-            from .common import list_column
             return [pa.array(n, pa.int64()), pa.array(m, pa.int32()), list_column(size, pa.array(np.concatenate(tokens)))]
 
         return f
@@ -166,9 +165,9 @@ def prefixes(docs: DataFrame, k: int, sketch: np.ndarray, percent: int) -> DataF
     return with_kernel(docs, "text", schema("n bigint, matches int, tokens array<bigint>"), kernel).drop("text")
 
 
-def full_sets(docs: DataFrame, k: int, ids: DataFrame) -> DataFrame:
-    """``(doc_id, n, shingles)``, packed, of the documents in ``ids`` and few others: a bitmap of their hashes, of a
-    fixed size, thins the pass before anything is shuffled."""
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` whose id is in ``ids``, and few others: a bitmap of the ids' hashes, of a fixed size, thins the rows
+    before anything is shuffled."""
     bits = 24
     place = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - bits)
     filled = (ids.select(place.alias("bit")).groupBy(F.expr("bit >> 6").alias("w")).agg(F.bit_or(F.expr("1L << CAST(bit & 63 AS INT)")).alias("b")).collect())
@@ -180,45 +179,65 @@ def full_sets(docs: DataFrame, k: int, ids: DataFrame) -> DataFrame:
     def run(batches):
         flags = np.unpackbits(sent.value.view(np.uint8), bitorder="little").astype(bool)
         for batch in batches:
-            batch = batch.filter(pa.array(flags[batch.column("bit").to_numpy()]))
-            for part in slices(batch, "text"):
-                sets = shingle_sets(part.column("text"), k)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                                                  pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "n", "shingles"])
+            yield batch.filter(pa.array(flags[batch.column("bit").to_numpy()])).select(["doc_id", "text"])
+
+    return docs.where("doc_id is not null").withColumn("bit", place).mapInArrow(run, "doc_id bigint, text string")
 
-    return docs.withColumn("bit", place).mapInArrow(run, "doc_id bigint, n bigint, shingles binary")
 
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    small, large = (a, b) if len(a) <= len(b) else (b, a)
+    if not len(small) or 100 * len(small) < percent * len(large):
+        return False
+    both = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The ``pairs (a, b)`` whose full sets are similar enough. Sets of the members stream past the set of their
+
+def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The ``pairs (a, b)`` whose full sets are similar enough. Texts of the members stream past the set of their
     centre ``a``; a centre of many members has a copy for each ``MEMBERS`` of them."""
     sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("m"))
     salts = sizes.select("a", F.ceil(F.col("m") / MEMBERS).cast("int").alias("salts"))
     members = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.col("b").alias("doc_id"))
     centres = salts.select("a", F.explode(F.expr("sequence(0, salts - 1)")).alias("salt"), F.col("a").alias("doc_id"))
-    rows = (members.withColumn("role", F.lit(1)).unionByName(centres.withColumn("role", F.lit(0)))).join(sets, "doc_id")
+    wanted = members.withColumn("role", F.lit(1)).unionByName(centres.withColumn("role", F.lit(0)))
+    rows = wanted.join(texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))), "doc_id")
     rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
 
     def run(batches):
         at, centre = None, None
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in ("a", "salt", "role", "doc_id", "shingles")]
             out = ([], [])
-            for a, salt, role, doc, raw in zip(*cols):
-                s = np.frombuffer(raw, np.uint64)
-                if role == 0:
-                    at, centre = (a, salt), s
-                elif at == (a, salt):
-                    small, large = (s, centre) if len(s) <= len(centre) else (centre, s)
-                    if 100 * len(small) < percent * len(large):
-                        continue
-                    both = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
-                    if 100 * both >= percent * (len(s) + len(centre) - both):
+            for part in slices(batch, "text"):
+                cols = [part.column(c).to_pylist() for c in ("a", "salt", "role", "doc_id")]
+                for a, salt, role, doc, s in zip(*cols, shingle_sets(part.column("text"), k)):
+                    if role == 0:
+                        at, centre = (a, salt), s
+                    elif at == (a, salt) and similar(s, centre, percent):
                         out[0].append(a)
                         out[1].append(doc)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], names=["a", "b"])
 
-    return rows.select("a", "salt", "role", "doc_id", "shingles").mapInArrow(run, "a bigint, b bigint")
+    return rows.select("a", "salt", "role", "doc_id", "text").mapInArrow(run, "a bigint, b bigint")
+
+
+def candidate_pairs(t: DataFrame, last: bool, round_: int, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of classes in different components from ``t (token, doc_id, n, matches, comp)``, all of whose
+    tokens are in several components: in the last round all that share enough, before with one centre a class."""
+    enough = F.col("m") >= F.least("am", "bm")
+    sizes = 100 * F.least("an", "bn") >= percent * F.greatest("an", "bn")
+    if last:
+        x, y = (t.select("token", F.col("doc_id").alias(c), F.col("n").alias(c + "n"), F.col("matches").alias(c + "m"), F.col("comp").alias(c + "c")) for c in "ab")
+        pairs = x.join(y, "token").where("a < b and ac <> bc").where(sizes).groupBy("a", "b").agg(
+            F.count(F.lit(1)).alias("m"), F.first("am").alias("am"), F.first("bm").alias("bm"))
+        return pairs.where(enough).select("a", "b")
+    # a token's centre: the class of the least hash, which differs from round to round
+    t = t.withColumn("h", F.xxhash64("doc_id", F.lit(round_)))
+    centre = t.groupBy("token").agg(F.min("h").alias("z"))
+    met = t.join(centre, "token").where("h <> z").groupBy("z", F.col("doc_id").alias("b")).agg(
+        F.count(F.lit(1)).alias("m"), F.first("n").alias("bn"), F.first("matches").alias("bm"), F.first("comp").alias("bc"))
+    of = t.groupBy("h").agg(F.first("doc_id").alias("a"), F.first("n").alias("an"), F.first("matches").alias("am"), F.first("comp").alias("ac"))
+    pairs = met.join(of, met["z"] == of["h"]).where("ac <> bc").where(sizes).where(enough)
+    return pairs.groupBy("b").agg(F.max_by("a", F.struct("m", "a")).alias("a")).select("a", "b")
 
 
 def find(df: DataFrame, doc_id: str, text: str, k: int = 5, percent: int = 80) -> DataFrame:
@@ -232,33 +251,22 @@ def find(df: DataFrame, doc_id: str, text: str, k: int = 5, percent: int = 80) -
     own = prefixes(docs, k, sketch, percent).where("n > 0").join(classes.select("doc_id").distinct(), "doc_id", "left_semi")
     tokens = own.select("doc_id", F.col("n").cast("int").alias("n"), "matches", F.explode("tokens").alias("token"))
     # only shingles of two classes or more matter from here on
-    shared = tokens.groupBy("token").agg(F.min("doc_id").alias("_lo"), F.max("doc_id").alias("_hi")).where("_lo <> _hi").select("token")
-    tokens = cut_lineage(tokens.join(shared, "token"))
-    sets = cut_lineage(full_sets(docs, k, tokens.select("doc_id").distinct()))
+    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("token")
+    t = cut_lineage(tokens.join(shared, "token").withColumn("comp", F.col("doc_id")))
     links, near = None, None
-    for round_ in range(3):
-        t = tokens if near is None else tokens.join(near.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
-            "comp", F.coalesce("component_id", "doc_id")).drop("component_id")
-        t = t.withColumn("comp", F.col("doc_id")) if near is None else t
-        mixed = t.groupBy("token").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"),
-                                       F.min(F.struct(F.xxhash64("doc_id", F.lit(round_)).alias("h"), F.col("doc_id").alias("c"), F.col("comp").alias("cc"), F.col("n").alias("cn"), F.col("matches").alias("cm"))).alias("z")).where("_lo <> _hi")
-        if round_ < 2:
-            pairs = (t.join(mixed, "token").where("doc_id <> z.c and comp <> z.cc")
-                     .where(f"100 * least(n, z.cn) >= {percent} * greatest(n, z.cn)")
-                     .groupBy(F.col("z.c").alias("a"), F.col("doc_id").alias("b")).agg(F.count(F.lit(1)).alias("m"), F.first(F.least("matches", "z.cm")).alias("l")).where("m >= l"))
-            # one centre for each class: the one it shares most with
-            pairs = pairs.groupBy("b").agg(F.max_by("a", F.struct("m", "a")).alias("a")).select("a", "b")
-        else:
-            t = cut_lineage(t.join(mixed.select("token"), "token"))
-            x = t.select("token", F.col("doc_id").alias("a"), F.col("n").alias("an"), F.col("matches").alias("am"), F.col("comp").alias("ac"))
-            y = t.select("token", F.col("doc_id").alias("b"), F.col("n").alias("bn"), F.col("matches").alias("bm"), F.col("comp").alias("bc"))
-            pairs = (x.join(y, "token").where("a < b and ac <> bc").where(f"100 * least(an, bn) >= {percent} * greatest(an, bn)")
-                     .groupBy("a", "b").agg(F.count(F.lit(1)).alias("m"), F.first(F.least("am", "bm")).alias("l")).where("m >= l").select("a", "b"))
-        new = cut_lineage(verified(cut_lineage(pairs), sets, percent))
+    for round_ in range(STARS + 1):
+        pairs = cut_lineage(candidate_pairs(t, round_ == STARS, round_, percent))
+        new = cut_lineage(verified(pairs, docs, k, percent))
         links = new if links is None else links.unionByName(new)
-        if near is not None:
-            drop_table(near)
         near = cut_lineage(components(links))
+        if round_ < STARS:
+            # the next round needs the tokens that are still in several components
+            now = t.drop("comp").join(near.select(F.col("id").alias("doc_id"), "component_id"), "doc_id", "left").withColumn(
+                "comp", F.coalesce("component_id", "doc_id")).drop("component_id")
+            mixed = now.groupBy("token").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo <> _hi").select("token")
+            rest = cut_lineage(now.join(mixed, "token"))
+            drop_table(t)
+            t = rest
     reps = classes.join(near.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "digest", F.coalesce("component_id", "doc_id").alias("component_id"))
     return rows.join(reps, "digest", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
