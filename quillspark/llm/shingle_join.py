@@ -8,11 +8,11 @@ prefix where the sketch foretells many candidates, and its pairs must then share
 
 1. Documents with equal sets are one class (map-side combined digests), whose least id stands for all.
 2. Classes write their prefixes; shingles that only one class has go.
-3. Two rounds compare each class with one centre, the class it shares most with among those that have the least hash
-   of a shingle; classes that link join components. Large groups of near copies melt into one here, in a number of
-   comparisons that is linear in them.
-4. All pairs of classes in different components that share enough prefix shingles are verified, so that no link
-   between components is lost, and the components are taken again.
+3. Two rounds compare each class with one centre: of the centres of its shingles (first the class with the most
+   frequent prefix, then one by hash) the one it shares most with. Classes that link join components. Large groups of
+   near copies melt into one here, in a number of comparisons that is linear in them.
+4. All pairs of classes in different components that share enough prefix shingles, and whose bounds on what they can
+   share, by the places of the prefix shingles that both have, reach the overlap they need, are verified, so that no link between components is lost, and the components are taken again.
 
 Verification intersects the full sets, made again from the texts of the pairs, which compress better than hashes and
 stream past their centre; centres of many members are salted. The sketch has a fixed
@@ -143,7 +143,8 @@ def prefix(s: np.ndarray, sketch: np.ndarray, noise: float, percent: int) -> tup
 
 
 def prefixes(docs: DataFrame, k: int, sketch: np.ndarray, percent: int) -> DataFrame:
-    """``(doc_id, n, matches, tokens)``: packed prefix of every document with shingles."""
+    """``(doc_id, n, matches, common, tokens)``: prefix of every document with shingles, and how many of its shingles
+    the sketch knows as frequent."""
     sent = docs.sparkSession.sparkContext.broadcast(sketch.astype(np.uint32))
     noise = float(np.median(sketch)) + 3 * float(np.sqrt(np.median(sketch) + 1))
 
@@ -151,18 +152,19 @@ def prefixes(docs: DataFrame, k: int, sketch: np.ndarray, percent: int) -> DataF
         counts = sent.value.astype(np.int64)
 
         def f(batch):
-            n, m, tokens = [], [], []
+            n, m, common, tokens = [], [], [], []
             for s in shingle_sets(batch.column("text"), k):
                 p, l = prefix(s, counts, noise, percent) if len(s) else (s, 0)
                 n.append(len(s))
                 m.append(l)
+                common.append(int((counts[counter(p)] > noise).sum()))
                 tokens.append(p.astype(np.int64))
             size = np.array([len(t) for t in tokens], np.int64)
-            return [pa.array(n, pa.int64()), pa.array(m, pa.int32()), list_column(size, pa.array(np.concatenate(tokens)))]
+            return [pa.array(n, pa.int64()), pa.array(m, pa.int32()), pa.array(common, pa.int32()), list_column(size, pa.array(np.concatenate(tokens)))]
 
         return f
 
-    return with_kernel(docs, "text", schema("n bigint, matches int, tokens array<bigint>"), kernel).drop("text")
+    return with_kernel(docs, "text", schema("n bigint, matches int, common int, tokens array<bigint>"), kernel).drop("text")
 
 
 def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -221,21 +223,34 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
 
 
 def candidate_pairs(t: DataFrame, last: bool, round_: int, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` of classes in different components from ``t (token, doc_id, n, matches, comp)``, all of whose
-    tokens are in several components: in the last round all that share enough, before with one centre a class."""
+    """Pairs ``(a, b)`` of classes in different components from ``t (token, pos, doc_id, n, matches, common,
+    comp)``, all of whose tokens are in several components: in the last round all that can be similar enough, before
+    with one centre a class. ``pos`` is the token's place in its set."""
     enough = F.col("m") >= F.least("am", "bm")
     sizes = 100 * F.least("an", "bn") >= percent * F.greatest("an", "bn")
+
+    def reaches(overlap):
+        return overlap * (100 + percent) >= percent * (F.col("an") + F.col("bn"))
+
     if last:
-        x, y = (t.select("token", F.col("doc_id").alias(c), F.col("n").alias(c + "n"), F.col("matches").alias(c + "m"), F.col("comp").alias(c + "c")) for c in "ab")
-        pairs = x.join(y, "token").where("a < b and ac <> bc").where(sizes).groupBy("a", "b").agg(
-            F.count(F.lit(1)).alias("m"), F.first("am").alias("am"), F.first("bm").alias("bm"))
-        return pairs.where(enough).select("a", "b")
-    # a token's centre: the class of the least hash, which differs from round to round
-    t = t.withColumn("h", F.xxhash64("doc_id", F.lit(round_)))
-    centre = t.groupBy("token").agg(F.min("h").alias("z"))
+        names = {"doc_id": "", "n": "n", "matches": "m", "comp": "c", "pos": "pos"}
+        x, y = (t.select("token", *[F.col(c).alias(side + as_) for c, as_ in names.items()]) for side in "ab")
+        # up to a token that both have they share no more than its place, behind it no more than what is left
+        here = F.least("apos", "bpos") + F.least(F.col("an") - F.col("apos"), F.col("bn") - F.col("bpos"))
+        met = x.join(y, "token").where("a < b and ac <> bc").where(sizes & reaches(here))
+        pairs = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("m"), F.max("apos").alias("apos"), F.max("bpos").alias("bpos"),
+                                          *[F.first(c).alias(c) for c in ("an", "bn", "am", "bm")])
+        left = F.col("m") + F.least(F.col("an") - F.col("apos"), F.col("bn") - F.col("bpos"))
+        return pairs.where(enough & reaches(left)).select("a", "b")
+    # a token's centre, first: the class with most frequent shingles in its prefix. Of a family of near copies that is
+    # one with few shingles of its own, the nearest to all others. Later: the class of the greatest hash
+    lead = F.col("common") if round_ == 0 else F.lit(0)
+    t = t.withColumn("h", lead.cast("bigint") * (1 << 40) + F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(round_)), 24))
+    centre = t.groupBy("token").agg(F.max("h").alias("z"))
+    own = {"n": "n", "matches": "m", "comp": "c"}
     met = t.join(centre, "token").where("h <> z").groupBy("z", F.col("doc_id").alias("b")).agg(
-        F.count(F.lit(1)).alias("m"), F.first("n").alias("bn"), F.first("matches").alias("bm"), F.first("comp").alias("bc"))
-    of = t.groupBy("h").agg(F.first("doc_id").alias("a"), F.first("n").alias("an"), F.first("matches").alias("am"), F.first("comp").alias("ac"))
+        F.count(F.lit(1)).alias("m"), *[F.first(c).alias("b" + as_) for c, as_ in own.items()])
+    of = t.groupBy("h").agg(F.first("doc_id").alias("a"), *[F.first(c).alias("a" + as_) for c, as_ in own.items()])
     pairs = met.join(of, met["z"] == of["h"]).where("ac <> bc").where(sizes).where(enough)
     return pairs.groupBy("b").agg(F.max_by("a", F.struct("m", "a")).alias("a")).select("a", "b")
 
@@ -249,7 +264,8 @@ def find(df: DataFrame, doc_id: str, text: str, k: int = 5, percent: int = 80) -
     classes = rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
     sketch = summed_sketch(table.where("chunk is not null").select("chunk", "counts"))
     own = prefixes(docs, k, sketch, percent).where("n > 0").join(classes.select("doc_id").distinct(), "doc_id", "left_semi")
-    tokens = own.select("doc_id", F.col("n").cast("int").alias("n"), "matches", F.explode("tokens").alias("token"))
+    tokens = own.select("doc_id", F.col("n").cast("int").alias("n"), "matches", "common",
+                        F.posexplode("tokens").alias("pos", "token")).withColumn("pos", F.col("pos") + 1)
     # only shingles of two classes or more matter from here on
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("token")
     t = cut_lineage(tokens.join(shared, "token").withColumn("comp", F.col("doc_id")))

@@ -130,15 +130,16 @@ def test_only_empty_texts_and_repeated_rows(spark, tmp_path, name):
         assert {(r["vec_id"], r["component_id"]) for r in got} == {(0, 0), (1, 1), (2, 1)}
 
 
-def test_random_shingle_joins(spark, tmp_path):
+@pytest.mark.parametrize("seed", [9, 10])
+def test_random_shingle_joins(spark, tmp_path, seed):
     """Large groups of near copies with borderline pairs: components equal brute force."""
-    rng = random.Random(9)
+    rng = random.Random(seed)
     docs = []
-    for _ in range(4):
-        w = data.prose(rng, 80).split()
-        for _ in range(25):
+    for _ in range(6):
+        w = data.prose(rng, rng.randrange(40, 160)).split()
+        for _ in range(40):
             v = list(w)
-            for _ in range(rng.randrange(4)):
+            for _ in range(rng.randrange(6)):
                 v[rng.randrange(len(v))] = f"new{rng.randrange(10**6)}"
             docs.append(" ".join(v))
     got = rows(spark, "op10", data.write(tmp_path, docs=docs))
