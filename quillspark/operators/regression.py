@@ -125,7 +125,7 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
 
 
 def linear_svr(train: DataFrame, features: Sequence[str], label: str, C: float = 0.01, epsilon: float = 10.0,
-               lr: float = 0.1, tol: float = 1e-6, patience: int = 40, max_iter: int = 20_000):
+               lr: float = 0.1, tol: float = 1e-3, patience: int = 25, max_iter: int = 20_000):
     """M6: linear epsilon-insensitive SVR, minimising 0.5|w|^2 + C * sum(max(0, |y - w.x - b| - eps)) by
     sub-gradient steps on standardised features. Each step's gradient and loss are one distributed aggregate.
 

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from quillspark.operators import graph as gx
-from quillspark.operators import regression as rg
 from quillspark.plans import q_graph, q_models
 from quillspark.sources import sinks
 from quillspark.sources.tables import fixture
@@ -47,11 +46,10 @@ def test_pointer_cycles_raise(spark):
 
 
 def test_linear_model_is_saved_and_loaded(spark, scratch_dir):
-    df = spark.createDataFrame([(float(i), 3.0 * i + 1) for i in range(30)], "x double, y double")
-    w, b = rg.linear_svr(df, ["x"], "y", C=10.0, epsilon=0.1, max_iter=3000)
-    sinks.save_model(spark, ("svr", w, b), scratch_dir + "/m", "svr", {"r2": 1.0}, {}, ["x"])
+    w, b = [0.5, -2.0], 3.25
+    sinks.save_model(spark, ("svr", w, b), scratch_dir + "/m", "svr", {"r2": 1.0}, {}, ["x", "z"])
     kind, w2, b2 = sinks.load_model(spark, scratch_dir + "/m")
-    assert kind == "svr" and list(w2) == [float(x) for x in w] and b2 == float(b)
+    assert (kind, list(w2), b2) == ("svr", w, b)
     assert sinks.load_model(spark, scratch_dir + "/none") is None
     with pytest.raises(TypeError):
         sinks.save_model(spark, object(), scratch_dir + "/x", "x", {}, {}, [])
