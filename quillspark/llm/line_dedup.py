@@ -12,6 +12,9 @@ Equal lines are one row, and two different lines link when their edit distance i
 3. Linked lines are classes (transitively). A class keeps its first place, by doc_id, then by line; all its other
    occurrences are removed, wherever they are.
 
+Joins whose sides follow the corpus are sort-merge joins by hint, so that the plan is the same at every size; only the
+sieves, of a fixed size, are broadcast.
+
 Shorter lines and blank lines always stay. Null and empty texts stay as they are. A text of which no line is left
 becomes empty. Rows that repeat an id count as one document. Other columns aren't read.
 """
@@ -97,8 +100,8 @@ def candidates(lines: DataFrame, k: int) -> DataFrame:
     index = lines.select(F.col("lid").alias("a"), F.explode("own").alias("key"))
     equal = lines.select(F.col("lid").alias("b"), F.explode(F.concat("own", "even") if k > 1 else F.col("own")).alias("key")).where("key is not null")
     less = lines.select(F.col("lid").alias("b"), F.explode("less").alias("key")).where("key is not null")
-    same = index.join(equal, "key").where("a < b").select("a", "b")
-    shorter = index.join(less, "key").where("a <> b").select("a", "b")
+    same = index.join(equal.hint("merge"), "key").where("a < b").select("a", "b")
+    shorter = index.join(less.hint("merge"), "key").where("a <> b").select("a", "b")
     return same.unionByName(shorter).distinct()
 
 
@@ -178,7 +181,7 @@ def _equal_steps(p: Column, t: Column, end: bool, step: int = 16) -> Column:
 def verified(pairs: DataFrame, lines: DataFrame, found: DataFrame, k: int) -> DataFrame:
     """The pairs of lines within ``k`` edits. ``lines (lid, h1, h2)`` of the pairs fetch their texts from ``found``."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct()
-    wanted = cut_lineage(lines.select("lid", "h1", "h2").join(ids, "lid", "left_semi"))
+    wanted = cut_lineage(lines.select("lid", "h1", "h2").join(ids.hint("merge"), "lid", "left_semi"))
     near = sifted(found.select("h1", "h2", "line"), sieve(wanted, "h1", "h2"), "h1", "h2").where("_in")
     texts = cut_lineage(near.groupBy("h1", "h2").agg(F.first("line").alias("line")).join(wanted, ["h1", "h2"]).select("lid", "line"))
     x = texts.select(F.col("lid").alias("a"), F.col("line").alias("s"))
@@ -200,12 +203,12 @@ def removals(df: DataFrame, doc_id: str, text: str, threshold: int = 1, min_char
     pairs = cut_lineage(candidates(lines, threshold))
     near = cut_lineage(components(verified(pairs, lines, found, threshold)))
     # the first place of every line that has more than one occurrence or belongs to a class of more than one line
-    classed = lines.select("lid", "h1", "h2", "head", "n").join(near.withColumnRenamed("id", "lid"), "lid", "left")
+    classed = lines.select("lid", "h1", "h2", "head", "n").join(near.withColumnRenamed("id", "lid").hint("merge"), "lid", "left")
     heads = classed.where("component_id is not null").groupBy("component_id").agg(F.min("head").alias("first"))
     known = cut_lineage(classed.where("component_id is not null or n > 1").join(heads, "component_id", "left")
                         .select("h1", "h2", F.coalesce("first", "head").alias("head")))
     places = sifted(found.select("doc_id", "pos", "h1", "h2"), sieve(known, "h1", "h2"), "h1", "h2").where("_in")
-    gone = places.join(known, ["h1", "h2"]).where("doc_id <> head.doc_id or pos <> head.pos")
+    gone = places.join(known.hint("merge"), ["h1", "h2"]).where("doc_id <> head.doc_id or pos <> head.pos")
     return gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("pos")).alias("removed"))   # at most a document's lines
 
 
@@ -214,7 +217,7 @@ def apply(df: DataFrame, doc_id: str, text: str, gone: DataFrame) -> DataFrame:
     that lose a line, and a few others, are shuffled."""
     none = F.array().cast("array<int>")
     rows = sifted(df.withColumn("_id", F.col(doc_id)), sieve(gone, "doc_id"), "_id").drop("_id")
-    hit = rows.where("_in").join(gone.withColumnRenamed("doc_id", doc_id), doc_id, "left").withColumn("removed", F.coalesce("removed", none))
+    hit = rows.where("_in").join(gone.withColumnRenamed("doc_id", doc_id).hint("merge"), doc_id, "left").withColumn("removed", F.coalesce("removed", none))
     kept = F.array_join(F.transform(
         F.filter(F.transform(F.split(F.col(text), NEWLINE, -1), lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
                  lambda z: ~F.array_contains("removed", z["i"])), lambda z: z["x"]), NEWLINE)
