@@ -18,6 +18,8 @@ Verification intersects the full sets, made again from the texts of the pairs, w
 stream past their centre; centres of many members are salted. The sketch has a fixed
 size and only steers the order: results never depend on it. Equal hashes stand for equal shingles.
 
+Joins whose sides follow the corpus are sort-merge joins by hint, so that the plan is the same at every size.
+
 Documents without words, and null texts, have no shingles and link with nothing. Rows that repeat an id count as one
 document. An empty table gives no row.
 """
@@ -29,7 +31,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -202,7 +204,7 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
     members = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.col("b").alias("doc_id"))
     centres = salts.select("a", F.explode(F.expr("sequence(0, salts - 1)")).alias("salt"), F.col("a").alias("doc_id"))
     wanted = members.withColumn("role", F.lit(1)).unionByName(centres.withColumn("role", F.lit(0)))
-    rows = wanted.join(texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))), "doc_id")
+    rows = wanted.hint("merge").join(texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))), "doc_id")
     rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
 
     def run(batches):
@@ -233,11 +235,13 @@ def candidate_pairs(t: DataFrame, last: bool, round_: int, percent: int) -> Data
         return overlap * (100 + percent) >= percent * (F.col("an") + F.col("bn"))
 
     if last:
-        names = {"doc_id": "", "n": "n", "matches": "m", "comp": "c", "pos": "pos"}
+        # a token's rank among the class's tokens here: all that another component's class can have are among them
+        t = t.withColumn("rank", F.row_number().over(Window.partitionBy("doc_id").orderBy("pos")))
+        names = {"doc_id": "", "n": "n", "matches": "m", "comp": "c", "pos": "pos", "rank": "rank"}
         x, y = (t.select("token", *[F.col(c).alias(side + as_) for c, as_ in names.items()]) for side in "ab")
-        # up to a token that both have they share no more than its place, behind it no more than what is left
-        here = F.least("apos", "bpos") + F.least(F.col("an") - F.col("apos"), F.col("bn") - F.col("bpos"))
-        met = x.join(y, "token").where("a < b and ac <> bc").where(sizes & reaches(here))
+        # up to a token that both have they share no more than its rank, behind it no more than what is left
+        here = F.least("arank", "brank") + F.least(F.col("an") - F.col("apos"), F.col("bn") - F.col("bpos"))
+        met = x.join(y.hint("merge"), "token").where("a < b and ac <> bc").where(sizes & reaches(here))
         pairs = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("m"), F.max("apos").alias("apos"), F.max("bpos").alias("bpos"),
                                           *[F.first(c).alias(c) for c in ("an", "bn", "am", "bm")])
         left = F.col("m") + F.least(F.col("an") - F.col("apos"), F.col("bn") - F.col("bpos"))
@@ -248,7 +252,7 @@ def candidate_pairs(t: DataFrame, last: bool, round_: int, percent: int) -> Data
     t = t.withColumn("h", lead.cast("bigint") * (1 << 40) + F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(round_)), 24))
     centre = t.groupBy("token").agg(F.max("h").alias("z"))
     own = {"n": "n", "matches": "m", "comp": "c"}
-    met = t.join(centre, "token").where("h <> z").groupBy("z", F.col("doc_id").alias("b")).agg(
+    met = t.join(centre.hint("merge"), "token").where("h <> z").groupBy("z", F.col("doc_id").alias("b")).agg(
         F.count(F.lit(1)).alias("m"), *[F.first(c).alias("b" + as_) for c, as_ in own.items()])
     of = t.groupBy("h").agg(F.first("doc_id").alias("a"), *[F.first(c).alias("a" + as_) for c, as_ in own.items()])
     pairs = met.join(of, met["z"] == of["h"]).where("ac <> bc").where(sizes).where(enough)
@@ -263,12 +267,13 @@ def find(df: DataFrame, doc_id: str, text: str, k: int = 5, percent: int = 80) -
     rows = table.where("chunk is null").select("doc_id", "n", "digest")
     classes = rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
     sketch = summed_sketch(table.where("chunk is not null").select("chunk", "counts"))
-    own = prefixes(docs, k, sketch, percent).where("n > 0").join(classes.select("doc_id").distinct(), "doc_id", "left_semi")
+    own = cut_lineage(prefixes(docs, k, sketch, percent).where("n > 0").join(
+        classes.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi"))
     tokens = own.select("doc_id", F.col("n").cast("int").alias("n"), "matches", "common",
                         F.posexplode("tokens").alias("pos", "token")).withColumn("pos", F.col("pos") + 1)
     # only shingles of two classes or more matter from here on
     shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("token")
-    t = cut_lineage(tokens.join(shared, "token").withColumn("comp", F.col("doc_id")))
+    t = cut_lineage(tokens.join(shared.hint("merge"), "token").withColumn("comp", F.col("doc_id")), replaces=own)
     links, near = None, None
     for round_ in range(STARS + 1):
         pairs = cut_lineage(candidate_pairs(t, round_ == STARS, round_, percent))
@@ -277,10 +282,10 @@ def find(df: DataFrame, doc_id: str, text: str, k: int = 5, percent: int = 80) -
         near = cut_lineage(components(links))
         if round_ < STARS:
             # the next round needs the tokens that are still in several components
-            now = t.drop("comp").join(near.select(F.col("id").alias("doc_id"), "component_id"), "doc_id", "left").withColumn(
+            now = t.drop("comp").join(near.select(F.col("id").alias("doc_id"), "component_id").hint("merge"), "doc_id", "left").withColumn(
                 "comp", F.coalesce("component_id", "doc_id")).drop("component_id")
             mixed = now.groupBy("token").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo <> _hi").select("token")
-            rest = cut_lineage(now.join(mixed, "token"))
+            rest = cut_lineage(now.join(mixed.hint("merge"), "token"))
             drop_table(t)
             t = rest
     reps = classes.join(near.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
