@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ..session import cut_lineage
 
 #: Bytes of text that a kernel holds at a time; larger single texts are processed alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import list_column, schema, utf8, with_kernel
+from .common import schema, utf8, with_kernel
 
 BUCKET_BITS = 15
 SIZES = (2, 3, 4)
@@ -88,24 +88,28 @@ def sample_counts(labelled: DataFrame, doc_id: str, text: str, lang: str, sample
         def f(batch):
             row, bucket = subwords(batch.column("text"))
             keys, n = np.unique(row.astype(np.int64) << BUCKET_BITS | bucket, return_counts=True)
-            per = np.bincount(keys >> BUCKET_BITS, minlength=batch.num_rows)
-            return [list_column(per, pa.array((keys & ((1 << BUCKET_BITS) - 1)).astype(np.int32))), list_column(per, pa.array(n.astype(np.int32)))]
+            cuts = np.searchsorted(keys >> BUCKET_BITS, np.arange(batch.num_rows + 1)).tolist()
+            bucket = (keys & ((1 << BUCKET_BITS) - 1)).astype("<i4")
+            packed = [[x[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])] for x in (bucket, n.astype("<i4"))]
+            return [pa.array(p, pa.binary()) for p in packed]
         return f
 
-    counted = with_kernel(picked, "text", schema("bucket array<int>, n array<int>"), kernel).drop("text")
-    return counted.orderBy("_h", "lang").limit(sample_rows).collect()     # bounded by sample_rows x buckets
+    counted = with_kernel(picked, "text", schema("bucket binary, n binary"), kernel).drop("text")
+    # bounded by sample_rows x buckets, packed
+    rows = counted.orderBy("_h", "lang").limit(sample_rows).collect()
+    return [(r["lang"], np.frombuffer(r["bucket"], "<i4"), np.frombuffer(r["n"], "<i4")) for r in rows]
 
 
 def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample_rows: int = 3000,
         dims: int = 16, epochs: int = 12, rate: float = 0.5, batch: int = 16, reject_share: float = 0.001, seed: int = 11) -> Model | None:
     """Train on ``labelled``; None without a labelled row. ``sample_rows`` bounds the training sample."""
-    rows = [r for r in sample_counts(labelled, doc_id, text, lang, sample_rows) if r["bucket"]]
+    rows = [r for r in sample_counts(labelled, doc_id, text, lang, sample_rows) if len(r[1])]
     if not rows:
         return None
-    langs = sorted({r["lang"] for r in rows})
-    y = np.array([langs.index(r["lang"]) for r in rows])
-    idx = [np.array(r["bucket"]) for r in rows]
-    wgt = [(np.array(r["n"]) / sum(r["n"])).astype(np.float32) for r in rows]
+    langs = sorted({r[0] for r in rows})
+    y = np.array([langs.index(r[0]) for r in rows])
+    idx = [r[1] for r in rows]
+    wgt = [(r[2] / r[2].sum()).astype(np.float32) for r in rows]
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(rows))
     held, train = order[: len(rows) // 5], order[len(rows) // 5:]
