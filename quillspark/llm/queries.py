@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from ..sources.tables import read_table
 from . import bpe, decontaminate, langid, line_dedup, pii, secrets, shards, shingle_join, spans, toxicity, vector_dups
 
@@ -77,10 +78,14 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic").where("toxic is not null")
     rest = remainder("doc_id", 4)
-    labelled = docs.where(rest != 2).join(labels.where(rest != 2), "doc_id")
-    model = toxicity.fit(labelled, "text", "toxic", rest == 3)
-    found = toxicity.predict(docs, "text", model).drop("text")
-    return found.select("doc_id", (rest == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    # only labelled texts are shuffled, once; calibration joins the labels to what the scan of all documents found
+    counted = labels.where((rest != 2) & (rest != 3))
+    texts = shingle_join.texts_of(docs, counted.select("doc_id"))
+    score, lam = toxicity.word_scores(texts.join(counted.hint("merge"), "doc_id"), "text", "toxic")
+    found = cut_lineage(toxicity.best_segments(docs, "text", score).select("doc_id", "n_tokens", "best"))
+    model = toxicity.calibrated(score, lam, found.join(labels.where(rest == 3).hint("merge"), "doc_id"), "toxic")
+    scored = found.withColumn("score", model.probability())
+    return scored.select("doc_id", (rest == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -116,12 +116,13 @@ class Model:
     slope: float
     shift: float
 
-    def evidence(self, best: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Minus the log of the expected number of chance segments as good as the best."""
-        return np.where(best > 0, self.lam * best - np.log(self.k * np.maximum(n, 1)), -20.0).clip(-20, 200)
+    def evidence(self) -> Column:
+        """Of ``(n_tokens, best)``: minus the log of the expected number of chance segments as good as the best."""
+        e = F.lit(self.lam) * F.col("best") - F.log(F.lit(self.k) * F.greatest(F.col("n_tokens"), F.lit(1)))
+        return F.greatest(F.lit(-20.0), F.least(F.lit(200.0), F.when(F.col("best") > 0, e).otherwise(-20.0)))
 
-    def probability(self, evidence: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-(self.slope * evidence + self.shift)))
+    def probability(self) -> Column:
+        return 1 / (1 + F.exp(-(F.lit(self.slope) * self.evidence() + F.lit(self.shift))))
 
 
 def _lambda(scores: np.ndarray, weights: np.ndarray) -> float:
@@ -173,31 +174,38 @@ def best_segments(df: DataFrame, text: str, score: np.ndarray, least: float | No
     return with_kernel(df, text, schema(f"n_tokens bigint, best double, segments {SEGMENTS}"), kernel)
 
 
-def fit(labelled: DataFrame, text: str, label: str, calibrate: Column, prior: float = 50.0, shrink: float = 1.0,
-        cost: float = 1.0) -> Model:
-    """Learn from ``labelled``: word counts from the rows where ``calibrate`` is false, the rest from the others."""
-    marked = labelled.withColumn("_cal", calibrate)
-    score = log_odds(document_counts(marked.where("not _cal"), text, label).collect(), prior, shrink) - cost  # 2^18 rows at most
-    cal = best_segments(marked.where("_cal").select(text, F.col(label).cast("int").alias("_y")), text, score).drop(text).persist()
-    # score distribution of ordinary documents: words of the calibration documents' buckets
-    other = document_counts(marked.where("_cal"), text, label).where("bucket >= 0").select("bucket", "other").collect()
-    w, s = np.array([r["other"] for r in other], float), score[[r["bucket"] for r in other]] if other else np.zeros(0)
-    lam = _lambda(s, w / w.sum()) if len(w) and w.sum() else 1.0
+def word_scores(labelled: DataFrame, text: str, label: str, prior: float = 50.0, shrink: float = 1.0,
+                cost: float = 1.0) -> tuple[np.ndarray, float]:
+    """The score of every word bucket, and lambda of the scores in the ordinary documents among ``labelled``."""
+    counts = document_counts(labelled, text, label).collect()           # 2^BUCKET_BITS rows at most
+    score = log_odds(counts, prior, shrink) - cost
+    other = [r for r in counts if r["bucket"] >= 0]
+    w = np.array([r["other"] for r in other], float)
+    return score, _lambda(score[[r["bucket"] for r in other]], w / w.sum()) if len(w) and w.sum() else 1.0
+
+
+def calibrated(score: np.ndarray, lam: float, found: DataFrame, label: str) -> Model:
+    """K and the logistic curve from calibration documents ``found (n_tokens, best, label)``."""
+    cal = found.select("n_tokens", "best", F.col(label).cast("int").alias("_y")).persist()
     r = cal.where("_y <> 1").agg(F.avg(F.col("n_tokens") * F.exp(-lam * F.col("best"))).alias("m")).first()
-    model = Model(score, lam, 1 / max(r["m"] or 1.0, 1e-9), 1.0, 0.0)
+    model = Model(score, lam, 1 / max(r["m"] or 1.0, 1e-9), 1.0, -3.0)
     # the logistic curve on counts by evidence, in steps of a tenth: all calibration documents, a bounded table
-    k = F.lit(model.k)
-    ev = F.when(F.col("best") > 0, F.lit(lam) * F.col("best") - F.log(k * F.greatest(F.col("n_tokens"), F.lit(1)))).otherwise(-20.0)
-    ev = F.round(F.greatest(F.lit(-20.0), F.least(F.lit(200.0), ev)), 1)
-    bins = cal.groupBy(ev.alias("x")).agg(F.sum(F.when(F.col("_y") == 1, 1).otherwise(0)).alias("pos"), F.count(F.lit(1)).alias("n")).collect()
+    bins = cal.groupBy(F.round(model.evidence(), 1).alias("x")).agg(
+        F.sum(F.when(F.col("_y") == 1, 1).otherwise(0)).alias("pos"), F.count(F.lit(1)).alias("n")).collect()
     cal.unpersist()
     if bins and 0 < sum(b["pos"] for b in bins) < sum(b["n"] for b in bins):
         model.slope, model.shift = _logistic(*(np.array([float(b[c]) for b in bins]) for c in ("x", "pos", "n")))
-    else:
-        model.slope, model.shift = 1.0, -3.0
     return model
 
 
+def fit(labelled: DataFrame, text: str, label: str, calibrate: Column, **options) -> Model:
+    """Learn from ``labelled``: word scores from the rows where ``calibrate`` is false, the rest from the others."""
+    marked = labelled.withColumn("_cal", calibrate)
+    score, lam = word_scores(marked.where("not _cal"), text, label, **options)
+    held = marked.where("_cal").select(text, F.col(label).alias("_label"))
+    return calibrated(score, lam, best_segments(held, text, score), "_label")
+
+
 def _logistic(x, pos, n) -> tuple[float, float]:
     """Slope and shift by Newton steps; a weak ridge keeps separable data finite."""
     a, b = 0.1, 0.0
@@ -219,10 +227,7 @@ def predict(df: DataFrame, text: str, model: Model, significance: float = 0.05)
     below ``significance``, as UTF-8 byte ranges with that number."""
     found = best_segments(df, text, model.score, least=0.0)
     expected = lambda s, n: F.lit(model.k) * n * F.exp(-F.lit(model.lam) * s)
-    ev = F.when(F.col("best") > 0, F.lit(model.lam) * F.col("best") - F.log(F.lit(model.k) * F.greatest("n_tokens", F.lit(1)))).otherwise(-20.0)
-    ev = F.greatest(F.lit(-20.0), F.least(F.lit(200.0), ev))
     passages = F.filter(F.transform("segments", lambda x: F.struct(x["byte_start"].alias("byte_start"), x["byte_end"].alias("byte_end"),
                                                                   x["score"].alias("score"), expected(x["score"], F.col("n_tokens")).alias("expected"))),
                         lambda x: x["expected"] < significance)
-    return (found.withColumn("score", 1 / (1 + F.exp(-(F.lit(model.slope) * ev + F.lit(model.shift)))))
-                 .withColumn("passages", passages).drop("n_tokens", "best", "segments"))
+    return found.withColumn("score", model.probability()).withColumn("passages", passages).drop("n_tokens", "best", "segments")
