@@ -31,7 +31,7 @@ def daily_features(spark, d, svd_k: int = 10, embed_n: int = 8, dim: int = 64):
     stock = fixture(spark, d, "stock").select("Date", "Close")
     # daily rows: plain ordered windows (the calendar bounds them)
     daily = ordered.asof_backward(counts, stock, "date", "Date", ["Close"], bucket_fn=None)
-    daily = ordered.ffill_bfill(daily, "Close", "date", out="tesla_close", bucket_fn=None).drop("Close")
+    daily = ordered.ffill_bfill(daily, "Close", "date", out="close_price", bucket_fn=None).drop("Close")
     sent = tf.sentiment_scores(p, "date")
     w, _vocab = tf.tfidf(p, "date", order)
     svd = tf.truncated_svd(w, "date", "term", "weight", svd_k)
@@ -39,7 +39,7 @@ def daily_features(spark, d, svd_k: int = 10, embed_n: int = 8, dim: int = 64):
     emb = emb.select("date", *[F.col("embedding")[i].alias(f"embed_{i}") for i in range(embed_n)])
     out = (daily.join(sent, "date", "left").join(svd, "date", "left").join(emb, "date", "left")
                 .na.fill(0.0, subset=["sentiment_compound"] + [f"tfidf_{i}" for i in range(svd_k)] + [f"embed_{i}" for i in range(embed_n)]))
-    return out.select(F.col("date").alias("timestamp"), *COUNT_COLS, "tesla_close", *FEATURES[6:])
+    return out.select(F.col("date").alias("timestamp"), *COUNT_COLS, "close_price", *FEATURES[6:])
 
 
 def assert_no_nulls(df):
@@ -87,7 +87,7 @@ FROM dated_posts WHERE date IS NOT NULL"""
 def smote_rows(spark, d):
     """M2: synthetic training rows with their parents and alpha."""
     f = _prepared(spark, d)
-    return rg.smote(f.where("is_train"), "timestamp", FEATURES, "tesla_close")
+    return rg.smote(f.where("is_train"), "timestamp", FEATURES, "close_price")
 
 
 def _training_sets(spark, d):
@@ -96,13 +96,13 @@ def _training_sets(spark, d):
     train = f.where("is_train")
 
     def augmented():
-        syn = rg.smote(train, "timestamp", FEATURES, "tesla_close").select(*FEATURES, "tesla_close")
-        return train.select(*FEATURES, "tesla_close").unionByName(syn)
+        syn = rg.smote(train, "timestamp", FEATURES, "close_price").select(*FEATURES, "close_price")
+        return train.select(*FEATURES, "close_price").unionByName(syn)
 
     aug = _stage(spark, d, "augmented", augmented)
-    stats = _stage(spark, d, "target_stats", lambda: rg.target_stats(aug, "tesla_close"))
-    tr = _stage(spark, d, "train", lambda: rg.assemble(rg.normalize_target(aug, stats, "tesla_close"), FEATURES).coalesce(8))
-    te = _stage(spark, d, "test", lambda: rg.assemble(rg.normalize_target(f.where(~F.col("is_train")), stats, "tesla_close"), FEATURES).coalesce(8))
+    stats = _stage(spark, d, "target_stats", lambda: rg.target_stats(aug, "close_price"))
+    tr = _stage(spark, d, "train", lambda: rg.assemble(rg.normalize_target(aug, stats, "close_price"), FEATURES).coalesce(8))
+    te = _stage(spark, d, "test", lambda: rg.assemble(rg.normalize_target(f.where(~F.col("is_train")), stats, "close_price"), FEATURES).coalesce(8))
     return tr, te, stats
 
 

@@ -23,11 +23,11 @@ def daily_engagement_vs_close(spark, d):
     stock = fixture(spark, d, "stock").select("Date", "Close")
     # daily rows (bounded by the calendar): one ordered window each, no bucket summaries needed
     j = ordered.asof_backward(daily, stock, "date", "Date", ["Close"], matched_key="price_date", bucket_fn=None)
-    j = ordered.ffill_bfill(j, "Close", "date", out="tesla_close", bucket_fn=None).drop("Close")
+    j = ordered.ffill_bfill(j, "Close", "date", out="close_price", bucket_fn=None).drop("Close")
     return j.select(
-        "date", *ENG_COUNTS, "n_posts", "price_date", "tesla_close",
+        "date", *ENG_COUNTS, "n_posts", "price_date", "close_price",
         r6(series.trailing_mean("likeCount", 7, "date")).alias("likes_ma7"),
-        r6(series.diff("tesla_close", "date")).alias("close_diff"))
+        r6(series.diff("close_price", "date")).alias("close_diff"))
 
 
 _DAILY_SQL = """daily AS (SELECT date, CAST(sum(coalesce(retweetCount, 0)) AS BIGINT) AS retweetCount,
@@ -39,11 +39,11 @@ SQL_DAILY_ENGAGEMENT_VS_CLOSE = fixture_cte("engagement", "stock") + "," + _DAIL
 j AS (SELECT d.*, s.Date AS price_date, s.Close FROM daily d ASOF LEFT JOIN stock s ON d.date >= s.Date),
 f AS (SELECT *, coalesce(
    last_value(Close IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-   first_value(Close IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS tesla_close
+   first_value(Close IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS close_price
   FROM j)
-SELECT date, retweetCount, replyCount, likeCount, viewCount, n_posts, price_date, tesla_close,
+SELECT date, retweetCount, replyCount, likeCount, viewCount, n_posts, price_date, close_price,
   round(avg(likeCount) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS likes_ma7,
-  round(tesla_close - lag(tesla_close) OVER (ORDER BY date), 6) AS close_diff
+  round(close_price - lag(close_price) OVER (ORDER BY date), 6) AS close_diff
 FROM f
 """
 
@@ -67,7 +67,7 @@ def ffill_bfill_close(spark, d):
     days = fixture(spark, d, "engagement").select("date").where(F.col("date").isNotNull()).distinct()
     stock = fixture(spark, d, "stock").select(F.col("Date").alias("date"), "Close")
     j = days.join(stock, "date", "left")
-    return ordered.ffill_bfill(j, "Close", "date", out="tesla_close").select("date", "Close", "tesla_close")
+    return ordered.ffill_bfill(j, "Close", "date", out="close_price").select("date", "Close", "close_price")
 
 
 SQL_FFILL_BFILL = fixture_cte("engagement", "stock") + """,
@@ -75,7 +75,7 @@ j AS (SELECT d.date, s.Close FROM (SELECT DISTINCT date FROM engagement WHERE da
       LEFT JOIN stock s ON s.Date = d.date)
 SELECT date, Close, coalesce(
    last_value(Close IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-   first_value(Close IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS tesla_close
+   first_value(Close IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS close_price
 FROM j
 """
 
