@@ -226,26 +226,45 @@ SELECT md.date, md.Close, tp.community, coalesce(sh.n, 0) AS n_prev
 FROM md CROSS JOIN tp LEFT JOIN sh ON sh.date = md.date AND sh.community = tp.community"""
 
 # ------------------------------------------------------------------------------------------- Q9
-def community_price_job(spark, d, threshold: float = 0.7, top_n: int = 14, start: str = "singletons", dim: int = 64):
-    """Q9 as one job over texts: T4 text vectors, G1 k-NN graph, communities (G4 merging to its end from single texts,
-    or G2 Louvain first), G3 modularity of the result, T6 labels, G6 activity before large price moves, W10 suffixes
-    in order of impact. A post belongs to the text it carries.
-
-    One row for each of the ``top_n`` communities that post more before large moves."""
+def _job_communities(spark, d, threshold: float, merge_threshold: float, start: str, dim: int):
+    """Q9 up to the communities: texts, k-NN edges and the merged partition ``(id, community)``."""
+    if start not in ("louvain", "singletons"):
+        raise ValueError(f"start: {start}")
     docs = read_table(spark, d, "documents").select("doc_id", "text").where("text is not null")
     tokens = docs.select("doc_id", F.explode(tf.word_tokens("text")).alias("tok"))
     v = cut_lineage(tf.hash_embeddings(tokens, "doc_id", dim=dim))
     edges = cut_lineage(vx.undirected_edges(vx.knn(v, "doc_id", "embedding", K, threshold=threshold)))
     ids = v.select(F.col("doc_id").alias("id"))
     part = gx.louvain(edges, ids) if start == "louvain" else ids.withColumn("community", F.col("id"))
-    part = cut_lineage(gx.merge_similar_communities(v, part, "doc_id", "embedding", threshold=threshold))
-    quality = gx.modularity(edges, part).select(r6("modularity").alias("modularity"), "n_communities")
-    member = part.withColumnRenamed("id", "doc_id")
-    names = tf.community_labels(docs.join(member, "doc_id"), "community").withColumnRenamed("label", "base")
-    sizes = part.groupBy("community").agg(F.count(F.lit(1)).alias("size"))
+    return docs, edges, cut_lineage(gx.merge_similar_communities(v, part, "doc_id", "embedding", threshold=merge_threshold))
+
+
+def _job_activity(spark, d, docs, part):
+    """Dated posts of the communities (a post belongs to the text it carries), prices, and each community's difference."""
     n_docs = max(read_table(spark, d, "documents").count(), 1)
     posts = fixture(spark, d, "engagement").select("date", (F.col("row_id") % n_docs).alias("doc_id"))
-    diff = cp.activity_difference(posts.join(member, "doc_id").select("date", "community"), cp.significant_days(fixture(spark, d, "stock")))
+    posts = posts.join(part.withColumnRenamed("id", "doc_id"), "doc_id").select("date", "community")
+    stock = fixture(spark, d, "stock")
+    return posts, stock, cp.activity_difference(posts, cp.significant_days(stock))
+
+
+def _job_names(docs, part):
+    """T6 label of each community: (community, base)."""
+    return tf.community_labels(docs.join(part.withColumnRenamed("id", "doc_id"), "doc_id"), "community").withColumnRenamed("label", "base")
+
+
+def community_price_job(spark, d, threshold: float = 0.7, top_n: int = 14, start: str = "louvain", dim: int = 64, merge_threshold: float = 0.3):
+    """Q9 as one job over texts: T4 text vectors, G1 k-NN graph, communities (G2 Louvain, or single texts with
+    ``start="singletons"``, then G4 merging to its end), G3 modularity of the result, T6 labels, G6 activity before large
+    price moves, W10 suffixes in order of impact. ``threshold`` is that of the k-NN graph, ``merge_threshold`` that of G4.
+    G7 over the same communities is ``community_price_overlay``.
+
+    One row for each of the ``top_n`` communities that post more before large moves."""
+    docs, edges, part = _job_communities(spark, d, threshold, merge_threshold, start, dim)
+    quality = gx.modularity(edges, part).select(r6("modularity").alias("modularity"), "n_communities")
+    names = _job_names(docs, part)
+    sizes = part.groupBy("community").agg(F.count(F.lit(1)).alias("size"))
+    _posts, _stock, diff = _job_activity(spark, d, docs, part)
     top = ag.top_k(diff.where(F.col("diff") > 0), [F.col("diff").desc(), F.col("community").asc()], top_n)
     impact = [F.col("diff").desc(), F.col("community").asc()]
     again = F.row_number().over(Window.partitionBy("base").orderBy(*impact)) - 1       # over top_n rows
@@ -255,8 +274,25 @@ def community_price_job(spark, d, threshold: float = 0.7, top_n: int = 14, start
                       "modularity", "n_communities")
 
 
+def community_price_singletons(spark, d):
+    """Q9 from single texts instead of Louvain: the deterministic variant."""
+    return community_price_job(spark, d, start="singletons")
+
+
+def community_price_overlay(spark, d, threshold: float = 0.7, top_n: int = 5, start: str = "louvain", dim: int = 64, merge_threshold: float = 0.3):
+    """G7 of Q9's job: the ``top_n`` communities by absolute difference, labelled, with their shifted daily counts next
+    to Close."""
+    docs, _edges, part = _job_communities(spark, d, threshold, merge_threshold, start, dim)
+    posts, stock, diff = _job_activity(spark, d, docs, part)
+    top = cut_lineage(ag.top_k(diff.where(F.col("diff").isNotNull()), [F.abs("diff").desc(), F.col("community").asc()], top_n))
+    named = top.join(_job_names(docs, part), "community").select("community", r6("diff").alias("diff"), F.col("base").alias("label"))
+    return cp.overlay_series(posts, stock, top).join(F.broadcast(named), "community").select("date", "Close", "community", "label", "diff", "n_prev")
+
+
 REGISTRY = {
     "community_price_job": (community_price_job, None),
+    "community_price_singletons": (community_price_singletons, None),
+    "community_price_overlay": (community_price_overlay, None),
     "knn_graph": (knn_graph, SQL_KNN),
     "modularity": (modularity, SQL_MODULARITY),
     "community_centroids": (community_centroids, SQL_CENTROIDS),

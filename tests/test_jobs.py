@@ -1,4 +1,8 @@
 """Composite jobs: the community and price job, whole texts in the views, saved models, loops that end."""
+import datetime
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,3 +68,43 @@ def test_failing_candidate_keeps_its_row(spark, monkeypatch):
     monkeypatch.setattr(q_models, "fitted", broken)
     row = q_models.leaderboard(spark, SF_SMALL, {"One": {"kind": "rf"}}).first()
     assert row["model"] == "One" and row["test_r2"] is None and "no fit" in row["error"]
+
+def _two_groups(tmp):
+    """Two groups of eight equal texts each whose vectors have a cosine between 0.3 and 0.7, and posts on days with prices."""
+    shared = "market price share value report "
+    texts = [shared + "apple banana cherry grape lemon "] * 8 + [shared + "rocket engine launch orbit booster "] * 8
+    day = lambda i: datetime.datetime(1996, 1, 1) + datetime.timedelta(days=i)
+    pq.write_table(pa.table({"doc_id": list(range(16)), "text": texts}), f"{tmp}/documents.parquet")
+    n = 160
+    pq.write_table(pa.table({"o_orderkey": list(range(n)), "o_orderdate": [day(i % 20) for i in range(n)], "o_orderpriority": ["x"] * n,
+                             "o_custkey": list(range(n)), "o_totalprice": [1.0] * n}), f"{tmp}/orders.parquet")
+    pq.write_table(pa.table({"l_orderkey": list(range(20)), "l_linenumber": [1] * 20, "l_shipdate": [day(i) for i in range(20)],
+                             "l_extendedprice": [100.0 + 60 * (i % 4 == 3) for i in range(20)], "l_quantity": [1.0] * 20}), f"{tmp}/lineitem.parquet")
+    return str(tmp)
+
+
+def test_price_job_runs_louvain_and_merges_at_its_own_threshold(spark, tmp_path, monkeypatch):
+    d = _two_groups(tmp_path)
+    ran, plain = [], gx.louvain
+    monkeypatch.setattr(gx, "louvain", lambda *a, **k: ran.append(1) or plain(*a, **k))
+    v = q_graph.tf.hash_embeddings(spark.read.parquet(d + "/documents.parquet").select("doc_id", F.explode(q_graph.tf.word_tokens("text")).alias("tok")), "doc_id", dim=64)
+    x, y = [r["embedding"] for r in v.where("doc_id in (0, 8)").orderBy("doc_id").collect()]
+    cosine = sum(a * b for a, b in zip(x, y)) / (sum(a * a for a in x) * sum(b * b for b in y)) ** 0.5
+    assert 0.3 < cosine < 0.7                       # apart in the k-NN graph, together after the merge
+    joined = lambda **k: q_graph._job_communities(spark, d, **{"threshold": 0.7, "merge_threshold": 0.3, "start": "louvain", "dim": 64, **k})[2]
+    assert joined(merge_threshold=0.7).select("community").distinct().count() == 2
+    assert joined().select("community").distinct().count() == 1
+    ran.clear()
+    q_graph.community_price_job(spark, d).collect()
+    assert ran                                      # the registered job starts with Louvain
+
+
+def test_price_overlay_is_the_shifted_count_next_to_close(spark, tmp_path):
+    d = _two_groups(tmp_path)
+    rows = q_graph.community_price_overlay(spark, d, merge_threshold=0.7, start="singletons").collect()
+    assert len({r["community"] for r in rows}) == 2 and len({r["date"] for r in rows}) == 19 and len(rows) == 38
+    part = {r["id"]: r["community"] for r in q_graph._job_communities(spark, d, 0.7, 0.7, "singletons", 64)[2].collect()}
+    for r in rows:
+        i = (r["date"] - datetime.date(1996, 1, 1)).days
+        assert r["Close"] == 100.0 + 60 * (i % 4 == 3) and r["label"]
+        assert r["n_prev"] == sum(part[k % 16] == r["community"] for k in range(160) if k % 20 == i - 1)
