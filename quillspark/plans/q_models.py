@@ -9,21 +9,37 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import cleaning as cl
 from ..operators import ordered
 from ..operators import regression as rg
 from ..operators import text_features as tf
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, cut_lineage
 from ..sources import sinks
 from .common import COUNT_COLS, fixture, fixture_cte, r6
 
 FEATURES = COUNT_COLS + ["sentiment_compound"] + [f"tfidf_{i}" for i in range(10)] + [f"embed_{i}" for i in range(8)]
 SOURCE_ORDER = {"tweets": 0, "retweets": 1, "replies": 2}
+SOURCE_KIND = {"tweets": "original", "retweets": "retweet", "replies": "reply"}
+
+
+def cleaned_posts(raw):
+    """The three cleaned tables (Q2 to Q4) of raw posts, tagged with their source, as one:
+    (row_id, date, source, text, the six counts). A retweet's text is its content."""
+    routed = cl.route(raw.select("row_id", *cl.RAW_COLUMNS))
+    out = None
+    for source, kind in SOURCE_KIND.items():
+        part = cl.cleaned(routed, kind).select(
+            "row_id", F.to_date("timestamp").alias("date"), F.lit(source).alias("source"),
+            F.col("tweet" if kind == "retweet" else "text").alias("text"), *COUNT_COLS)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def daily_features(spark, d, svd_k: int = 10, embed_n: int = 8, dim: int = 64):
-    """Q7: one row per posting day: six summed counts, close price (as-of backward, then ffill/bfill),
+    """Q7 over the cleaned posts: one row per posting day: six summed counts, close price (as-of backward, then ffill/bfill),
     lexicon sentiment, 10 SVD components of TF-IDF and 8 hashed-embedding components; F10 null check."""
-    p = fixture(spark, d, "dated_posts").where(F.col("date").isNotNull())
+    # cleaned once: sentiment, TF-IDF, SVD and embeddings all read it
+    p = cut_lineage(cleaned_posts(fixture(spark, d, "raw_dated_posts")).where(F.col("date").isNotNull()))
     src_rank = F.create_map(*[x for k, v in SOURCE_ORDER.items() for x in (F.lit(k), F.lit(v))])
     p = p.withColumn("src_rank", src_rank[F.col("source")])
     order = ["src_rank", "row_id"]
@@ -61,12 +77,13 @@ def feature_overview(spark, d):
 
 
 INPUTS = ("orders", "documents", "lineitem")
+POSTS = "cleaned"           # part of the keys of stages and models: tables made from raw posts are not read again
 SEED = 42
 
 
 def _stage(spark, d, label, build):
     """S7 over the feature table's inputs: every model query of a session, or a later one, reads what the first made."""
-    return sinks.stage(spark, label, build, [f"{d.rstrip('/')}/{t}.parquet" for t in INPUTS], {"seed": SEED, "features": FEATURES})
+    return sinks.stage(spark, label, build, [f"{d.rstrip('/')}/{t}.parquet" for t in INPUTS], {"seed": SEED, "features": FEATURES, "posts": POSTS})
 
 
 def _prepared(spark, d):
@@ -75,8 +92,10 @@ def _prepared(spark, d):
 
 
 def split_80_20(spark, d):
-    """M1: (timestamp, is_train)."""
-    return _prepared(spark, d).select("timestamp", "is_train")
+    """M1: (timestamp, is_train) of every day of ``dated_posts``. A day's side hangs on the day alone, so the days that
+    cleaning leaves in the feature table have the same side there."""
+    days = fixture(spark, d, "dated_posts").where("date is not null").select(F.col("date").alias("timestamp")).distinct()
+    return rg.hash_split(days, "timestamp", SEED).select("timestamp", "is_train")
 
 
 SQL_SPLIT = fixture_cte("dated_posts") + """SELECT DISTINCT date AS timestamp,
@@ -136,7 +155,7 @@ def _predict(model, df):
 
 
 def _model_path(spark, d, name: str, spec: dict) -> str:
-    key = sinks.fingerprint(spark, [f"{d.rstrip('/')}/{t}.parquet" for t in INPUTS], {"name": name, "spec": spec, "seed": SEED, "features": FEATURES})
+    key = sinks.fingerprint(spark, [f"{d.rstrip('/')}/{t}.parquet" for t in INPUTS], {"name": name, "spec": spec, "seed": SEED, "features": FEATURES, "posts": POSTS})
     return checkpoint_dir(spark).rstrip("/") + f"/models/{key}"
 
 

@@ -77,6 +77,21 @@ SELECT o.o_orderkey AS row_id, CAST(o.o_orderdate AS DATE) AS date,
  o.o_orderkey % 3 AS bookmarkCount
 FROM {orders} o
 JOIN {documents} d ON d.doc_id = o.o_orderkey % (SELECT count(*) FROM {documents})
+""",
+    # the dated posts as raw ones: prefixes of replies and retweets, texts without a letter, too short contents
+    "raw_dated_posts": """
+SELECT row_id,
+ CASE WHEN text IS NULL THEN NULL
+      WHEN source = 'retweets' THEN concat('RT @user', CAST(row_id % 40 AS STRING), ': ',
+           CASE WHEN row_id % 59 = 0 THEN 'ok' WHEN row_id % 53 = 0 THEN '!!! ... ???' ELSE text END)
+      WHEN source = 'replies' THEN concat('@user', CAST(row_id % 40 AS STRING), ' ', text)
+      WHEN row_id % 53 = 0 THEN '!!! ... ???'
+      ELSE text END AS fullText,
+ CAST(date AS STRING) AS createdAt,
+ CASE WHEN source = 'retweets' THEN 'True' ELSE 'False' END AS isRetweet,
+ CASE WHEN source = 'replies' THEN 'True' ELSE 'False' END AS isReply,
+ retweetCount, replyCount, likeCount, quoteCount, viewCount, bookmarkCount, CAST(NULL AS STRING) AS quote
+FROM {dated_posts}
 """,
     # raw price file as strings: position column, a junk second row, an 'Adj Close' column
     "raw_prices": """

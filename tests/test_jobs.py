@@ -108,3 +108,40 @@ def test_price_overlay_is_the_shifted_count_next_to_close(spark, tmp_path):
         i = (r["date"] - datetime.date(1996, 1, 1)).days
         assert r["Close"] == 100.0 + 60 * (i % 4 == 3) and r["label"]
         assert r["n_prev"] == sum(part[k % 16] == r["community"] for k in range(160) if k % 20 == i - 1)
+
+
+def test_daily_features_count_cleaned_posts_only(spark):
+    raw = fixture(spark, SF_SMALL, "raw_dated_posts").orderBy("row_id").collect()
+    seen, kept = set(), []
+    for r in raw:
+        text = r["fullText"]
+        if text is None:
+            continue
+        if r["isRetweet"] == "True":
+            text = text.split(": ", 1)[1].strip()
+            if text in seen:
+                continue
+            seen.add(text)
+            text = " ".join(text.split())
+            if len(text) < 5:
+                continue
+        if any(c.isascii() and c.isalnum() for c in text):
+            kept.append(r)                          # no two rows are equal as a whole: likeCount differs
+    want = {}
+    for r in kept:
+        day = want.setdefault(r["createdAt"], [0, 0])
+        day[0] += r["likeCount"]
+        day[1] += r["viewCount"]
+    got = q_models.daily_features(spark, SF_SMALL).select(F.col("timestamp").cast("string").alias("t"), "likeCount", "viewCount").collect()
+    assert {r["t"]: [r["likeCount"], r["viewCount"]] for r in got} == want
+    assert len(kept) < len(raw) - 100
+
+
+def test_cleaned_posts_drop_repeats(spark):
+    cols = "row_id long, fullText string, createdAt string, isRetweet string, isReply string, retweetCount long, replyCount long, " \
+           "likeCount long, quoteCount long, viewCount long, bookmarkCount long, quote string"
+    texts = ["a post", "a post", "...", None, "RT @x: same content", "RT @y: same content", "RT @x: ok", "@x hi there", "@x hi there"]
+    rows = [(i, t, "1996-01-02", "False", "False", 1, None, 1, 1, 1, 1, None) for i, t in enumerate(texts)]
+    got = q_models.cleaned_posts(spark.createDataFrame(rows, cols)).collect()
+    assert {(r["row_id"], r["source"], r["text"]) for r in got} == {
+        (0, "tweets", "a post"), (4, "retweets", "same content"), (7, "replies", "@x hi there")}
