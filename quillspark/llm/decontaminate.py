@@ -7,7 +7,7 @@ are hit. Benchmarks of more than ``max_windows`` windows are cut by window hash
 over the rows once for each set, so that no broadcast grows beyond that bound and no window is left out.
 
 Null and empty texts have no words and are never hit; an empty benchmark hits nothing; items without words have no
-window. Every input row gives a row; equal rows give equal results.
+window. Windows of items with a null id hit like all others, but add no item. Every input row gives a row; equal rows give equal results.
 """
 
 from __future__ import annotations
@@ -69,7 +69,7 @@ def benchmark_windows(items: DataFrame, item_id: str, text: str, n: int) -> Data
                                               pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.binary())],
                                              names=["item", "size", "hash", "words"])
 
-    source = items.select(F.col(item_id).cast("string").alias("item"), F.col(text).alias("text")).where("item is not null")
+    source = items.select(F.col(item_id).cast("string").alias("item"), F.col(text).alias("text"))
     return source.mapInArrow(run, "item string, size int, hash bigint, words binary").distinct()
 
 
@@ -91,7 +91,7 @@ def _scan_set(df: DataFrame, text: str, rows: list[tuple]) -> DataFrame:
     found: dict[bytes, list[str]] = {}
     hashes: dict[int, set] = {}
     for item, size, h, words in rows:
-        found.setdefault(words, []).append(item)
+        found.setdefault(words, []).extend([item] if item is not None else [])
         hashes.setdefault(size, set()).add(h)
     sent = df.sparkSession.sparkContext.broadcast(
         (found, {k: np.sort(np.array(list(v), np.int64).astype(np.uint64)) for k, v in hashes.items()}))
@@ -122,7 +122,7 @@ def _scan_set(df: DataFrame, text: str, rows: list[tuple]) -> DataFrame:
                 place = np.minimum(np.searchsorted(s, wh), len(s) - 1)
                 for k in at[s[place] == wh].tolist():
                     got = items_of.get(joined(lowered, starts[k: k + size], ends[k: k + size]))
-                    if got:
+                    if got is not None:             # empty: a window of items without an id only
                         step[k] += 1
                         step[k + size] -= 1
                         items.setdefault(int(row[k]), set()).update(got)

@@ -294,3 +294,20 @@ def test_pipeline_stages_keep_the_columns(spark, tmp_path):
         out = stage(spark, docs, path)
         assert out.columns == docs.columns and out.dtypes == docs.dtypes
     assert corpus_pipeline.run(spark, data.write(tempfile.mkdtemp(prefix="quill-run-"), docs=[])).count() == 0
+
+
+def test_windows_of_items_without_id_hit(spark, tmp_path):
+    """A benchmark row with a null id counts its windows as hits and adds no item, as OP2_SQL does."""
+    import duckdb
+    w = [f"w{i}" for i in range(40)]
+    docs = [" ".join(w[:20]), " ".join(w[5:35]), "nothing of it", " ".join(w[28:40]), None]
+    path = data.write(tmp_path, docs=docs, benchmark=[(None, " ".join(w[2:14])), (1, " ".join(w[20:32])), (None, " ".join(w[20:32]))])
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{path}/{t}.parquet')")
+    want = con.execute(queries.OP2_SQL)
+    names = [c[0] for c in want.description]
+    rows = sorted(want.fetchall())
+    got = queries.op2_decontaminate(spark, path).select(*names).collect()
+    assert sorted(map(tuple, got)) == rows
+    assert (rows[0][2], rows[0][3], rows[0][5]) == (12, 0, True)
