@@ -325,7 +325,8 @@ SQL_CALIBRATION = _STANDIN_SQL + """SELECT round(regr_slope(y, yhat), 6) AS slop
 
 
 def prediction_series(spark, d):
-    """M14 with M11: test predictions calibrated by the training line, then smoothed over 7 test rows."""
+    """The series of M14 with M11, of the stand-in prediction: test predictions calibrated by the training line, then
+    smoothed over 7 test rows. M14's inverse scaling, correlation and means are not part of it."""
     s = _standin(spark, d)
     c = rg.calibration(s.where("is_train"), "y", "yhat")
     t = s.where(~F.col("is_train")).crossJoin(F.broadcast(c)).withColumn(
