@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from ..sources.tables import read_table
-from . import bpe, decontaminate, langid, line_dedup, pii, secrets, shards, shingle_join, spans, toxicity, vector_dups
+from . import bpe, conversations, decontaminate, langid, line_dedup, pii, rlz, secrets, shards, shingle_join, spans, spelling, toxicity, vector_dups
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
@@ -163,6 +165,78 @@ SELECT d.doc_id, coalesce(n.n, 0) n_shingles, c.component_id FROM documents d LE
 """
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """The contract's damage: by crc32 of ``conv_id:turn`` a row goes, is emptied, loses its sentence ends, stands twice or
+    becomes the user's."""
+    space = F.lit(" ")
+    case = F.pmod(F.crc32(F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))), F.lit(20))
+    text = F.when(case == 1, "").when(case == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    out = rows.withColumn("case", case).where("case <> 0")
+    return out.select("conv_id", "turn", F.when(F.col("case") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+                      F.explode(F.when(F.col("case") == 3, F.expr("array(0, 1)")).otherwise(F.expr("array(0)"))).alias("copy")).drop("copy")
+
+
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = conversations.prepared(damaged(given), "conv_id", "turn", "role", "text")
+    plan = conversations.plans(rows)
+    digest = conversations.digests(conversations.repaired(rows, plan.select("key", "audit")))
+    every = given.groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n")).withColumn("key", F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")))
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return every.join(plan.hint("merge"), "key", "left").join(digest.hint("merge"), "key", "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in numbers], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", sha256(F.lit(""))).alias("repaired_sha256"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    words = cut_lineage(spelling.word_counts(docs, "doc_id", "text"))
+    return spelling.groups(words)
+
+
+def _crc32_sql(numbers: str) -> str:
+    """crc32 over a list of byte values, with the table of the polynomial's remainders (made by zlib's rule)."""
+    table = [zlib.crc32(bytes([b ^ 0xFF])) ^ 0xFF000000 for b in range(256)]
+    return (f"xor(list_reduce(list_concat([4294967295::BIGINT], {numbers}), lambda c, b: xor(c >> 8, "
+            f"(CAST({table} AS BIGINT[]))[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
+OP12_SQL = f"""
+WITH RECURSIVE runs AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) r FROM documents),
+low AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' p, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') r FROM runs WHERE length(r) >= 7),
+h AS (SELECT r, {_crc32_sql("flatten(list_transform(string_split(p || r, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195::BIGINT, unicode(x)::BIGINT - 64] END))")} h FROM low),
+cut AS (SELECT CASE WHEN h % 31 = 0 THEN substr(r, 1, CAST(h % length(r) AS INT)) || substr(r, CAST(h % length(r) AS INT) + 2) ELSE r END w FROM h),
+words AS (SELECT w, count(*) n FROM cut WHERE length(w) >= 7 GROUP BY w HAVING count(*) >= 2),
+del AS (SELECT w, n, i, substr(w, 1, i - 1) || substr(w, i + 1) d FROM (SELECT w, n, unnest(range(1, length(w) + 1)) i FROM words)),
+near AS (SELECT a.w, a.n, b.w v, b.n m FROM del a JOIN del b ON a.i = b.i AND a.d = b.d AND a.w <> b.w
+         UNION SELECT del.w, del.n, words.w, words.n FROM del JOIN words ON del.d = words.w
+         UNION SELECT words.w, words.n, del.w, del.n FROM del JOIN words ON del.d = words.w),
+best AS (SELECT w, count(*) n_near, arg_max(v, (m, -k)) v, max(m) m, any_value(n) n
+         FROM (SELECT *, row_number() OVER (PARTITION BY w ORDER BY v) k FROM near) GROUP BY w),
+form AS (SELECT w, v form, m form_n FROM best WHERE m >= 10 * n),
+chain AS (SELECT w, w r, 0 d FROM words UNION ALL SELECT c.w, f.form, c.d + 1 FROM chain c JOIN form f ON f.w = c.r),
+root AS (SELECT w, arg_max(r, d) root FROM chain GROUP BY w)
+SELECT w word, form, root, n, coalesce(n_near, 0) n_near, form_n FROM words LEFT JOIN (SELECT w, n_near FROM best) USING (w) LEFT JOIN form USING (w) JOIN root USING (w)
+"""
+
+
+def op13_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return rlz.dedup(docs, "doc_id", "text", 13).select("doc_id", "n_words", "n_removed", sha256("kept").alias("kept_sha256"))
+
+
+OP13_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w FROM documents),
+win AS (SELECT doc_id, k, array_to_string(w[k:k + 12], ' ') g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) k FROM w WHERE len(w) >= 13)),
+f AS (SELECT g, min(doc_id) m FROM win GROUP BY g HAVING min(doc_id) <> max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(k, k + 13)) p FROM win JOIN f USING (g) WHERE m < doc_id),
+word AS (SELECT doc_id, unnest(w) x, unnest(range(1, len(w) + 1)) p FROM w),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) t, count(*) n FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) n_words, len(w) - coalesce(n, 0) n_removed, sha256(coalesce(t, '')) kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
 REGISTRY = {
     "op1_byte_bpe": (op1_byte_bpe, None),
     "op2_decontaminate": (op2_decontaminate, OP2_SQL),
@@ -174,4 +248,7 @@ REGISTRY = {
     "op8_secrets": (op8_secrets, None),
     "op9_hilbert_shards": (op9_hilbert_shards, None),
     "op10_shingle_join": (op10_shingle_join, OP10_SQL),
+    "op11_conversations": (op11_conversations, None),
+    "op12_spelling": (op12_spelling, OP12_SQL),
+    "op13_substrings": (op13_substrings, OP13_SQL),
 }
