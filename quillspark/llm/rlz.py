@@ -162,6 +162,10 @@ def _read(batches):
             yield (part.column("doc_id").to_numpy(), part.column("crc").to_numpy(), np.bincount(row, minlength=part.num_rows), word_hashes(data, starts, ends))
 
 
+def _crc(text: str):
+    return (F.crc32(F.col(text)) - F.lit(1 << 31)).cast("int")
+
+
 def _hot_anchors(rows: DataFrame, window: int) -> np.ndarray:
     """Anchors of more than ``HOT_SHARE`` of the sampled documents: at most that share's inverse times the anchors of a
     document, whatever the size of the table."""
@@ -182,9 +186,9 @@ def _hot_anchors(rows: DataFrame, window: int) -> np.ndarray:
 
 
 def factors(docs: DataFrame, doc_id: str, text: str, window: int = 13) -> DataFrame:
-    """Rows ``(doc_id, crc, start, n)``: the ``n`` words from number ``start`` of the document (and of the text with this
-    crc32) stand in a document with a smaller id. Factors of one document may overlap."""
-    rows = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), F.crc32(F.col(text)).cast("int").alias("crc"), F.col(text).alias("text"))
+    """Rows ``(doc_id, crc, start, n)``: the ``n`` words from number ``start`` of the document (``crc`` tells rows of one id
+    apart) stand in a document with a smaller id. Factors of one document may overlap."""
+    rows = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), _crc(text).alias("crc"), F.col(text).alias("text"))
     rows = rows.where("text is not null")
     hot = _hot_anchors(rows, window)
 
@@ -278,7 +282,7 @@ def dedup(docs: DataFrame, doc_id: str, text: str, window: int = 13) -> DataFram
     ``kept`` (the words that no factor covers, joined by one space). Only documents with a factor are shuffled."""
     found = factors(docs, doc_id, text, window)
     spans = cut_lineage(found.groupBy(F.col("doc_id").alias("_id"), F.col("crc").alias("_crc")).agg(F.array_sort(F.collect_list(F.struct("start", "n"))).alias("_spans")))
-    rows = docs.drop("spans", "n_words", "n_removed", "kept").withColumns({"_id": F.col(doc_id).cast("long"), "_crc": F.crc32(F.col(text)).cast("int")})
+    rows = docs.drop("spans", "n_words", "n_removed", "kept").withColumns({"_id": F.col(doc_id).cast("long"), "_crc": _crc(text)})
     rows = sifted(rows, sieve(spans, "_id"), "_id")
     with_some = rows.where("_in").join(spans.hint("merge"), ["_id", "_crc"], "left")
     without = rows.where("not _in").withColumn("_spans", F.lit(None).cast(dict(spans.dtypes)["_spans"]))

@@ -6,7 +6,8 @@ one inserted, deleted or replaced code point: states (word, node, rest, edits) a
 table of a path-compressed trie. The edge table of a level is an aggregate of the words that pass through its nodes (the
 label is what the least and the greatest rest have in common), so it is distributed and built as the frontier moves. A
 state without edits meets all edges of its node and spends its edit inside one label; a state with one edit follows the
-one edge that its rest starts with; a state that has used up its word at the end of another word is a neighbour.
+one edge that its rest starts with; a state that has used up its word at the end of another word is a neighbour. A subtree
+of a few words (``BUCKET``) is one edge that holds their rests, and ends the states that reach it.
 
 One edit leaves the first half or the second half of a word as it was. So there are two tries in the one table, of the
 words and of the words reversed, and a state may spend its edit only behind its exact half: the frontier stays where the
@@ -33,6 +34,8 @@ from .common import schema, slices, utf8, words_of
 
 #: Code points of a word that both halves' searches walk in one step; words have at least twice as many.
 STEM = 3
+#: Words of a subtree that is not cut into further edges.
+BUCKET = 16
 #: Distinct words that a task holds before it passes their counts on.
 HELD = 200_000
 #: Runs longer than this are digested one by one.
@@ -131,38 +134,48 @@ def _common_prefix(a: str, b: str):
 
 
 def _edges(states: DataFrame) -> DataFrame:
-    """Edges ``(node, ch, label, child, child_n, leaf)`` out of the nodes that the words of a level have reached."""
-    rest = states.where("edits = 0 and rest <> ''").select("node", "rest", "n", F.substring("rest", 1, 1).alias("ch"))
-    found = rest.groupBy("node", "ch").agg(F.min(F.struct("rest", "n")).alias("low"), F.max("rest").alias("high"))
-    found = found.select("node", "ch", F.col("low.rest").alias("low"), F.col("low.n").alias("low_n"), "high")
-    found = found.withColumn("label", _common_prefix("low", "high"))
-    return found.select(F.col("node").alias("e_node"), "ch", "label", F.concat("node", "label").alias("child"),
-                        F.expr("case when low = label then low_n end").alias("child_n"), F.expr("low = high").alias("leaf"))
+    """Edges out of the nodes that the words of a level have reached: ``(e_node, e_ch, label, child, child_n, tails)``. A
+    subtree of at most ``BUCKET`` words has no further edges: its words' rests (``tails``) are its one edge."""
+    rest = states.where("edits = 0 and rest <> ''").select("node", "rest", "n", F.substring("rest", 1, 1).alias("e_ch"))
+    found = rest.groupBy("node", "e_ch").agg(F.count(F.lit(1)).alias("words"), F.min(F.struct("rest", "n")).alias("least"), F.max("rest").alias("high"))
+    found = found.select("node", "e_ch", "words", F.col("least.rest").alias("low"), F.col("least.n").alias("low_n"), "high")
+    small = found.where(F.col("words") <= BUCKET).select("node", "e_ch")
+    tails = rest.join(small.hint("merge"), ["node", "e_ch"]).groupBy("node", "e_ch").agg(F.collect_list(F.struct("rest", "n")).alias("tails"))
+    large = found.where(F.col("words") > BUCKET).withColumn("label", _common_prefix("low", "high")).select(
+        F.col("node").alias("e_node"), "e_ch", "label", F.concat("node", "label").alias("child"), F.expr("case when low = label then low_n end").alias("child_n"))
+    return large.unionByName(tails.withColumnRenamed("node", "e_node"), allowMissingColumns=True)
 
 
 #: States of the next level or, with ``edits`` 2, pairs: ``node`` is then the near word and ``near_n`` its occurrences.
 _STATE = ["word", "n", "half", "node", "rest", "edits", "near_n"]
-#: After one edit in the label of an edge: the state goes on, has arrived at a word, or (null) ends.
-_ARRIVED = "case when {rest} = '' then case when child_n is not null then 2 end when not leaf then 1 end"
+#: The words of a bucket that end a state, and the state behind an edge that has (with this) used its edit.
+_ENDS = "transform(filter(tails, t -> {cond}), t -> named_struct('node', concat(node, t.rest), 'rest', '', 'edits', 2, 'near_n', t.n))"
+_BEHIND = """named_struct('node', child, 'rest', substring(rest, {cut} + 1), 'edits',
+    case when {cut} < length(rest) then 1 when child_n is not null then 2 end, 'near_n', child_n)"""
+#: One edit between a bucket's word and the rest, or between a label and as much of the rest.
+_NEAR = "abs(length(t.rest) - length(rest)) <= 1 and levenshtein(t.rest, rest, 1) = 1"
+_CUTS = "transform(filter(sequence(length(label) - 1, length(label) + 1), c -> c >= exact and c <= length(rest) and levenshtein(substring(rest, 1, c), label, 1) = 1), c -> " + _BEHIND.format(cut="c") + ")"
+_NONE = "array()"
 
 
 def _step(states: DataFrame) -> DataFrame:
-    edges = _edges(states)
-    ahead = states.where("edits < 2").withColumn("s_ch", F.substring("rest", 1, 1)).withColumn(
-        "exact", F.expr("greatest(half - length(node) + 1, 0)"))
-    along = ahead.join(edges.hint("merge"), (F.col("node") == F.col("e_node")) & (F.col("s_ch") == F.col("ch")))
-    kept = [F.expr(x) for x in ("word", "n", "half", "child as node")]
-    follow = along.where("startswith(rest, label)").withColumn("new_rest", F.expr("substring(rest, length(label) + 1)"))
-    walked = follow.where("edits = 0 and not leaf").select(*kept, F.col("new_rest").alias("rest"), F.lit(0).alias("edits"), F.lit(None).cast("long").alias("near_n"))
-    edited = follow.where("edits = 1").select(*kept, F.col("new_rest").alias("rest"), F.expr(_ARRIVED.format(rest="new_rest")).alias("edits"), F.col("child_n").alias("near_n"))
-    # edits inside a label: behind the exact half any edge of the node may be taken, before it only the word's own
-    free = ahead.where("edits = 0 and exact = 0").join(edges.hint("merge"), F.col("node") == F.col("e_node"))
-    bound = along.where("edits = 0 and exact > 0 and length(label) >= exact and substring(rest, 1, exact) = substring(label, 1, exact)")
-    tries = free.select(*bound.columns).unionByName(bound).withColumn("cut", F.explode(F.expr(
-        "filter(sequence(length(label) - 1, length(label) + 1), c -> c >= 0 and c >= exact and c <= length(rest) and levenshtein(substring(rest, 1, c), label, 1) = 1)")))
-    spent = tries.withColumn("new_rest", F.expr("substring(rest, cut + 1)")).select(
-        *kept, F.col("new_rest").alias("rest"), F.expr(_ARRIVED.format(rest="new_rest")).alias("edits"), F.col("child_n").alias("near_n"))
-    return walked.unionByName(edited.where("edits is not null")).unionByName(spent.where("edits is not null")).select(*_STATE)
+    edges = _edges(states).hint("merge")
+    ahead = states.where("edits < 2").withColumn("exact", F.expr("greatest(half - length(node) + 1, 0)"))
+    # a state goes along the edge that its rest begins with; before the end of its exact half it spends its edit there only
+    begins = "substring(rest, 1, exact) = substring({x}, 1, exact)"
+    along = ahead.withColumn("ch", F.substring("rest", 1, 1)).join(edges, (F.col("node") == F.col("e_node")) & (F.col("ch") == F.col("e_ch")))
+    walked = "array(named_struct('node', child, 'rest', substring(rest, length(label) + 1), 'edits', 0, 'near_n', cast(null as long)))"
+    went = F.expr(f"""case when edits = 1 and tails is not null then {_ENDS.format(cond="t.rest = rest")}
+        when edits = 1 then if(startswith(rest, label), array({_BEHIND.format(cut="length(label)")}), {_NONE})
+        when tails is not null then if(exact > 0, {_ENDS.format(cond=begins.format(x="t.rest") + " and " + _NEAR)}, {_NONE})
+        when exact > 0 and length(label) >= exact and {begins.format(x="label")} then concat({walked}, {_CUTS})
+        else {walked} end""")
+    # behind it any edge of its node will do
+    free = ahead.where("edits = 0 and exact = 0").join(edges, F.col("node") == F.col("e_node"))
+    spent = F.expr(f"case when tails is not null then {_ENDS.format(cond=_NEAR)} else {_CUTS} end")
+    kept = ["word", "n", "half"]
+    out = along.select(*kept, F.inline(went)).unionByName(free.select(*kept, F.inline(spent)))
+    return out.where("edits is not null").select(*_STATE)
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
