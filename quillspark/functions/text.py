@@ -31,6 +31,8 @@ ALNUM_PATTERN = r"[a-zA-Z0-9]"
 # The same whitespace set written with Java's White_Space property (verified equal to str.isspace over the
 # BMP): two character predicates instead of fifteen ranges, so Spark's regexes run faster. The explicit
 # class above stays for engines without Unicode properties (the DuckDB oracle).
+WS_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+ZW_CHARS = "\u200b\u200c\u200d"
 WS_JAVA = r"[\p{IsWhite_Space}\x{1C}-\x{1F}]"
 RT_PATTERN_J = RT_PATTERN.replace(WS_CLASS, WS_JAVA)
 RT_EXTRACT_J = RT_EXTRACT.replace(WS_CLASS, WS_JAVA)
@@ -42,22 +44,25 @@ def _c(c) -> Column:
 
 def py_strip(c) -> Column:
     """``str.strip()``: drop leading/trailing Python whitespace."""
-    return F.regexp_replace(_c(c), "^" + WS_JAVA + "+|" + WS_JAVA + "+$", "")
+    return F.btrim(_c(c), F.lit(WS_CHARS))
 
 
 def collapse_ws(c) -> Column:
-    """``' '.join(s.split())``: runs of whitespace become one blank, ends trimmed."""
-    return py_strip(F.regexp_replace(_c(c), WS_JAVA + "+", " "))
+    """``' '.join(s.split())``: runs of whitespace become one blank, ends trimmed. One table look-up a character, then
+    only runs of blanks meet a regex."""
+    blanks = F.translate(_c(c), WS_CHARS, " " * len(WS_CHARS))
+    return F.trim(F.when(F.contains(blanks, F.lit("  ")), F.regexp_replace(blanks, " {2,}", " ")).otherwise(blanks))
 
 
 def drop_zero_width(c) -> Column:
-    return F.regexp_replace(_c(c), ZW_CLASS, "")
+    some = F.contains(_c(c), F.lit(ZW_CHARS[0])) | F.contains(_c(c), F.lit(ZW_CHARS[1])) | F.contains(_c(c), F.lit(ZW_CHARS[2]))
+    return F.when(some, F.translate(_c(c), ZW_CHARS, "")).otherwise(_c(c))
 
 
 def clean_text(c, final_strip: bool = True) -> Column:
     """Whitespace collapse, then zero-width removal, then (optionally) strip. Null stays null."""
     out = drop_zero_width(collapse_ws(c))
-    return py_strip(out) if final_strip else out
+    return F.trim(out) if final_strip else out
 
 
 def null_tokens(c) -> Column:

@@ -8,13 +8,14 @@ distributed aggregate per step.
 
 from __future__ import annotations
 
+import uuid
 from typing import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import checkpoint_dir, cut_lineage
 from . import series
 from . import vectors as vx
 
@@ -124,6 +125,34 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
         df.withColumns({c: F.col(c).cast("double") for c in features}))
 
 
+def tree_leaves(model) -> DataFrame:
+    """``(tree, leaf, value)``: the prediction of every leaf of a fitted forest, numbered as ``predictLeaf`` numbers them
+    (in pre-order). Read from the forest's stored nodes; as large as the model."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    path = checkpoint_dir(spark).rstrip("/") + f"/quill_tables/{uuid.uuid4().hex}"
+    model.write().overwrite().save(path)
+    nodes = spark.read.parquet(path + "/data").select("treeID", "nodeData.id", "nodeData.prediction", "nodeData.leftChild")
+    w = Window.partitionBy("treeID").orderBy("id")
+    return nodes.where("leftChild < 0").select(F.col("treeID").alias("tree"), (F.row_number().over(w) - 1).alias("leaf"), F.col("prediction").alias("value"))
+
+
+def forest_curve(model, df: DataFrame, y: str, side: str, grid: Sequence[int]) -> DataFrame:
+    """RMSE, on each ``side`` of ``df``, of the forests made of a fitted forest's first ``grid`` trees: one pass finds every
+    row's leaf in every tree, a join gives the trees' predictions, and their running means are the smaller forests'."""
+    from pyspark.ml.functions import vector_to_array
+    spark = df.sparkSession
+    leaves = model.copy().setLeafCol("_leaf").transform(df.withColumn("_row", F.monotonically_increasing_id()))
+    leaves = cut_lineage(leaves.select("_row", side, F.col(y).alias("_y"), vector_to_array("_leaf").alias("_leaves")))
+    each = leaves.select("_row", side, "_y", F.posexplode("_leaves").alias("tree", "leaf")).withColumn("leaf", F.col("leaf").cast("int"))
+    values = each.join(tree_leaves(model), ["tree", "leaf"])
+    sizes = spark.createDataFrame([(int(g),) for g in grid], "trees int")
+    # a tree counts for every forest that is larger than its number: at most one row for each size of the grid
+    means = (values.join(F.broadcast(sizes), F.col("tree") < F.col("trees")).groupBy("_row", side, "_y", "trees")
+             .agg(F.avg("value").alias("_pred")))
+    return means.groupBy(side, "trees").agg(F.sqrt(F.avg(F.pow(F.col("_pred") - F.col("_y"), 2))).alias("rmse"))
+
+
 def linear_svr(train: DataFrame, features: Sequence[str], label: str, C: float = 0.01, epsilon: float = 10.0,
                lr: float = 0.1, tol: float = 1e-3, patience: int = 25, max_iter: int = 20_000):
     """M6: linear epsilon-insensitive SVR, minimising 0.5|w|^2 + C * sum(max(0, |y - w.x - b| - eps)) by

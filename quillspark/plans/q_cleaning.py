@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-
+import uuid
 
 from pyspark.sql import functions as F
 
 from ..functions import numeric as nf
 from ..functions import text as tx
 from ..operators import cleaning as cl
+from ..session import checkpoint_dir, cut_lineage
+from ..sources import csv as csv_source
+from ..sources import sinks
 from . import sqlfrag as S
-from ..session import cut_lineage
 from .common import COUNT_COLS, fixture, fixture_cte, r6
 
 # What every stage carries along besides text and time: whole-row keys and outputs hold it.
@@ -102,6 +104,33 @@ def clean_prices(spark, d):
                     F.col("Volume").try_cast("double").cast("bigint").alias("Volume"))
 
 
+def _scratch(spark) -> str:
+    return checkpoint_dir(spark).rstrip("/") + f"/quill_tables/{uuid.uuid4().hex}"
+
+
+def ordered_posts(spark, d):
+    """The routed posts written in one order of time over all files, read back with their places in it."""
+    path = _scratch(spark)
+    sinks.write_ordered(routed(spark, d).select("row_id", "kind", "timestamp"), path, ["timestamp", "row_id"])
+    return sinks.read_ordered(spark, path).select("row_id", "kind", "timestamp", "position")
+
+
+def routed_files(spark, d):
+    """S6 with S1 and S2: the routed posts written as CSV, one folder a class in one pass, and each class's stage read back
+    with types and null tokens, whole texts with quotes and line ends included: what has come back of it."""
+    path = _scratch(spark)
+    out = routed(spark, d).select(F.col("row_id").alias("post_id"), "kind", "text", *CARRIED)
+    sinks.write_table(out, path, "csv", partition_by=["kind"])
+    back = None
+    for kind in cl.KINDS:
+        part = csv_source.read_stage_csv(spark, f"{path}/kind={kind}").withColumn("kind", F.lit(kind))
+        back = part if back is None else back.unionByName(part)
+    return back.groupBy("kind").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("text")).cast("bigint").alias("n_chars"),
+        F.count(F.when(F.col("text").isNull(), 1)).alias("missing_text"), F.sum(F.col("post_id").cast("bigint")).cast("bigint").alias("id_sum"),
+        F.sum("likeCount").cast("bigint").alias("like_sum"), F.count("quote").alias("quoted"))
+
+
 # ---------------------------------------------------------------------------------------------- oracle
 def _routed_sql() -> str:
     rt, rp = S.rlike("text", tx.RT_PATTERN), S.rlike("text", tx.REPLY_PATTERN)
@@ -219,7 +248,15 @@ FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY md5(CAST(row_id AS
 SQL_RETWEET_PREVIEW = _with(_routed_sql(), _retweet_sql()) + """SELECT row_id, originalAuthor, substr(tweet, 1, 100) AS preview
 FROM ttag WHERE removed_by IS NULL ORDER BY row_id LIMIT 3"""
 
+SQL_ORDERED_POSTS = _with(_routed_sql()) + """SELECT row_id, kind, timestamp,
+ row_number() OVER (ORDER BY timestamp NULLS FIRST, row_id) AS position FROM routed"""
+SQL_ROUTED_FILES = _with(_routed_sql()) + f"""SELECT kind, count(*) AS n_rows, CAST(sum(length(t)) AS BIGINT) AS n_chars,
+ count(*) FILTER (WHERE t IS NULL) AS missing_text, CAST(sum(row_id) AS BIGINT) AS id_sum, CAST(sum(likeCount) AS BIGINT) AS like_sum,
+ count(quote) AS quoted FROM (SELECT *, {S.null_tokens('text')} AS t FROM routed) GROUP BY kind"""
+
 REGISTRY = {
+    "ordered_posts": (ordered_posts, SQL_ORDERED_POSTS),
+    "routed_files": (routed_files, SQL_ROUTED_FILES),
     "route_posts": (route_posts, SQL_ROUTE_POSTS),
     "input_overview": (input_overview, SQL_INPUT_OVERVIEW),
     "route_summary": (route_summary, SQL_ROUTE_SUMMARY),

@@ -235,24 +235,21 @@ def _round_errors(model, df) -> list[float]:
 
 
 def validation_curve(spark, d, grid=TREE_GRID, folds: int = 3, specs: dict | None = None):
-    """3-fold train / validation RMSE of the forest for each tree count (hash folds); fits run side by side."""
-    from concurrent.futures import ThreadPoolExecutor
+    """3-fold train / validation RMSE of the forest for each tree count (hash folds).
 
+    Forests of one fold are nested: one forest of the most trees is fitted a fold, and a smaller one is its first trees.
+    The RMSE of all sizes comes from running means of the trees' single predictions (``rg.forest_curve``)."""
     from pyspark.ml.regression import RandomForestRegressor
     tr, _te, _s = _training_sets(spark, d)
     tr = tr.withColumn("_fold", F.pmod(F.xxhash64(*FEATURES[:6], F.lit(3)), F.lit(folds)))
     spec = {k: v for k, v in (specs or MODEL_SPECS)["Random Forest"].items() if k not in ("kind", "numTrees")}
-
-    def one(job):
-        nt, k = job
-        fit, val = tr.where(F.col("_fold") != k), tr.where(F.col("_fold") == k)
-        m = RandomForestRegressor(featuresCol="features", labelCol="y", numTrees=nt, maxMemoryInMB=1024, **spec).fit(fit)
-        return nt, *[rg.metrics(m.transform(x), "y", "prediction").first()["rmse"] for x in (fit, val)]
-
-    with ThreadPoolExecutor(4) as pool:
-        done = list(pool.map(one, [(nt, k) for nt in grid for k in range(folds)]))
-    rows = [(int(nt), *[float(sum(r[i] for r in done if r[0] == nt) / folds) for i in (1, 2)]) for nt in grid]
-    return spark.createDataFrame(rows, "n_estimators int, train_rmse double, val_rmse double")
+    curves = None
+    for k in range(folds):
+        m = RandomForestRegressor(featuresCol="features", labelCol="y", numTrees=max(grid), maxMemoryInMB=1024, **spec).fit(tr.where(F.col("_fold") != k))
+        c = rg.forest_curve(m, tr.withColumn("_held", F.col("_fold") == k), "y", "_held", grid)
+        curves = c if curves is None else curves.unionByName(c)
+    return (curves.groupBy(F.col("trees").alias("n_estimators"))
+            .agg(F.avg(F.when(~F.col("_held"), F.col("rmse"))).alias("train_rmse"), F.avg(F.when(F.col("_held"), F.col("rmse"))).alias("val_rmse")))
 
 
 # ------------------------------------------------------------------ evaluation operators, exact checks

@@ -273,30 +273,35 @@ def _merged_returns(spark, d):
     return daily.join(s, F.col("date") == F.col("_day"), "inner").drop("_day")
 
 
-def engagement_return_corr(spark, d):
-    """A15 (r) + A16 (degree-1 fit) of each daily engagement sum against the price change.
-    The first price row has no return; it is left out (pairwise complete rows)."""
+def _corr(spark, d):
+    """One aggregate: n, and r, slope and intercept of each daily engagement sum against the price change, unrounded."""
     m = _merged_returns(spark, d).where(F.col("price_change").isNotNull())
     aggs = [F.count(F.lit(1)).alias("n")]
     for c in METRICS4:
         x = F.col(f"{c}_sum").cast("double")
-        aggs += [r6(F.corr(x, "price_change")).alias(f"{c}_r"), r6(F.regr_slope("price_change", x)).alias(f"{c}_s"),
-                 r6(F.regr_intercept("price_change", x)).alias(f"{c}_i")]
+        aggs += [F.corr(x, "price_change").alias(f"{c}_r"), F.regr_slope("price_change", x).alias(f"{c}_s"),
+                 F.regr_intercept("price_change", x).alias(f"{c}_i")]
     stack = ", ".join(f"'{c}_sum', {c}_r, {c}_s, {c}_i" for c in METRICS4)
     return m.agg(*aggs).selectExpr("n", f"stack({len(METRICS4)}, {stack}) AS (metric, correlation, slope, intercept)").select(
         "metric", "n", "correlation", "slope", "intercept")
 
 
+def engagement_return_corr(spark, d):
+    """A15 (r) + A16 (degree-1 fit) of each daily engagement sum against the price change.
+    The first price row has no return; it is left out (pairwise complete rows)."""
+    return _corr(spark, d).withColumns({c: r6(c) for c in ("correlation", "slope", "intercept")})
+
+
 def daily_engagement_returns(spark, d):
     """Daily sum, mean and max of the four counts next to the price and volume changes of the day."""
     return _merged_returns(spark, d).withColumns({c: r6(c) for c in ("price_change", "volume_change")})
 
 
 def engagement_return_pvalue(spark, d):
-    """A15 p-values and P13 stars, computed on the four result rows only."""
-    r = engagement_return_corr(spark, d)
-    return r.withColumn("p_value", st.pearson_p_value("correlation", "n")) \
-            .withColumn("stars", nf.significance_stars("p_value"))
+    """A15 p-values and P13 stars of the unrounded correlations."""
+    r = _corr(spark, d).withColumn("p", st.pearson_p_value("correlation", "n")).withColumn("stars", nf.significance_stars("p"))
+    return r.select("metric", "n", r6("correlation").alias("correlation"), r6("slope").alias("slope"), r6("intercept").alias("intercept"),
+                    r6("p").alias("p_value"), "stars")
 
 
 def _merged_sql() -> str:
@@ -316,6 +321,14 @@ SQL_ENG_CORR = _merged_sql() + " UNION ALL ".join(
  round(regr_slope(price_change, CAST({c}_sum AS DOUBLE)), 6) AS slope, round(regr_intercept(price_change, CAST({c}_sum AS DOUBLE)), 6) AS intercept
  FROM mg WHERE price_change IS NOT NULL""" for c in METRICS4)
 
+_RAW_CORR = " UNION ALL ".join(
+    f"""SELECT '{c}_sum' AS metric, count(*) AS n, corr(CAST({c}_sum AS DOUBLE), price_change) AS r, regr_slope(price_change, CAST({c}_sum AS DOUBLE)) AS sl,
+ regr_intercept(price_change, CAST({c}_sum AS DOUBLE)) AS ic FROM mg WHERE price_change IS NOT NULL""" for c in METRICS4)
+SQL_ENG_PVALUE = _merged_sql() + f""", rs AS ({_RAW_CORR}),
+ps AS ({st.sql_pearson_p_value("rs", "metric", "r", "n")})
+SELECT metric, n, round(r, 6) AS correlation, round(sl, 6) AS slope, round(ic, 6) AS intercept, round(p, 6) AS p_value,
+ CASE WHEN p < 0.001 THEN '***' WHEN p < 0.01 THEN '**' WHEN p < 0.05 THEN '*' ELSE '' END AS stars FROM rs JOIN ps USING (metric)"""
+
 
 def top_decile_days(spark, d, q: float = 0.9):
     """A17 + F9 + A18: interpolated 90th percentile of daily likes; mean price change on days at or above
@@ -438,7 +451,7 @@ REGISTRY = {
     "activity_stats": (activity_stats, SQL_ACTIVITY_STATS),
     "daily_engagement_returns": (daily_engagement_returns, SQL_ENG_RETURNS),
     "engagement_return_corr": (engagement_return_corr, SQL_ENG_CORR),
-    "engagement_return_pvalue": (engagement_return_pvalue, None),
+    "engagement_return_pvalue": (engagement_return_pvalue, SQL_ENG_PVALUE),
     "top_decile_days": (top_decile_days, SQL_TOP_DECILE),
     "engagement_mix": (engagement_mix, SQL_ENGAGEMENT_MIX),
     "histogram30": (histogram30, SQL_HIST),
