@@ -7,7 +7,8 @@ table of a path-compressed trie. The edge table of a level is an aggregate of th
 label is what the least and the greatest rest have in common), so it is distributed and built as the frontier moves. A
 state without edits meets all edges of its node and spends its edit inside one label; a state with one edit follows the
 one edge that its rest starts with; a state that has used up its word at the end of another word is a neighbour. A subtree
-of a few words (``BUCKET``) is one edge that holds their rests, and ends the states that reach it.
+of a few words (``BUCKET``) is one edge that holds their rests, and ends the states that reach it; a larger one's edge
+tells how its words may end.
 
 One edit leaves the first half or the second half of a word as it was. So there are two tries in the one table, of the
 words and of the words reversed, and a state may spend its edit only behind its exact half: the frontier stays where the
@@ -133,16 +134,26 @@ def _common_prefix(a: str, b: str):
         array_max(filter(sequence(1, least(length({a}), length({b}))), i -> startswith({b}, substring({a}, 1, i)))) as int)) end""")
 
 
+#: Look-ahead: an edge has ``MARKS`` words of 64 bits in which the ends (last code points and length) of the words below it
+#: are marked, so that a state whose word no word below can equal ends at once.
+MARKS, END = 4, 3
+_END = "xxhash64(substring({word}, -" + str(END) + ", " + str(END) + "), {length})"
+_MARKED = [f"m{i}" for i in range(MARKS)]
+_MAY_END = " and ".join(f"shiftright(m{i}, cast(shiftright({{end}}, {6 * i}) & 63 as int)) & 1 = 1" for i in range(MARKS))
+
+
 def _edges(states: DataFrame) -> DataFrame:
     """Edges out of the nodes that the words of a level have reached: ``(e_node, e_ch, label, child, child_n, tails)``. A
     subtree of at most ``BUCKET`` words has no further edges: its words' rests (``tails``) are its one edge."""
-    rest = states.where("edits = 0 and rest <> ''").select("node", "rest", "n", F.substring("rest", 1, 1).alias("e_ch"))
-    found = rest.groupBy("node", "e_ch").agg(F.count(F.lit(1)).alias("words"), F.min(F.struct("rest", "n")).alias("least"), F.max("rest").alias("high"))
-    found = found.select("node", "e_ch", "words", F.col("least.rest").alias("low"), F.col("least.n").alias("low_n"), "high")
+    rest = states.where("edits = 0 and rest <> ''").select("node", "rest", "n", F.substring("rest", 1, 1).alias("e_ch"),
+                                                          F.expr(_END.format(word="concat(node, rest)", length="length(node) + length(rest)")).alias("end"))
+    marks = [F.bit_or(F.expr(f"shiftleft(1L, cast(shiftright(end, {6 * i}) & 63 as int))")).alias(f"m{i}") for i in range(MARKS)]
+    found = rest.groupBy("node", "e_ch").agg(F.count(F.lit(1)).alias("words"), F.min(F.struct("rest", "n")).alias("least"), F.max("rest").alias("high"), *marks)
+    found = found.select("node", "e_ch", "words", F.col("least.rest").alias("low"), F.col("least.n").alias("low_n"), "high", *_MARKED)
     small = found.where(F.col("words") <= BUCKET).select("node", "e_ch")
     tails = rest.join(small.hint("merge"), ["node", "e_ch"]).groupBy("node", "e_ch").agg(F.collect_list(F.struct("rest", "n")).alias("tails"))
     large = found.where(F.col("words") > BUCKET).withColumn("label", _common_prefix("low", "high")).select(
-        F.col("node").alias("e_node"), "e_ch", "label", F.concat("node", "label").alias("child"), F.expr("case when low = label then low_n end").alias("child_n"))
+        F.col("node").alias("e_node"), "e_ch", "label", F.concat("node", "label").alias("child"), F.expr("case when low = label then low_n end").alias("child_n"), *_MARKED)
     return large.unionByName(tails.withColumnRenamed("node", "e_node"), allowMissingColumns=True)
 
 
@@ -151,7 +162,8 @@ _STATE = ["word", "n", "half", "node", "rest", "edits", "near_n"]
 #: The words of a bucket that end a state, and the state behind an edge that has (with this) used its edit.
 _ENDS = "transform(filter(tails, t -> {cond}), t -> named_struct('node', concat(node, t.rest), 'rest', '', 'edits', 2, 'near_n', t.n))"
 _BEHIND = """named_struct('node', child, 'rest', substring(rest, {cut} + 1), 'edits',
-    case when {cut} < length(rest) then 1 when child_n is not null then 2 end, 'near_n', child_n)"""
+    case when {cut} = length(rest) then case when child_n is not null then 2 end
+         when length(rest) - {cut} < """ + str(END) + " or " + _MAY_END.format(end=_END.format(word="rest", length="length(child) + length(rest) - {cut}")) + """ then 1 end, 'near_n', child_n)"""
 #: One edit between a bucket's word and the rest, or between a label and as much of the rest.
 _NEAR = "abs(length(t.rest) - length(rest)) <= 1 and levenshtein(t.rest, rest, 1) = 1"
 _CUTS = "transform(filter(sequence(length(label) - 1, length(label) + 1), c -> c >= exact and c <= length(rest) and levenshtein(substring(rest, 1, c), label, 1) = 1), c -> " + _BEHIND.format(cut="c") + ")"
