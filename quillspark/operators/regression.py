@@ -125,11 +125,9 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
         df.withColumns({c: F.col(c).cast("double") for c in features}))
 
 
-def tree_leaves(model) -> DataFrame:
+def tree_leaves(spark, model) -> DataFrame:
     """``(tree, leaf, value)``: the prediction of every leaf of a fitted forest, numbered as ``predictLeaf`` numbers them
     (in pre-order). Read from the forest's stored nodes; as large as the model."""
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
     path = checkpoint_dir(spark).rstrip("/") + f"/quill_tables/{uuid.uuid4().hex}"
     model.write().overwrite().save(path)
     nodes = spark.read.parquet(path + "/data").select("treeID", "nodeData.id", "nodeData.prediction", "nodeData.leftChild")
@@ -145,7 +143,7 @@ def forest_curve(model, df: DataFrame, y: str, side: str, grid: Sequence[int]) -
     leaves = model.copy().setLeafCol("_leaf").transform(df.withColumn("_row", F.monotonically_increasing_id()))
     leaves = cut_lineage(leaves.select("_row", side, F.col(y).alias("_y"), vector_to_array("_leaf").alias("_leaves")))
     each = leaves.select("_row", side, "_y", F.posexplode("_leaves").alias("tree", "leaf")).withColumn("leaf", F.col("leaf").cast("int"))
-    values = each.join(tree_leaves(model), ["tree", "leaf"])
+    values = each.join(tree_leaves(spark, model), ["tree", "leaf"])
     sizes = spark.createDataFrame([(int(g),) for g in grid], "trees int")
     # a tree counts for every forest that is larger than its number: at most one row for each size of the grid
     means = (values.join(F.broadcast(sizes), F.col("tree") < F.col("trees")).groupBy("_row", side, "_y", "trees")

@@ -64,22 +64,60 @@ def bigrams(arr: Column) -> Column:
                        lambda x, i: F.concat(x, F.lit(" "), arr[i + 1]))
 
 
-def tfidf(posts: DataFrame, day: str, order: Sequence[str], text: str = "text",
-          stop_words: Sequence[str] = lx.TFIDF_STOP_WORDS, min_df: int = 2, max_df: float = 0.95,
-          max_features: int = 1000, bucket_rows: int = 1 << 16):
-    """T2. Returns (weights[day, term, weight], vocabulary[term, df, total, idf]).
+def scan(posts: DataFrame, day: str, order: Sequence[str], text: str = "text", **sentiment) -> DataFrame:
+    """One pass over the texts for all daily features: ``(day, *order, _s, _tok)`` with each post's summed valence (T1) and
+    its word tokens, stop words included. What follows reads tokens, never texts."""
+    body = F.lower(F.coalesce(F.col(text), F.lit("")))
+    first = posts.select(day, *order, body.alias("_body"))
+    first = first.select(day, *order, F.regexp_extract_all("_body", F.lit(SENT_TOKEN_PATTERN), 0).alias("_toks"),
+                         F.regexp_extract_all("_body", F.lit(TOKEN_PATTERN), 0).alias("_tok"))
+    return first.select(day, *order, _valences(**sentiment).alias("_s"), "_tok")
+
+
+def day_words(tokens: DataFrame, day: str, order: Sequence[str]) -> DataFrame:
+    """``(day, term, n)``: single tokens of each day's concatenation, stop words and separators included."""
+    me = F.struct(*[F.col(c) for c in order])
+    seps = tokens.select(day, *order).join(_day_starts(tokens, day, order), day, "left").where(me != F.col("_first"))
+    own = tokens.select(day, F.explode("_tok").alias("term"))
+    return own.unionByName(seps.select(day, F.lit(SEP_TOKEN).alias("term"))).groupBy(day, "term").agg(F.count(F.lit(1)).alias("n"))
+
+
+def tfidf(posts: DataFrame, day: str, order: Sequence[str], text: str = "text", **options):
+    """T2 over texts: see ``tfidf_of``."""
+    tokens = cut_lineage(posts.select(day, *order, word_tokens(F.col(text)).alias("_tok")))
+    return tfidf_of(tokens, cut_lineage(day_words(tokens, day, order)), day, order, **options)
+
+
+#: Words that are told from the others by a literal set; more of them are not worth it.
+MOST_FREQUENT = 50_000
+
+
+def tfidf_of(tokens: DataFrame, words: DataFrame, day: str, order: Sequence[str], stop_words: Sequence[str] = lx.TFIDF_STOP_WORDS,
+             min_df: int = 2, max_df: float = 0.95, max_features: int = 1000, bucket_rows: int = 1 << 16):
+    """T2 over ``scan``'s tokens and ``day_words``. Returns (weights[day, term, weight], vocabulary[term, df, total, idf]).
 
     Vocabulary: 2 <= df <= max_df * n_days, then the ``max_features`` terms of highest total count
     (ties: term). idf = ln((1 + n) / (1 + df)) + 1; weights are count * idf, L2-normalised per day.
+
+    Nearly all bigrams are rare, and a bigram occurs at most as often as its rarer word. If ``max_features`` single words
+    have a total of t or more, a bigram of a word below t is not in the vocabulary: such bigrams are never counted.
     """
-    # used three times below (document frequency, totals, weights): materialised once
-    counts = cut_lineage(_day_counts(posts, day, order, text, stop_words, bucket_rows))
-    n_days = posts.select(day).distinct().agg(F.count(F.lit(1)).alias("_nd"))
-    stats = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("total"))
-    stats = stats.crossJoin(F.broadcast(n_days)).where(
-        (F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * F.col("_nd")))
-    vocab = (stats.orderBy(F.col("total").desc(), F.col("term").asc()).limit(max_features)
-                  .withColumn("idf", F.log((1 + F.col("_nd")) / (1 + F.col("df"))) + 1.0).drop("_nd"))
+    stop_list = list(stop_words)
+    single = words.where(~F.col("term").isin(stop_list)) if stop_list else words
+    n_days = tokens.select(day).distinct().agg(F.count(F.lit(1)).alias("_nd"))
+
+    def stats(counts):
+        found = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("total")).crossJoin(F.broadcast(n_days))
+        return found, found.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * F.col("_nd")))
+
+    every, fit = stats(single)
+    floor = fit.orderBy(F.col("total").desc()).limit(max_features).agg(F.count(F.lit(1)).alias("k"), F.min("total").alias("t")).first()
+    least = max(min_df, floor["t"] if floor["k"] == max_features else 0)
+    frequent = [r[0] for r in every.where(F.col("total") >= least).select("term").limit(MOST_FREQUENT + 1).collect()]
+    pairs = cut_lineage(_day_pairs(tokens, day, order, stop_list, frequent if len(frequent) <= MOST_FREQUENT else None, bucket_rows))
+    counts = single.select(day, "term", "n").unionByName(pairs)
+    vocab = (stats(counts)[1].orderBy(F.col("total").desc(), F.col("term").asc()).limit(max_features)
+             .withColumn("idf", F.log((1 + F.col("_nd")) / (1 + F.col("df"))) + 1.0).drop("_nd"))
     # the vocabulary is at most max_features rows: broadcasting it is bounded by a parameter
     w = counts.join(F.broadcast(vocab.select("term", "idf")), "term").withColumn("w", F.col("n") * F.col("idf"))
     norm = w.groupBy(day).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
@@ -87,40 +125,45 @@ def tfidf(posts: DataFrame, day: str, order: Sequence[str], text: str = "text",
     return weights, vocab
 
 
-def _day_counts(posts, day, order, text, stop_words, bucket_rows):
-    """(day, term, n) including the separator tokens and border bigrams of the concatenation.
+def _day_pairs(tokens, day, order, stop_list, frequent, bucket_rows):
+    """(day, term, n) of the bigrams of the concatenation, those at the borders of posts included; of the ones inside a
+    post only those of two ``frequent`` words (None: all).
 
-    A post's own tokens and bigrams go straight into the grouped count. Only its first and last token and their
+    A post's own bigrams go straight into the grouped count. Only its first and last token and their
     number take part in the ordered scan that finds what stands before it."""
-    tok = posts.select(day, word_tokens(F.col(text), stop_words).alias("_tok"))
-    inner = tok.select(day, F.explode(F.concat(F.col("_tok"), bigrams(F.col("_tok")))).alias("term"))
-    d = posts.select(day, *order, word_tokens(F.col(text), stop_words).alias("_tok"))
+    kept = F.filter("_tok", lambda t: ~t.isin(stop_list)) if stop_list else F.col("_tok")
+    d = tokens.select(day, *order, kept.alias("_tok"))
+    arr = F.col("_tok")
+    if frequent is None:
+        own = bigrams(arr)
+    else:
+        known = lambda x: x.isin(frequent) if frequent else F.lit(False)
+        both = F.transform(F.slice(arr, 1, F.greatest(F.size(arr) - 1, F.lit(0))),
+                           lambda x, i: F.when(known(x) & known(arr[i + 1]), F.concat(x, F.lit(" "), arr[i + 1])))
+        own = F.filter(both, lambda x: x.isNotNull())
+    inner = d.select(day, F.explode(own).alias("term"))
     d = d.select(day, *order, F.size("_tok").alias("_n"), F.try_element_at(F.col("_tok"), F.lit(1)).alias("_first_tok"),
                  F.try_element_at(F.col("_tok"), F.lit(-1)).alias("_last_tok"))
     me = F.struct(*[F.col(c) for c in order])
-    d = d.join(_day_starts(posts, day, order), day, "left").withColumn("_isf", me == F.col("_first")).drop("_first")
+    d = d.join(_day_starts(tokens, day, order), day, "left").withColumn("_isf", me == F.col("_first")).drop("_first")
     bucket = F.struct(*[F.col(c) for c in order[:-1]], F.floor(F.col(order[-1]) / bucket_rows))
     d = ordered.carry_last(d, F.struct(F.col("_n").alias("n"), F.col("_last_tok").alias("t"), F.col("_isf").alias("f")),
                            list(order), "_pv", by=[day], bucket=bucket, inclusive=False)
     # token just before this post's separator: the previous post's last token; if it had none, the
     # separator before it (absent when the previous post was the day's first)
     tail = F.when(F.col("_pv.n") > 0, F.col("_pv.t")).when(~F.col("_pv.f"), F.lit(SEP_TOKEN))
-    added = F.array(F.lit(SEP_TOKEN), F.concat(tail, F.lit(" " + SEP_TOKEN)),
+    added = F.array(F.concat(tail, F.lit(" " + SEP_TOKEN)),
                     F.when(F.col("_n") > 0, F.concat(F.lit(SEP_TOKEN + " "), F.col("_first_tok"))))
     border = d.where(~F.col("_isf")).select(day, F.explode(added).alias("term")).where(F.col("term").isNotNull())
     return inner.unionByName(border).groupBy(day, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def sentiment_scores(posts: DataFrame, day: str, text: str = "text", lexicon: dict | None = None,
-                     negations: Sequence[str] = lx.NEGATIONS, boost_up: Sequence[str] = lx.BOOSTERS_UP,
-                     boost_down: Sequence[str] = lx.BOOSTERS_DOWN) -> DataFrame:
-    """Lexicon sentiment per day in [-1, 1].
+def _valences(lexicon: dict | None = None, negations: Sequence[str] = lx.NEGATIONS, boost_up: Sequence[str] = lx.BOOSTERS_UP,
+              boost_down: Sequence[str] = lx.BOOSTERS_DOWN) -> Column:
+    """Summed valence of the tokens in ``_toks``.
 
     Per token: lexicon valence; +/-0.293 toward its sign when the previous token is an intensifier /
-    softener; x(-0.74) when one of the three previous tokens is a negation (all within the post). The day
-    score is s / sqrt(s^2 + 15) of the summed valences. Per-post work is row-local array code; one
-    grouped sum per day.
-    """
+    softener; x(-0.74) when one of the three previous tokens is a negation (all within the post)."""
     lex = lexicon or lx.SENTIMENT_LEXICON
     lex_map = F.create_map(*[x for k, v in sorted(lex.items()) for x in (F.lit(k), F.lit(float(v)))])
     lex_keys, neg, up, down = sorted(lex), list(negations), list(boost_up), list(boost_down)
@@ -139,13 +182,22 @@ def sentiment_scores(posts: DataFrame, day: str, text: str = "text", lexicon: di
         negated = F.exists(F.slice(toks, F.greatest(i - 2, F.lit(1)), F.least(i, F.lit(3))), lambda p: p.isin(neg))
         return F.when((v != 0) & (i >= 1) & negated, v * lx.NEGATION_SCALAR).otherwise(v)
 
-    s = F.aggregate(F.transform(toks, valence), F.lit(0.0), lambda acc, x: acc + x)
-    per = posts.select(day, F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))),
-                                                 F.lit(SENT_TOKEN_PATTERN), 0).alias("_toks")).select(day, s.alias("_s"))
-    return per.groupBy(day).agg(F.sum("_s").alias("_S")).select(
+    return F.aggregate(F.transform(toks, valence), F.lit(0.0), lambda acc, x: acc + x)
+
+
+def day_sentiment(scanned: DataFrame, day: str) -> DataFrame:
+    """The day score s / sqrt(s^2 + 15) of the posts' summed valences (``_s``), in [-1, 1]."""
+    return scanned.groupBy(day).agg(F.sum("_s").alias("_S")).select(
         day, (F.col("_S") / F.sqrt(F.col("_S") * F.col("_S") + lx.ALPHA)).alias("sentiment_compound"))
 
 
+def sentiment_scores(posts: DataFrame, day: str, text: str = "text", **options) -> DataFrame:
+    """Lexicon sentiment per day. Per-post work is row-local array code (``_valences``); one grouped sum per day."""
+    # the token array is materialised as a column first: inline, it would be evaluated anew for every token
+    toks = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(SENT_TOKEN_PATTERN), 0)
+    return day_sentiment(posts.select(day, toks.alias("_toks")).select(day, _valences(**options).alias("_s")), day)
+
+
 def poly_hash(tok: Column, mod: int = 1000003) -> Column:
     """Rolling hash h = (31*h + codepoint) mod p over the token's characters (same rule in the oracle)."""
     cps = F.transform(F.split(tok, ""), lambda ch: F.ascii(ch).cast("long"))
@@ -165,7 +217,12 @@ def hash_embeddings(tokens: DataFrame, key: str, tok: str = "tok", dim: int = 64
     Bucket = h mod dim, sign = + when (h div dim) is even. A learned encoder can replace it through
     ``encode_with`` (mapInPandas)."""
     # count each (key, token) first (combined map-side), then hash once per distinct pair
-    tf_ = tokens.groupBy(key, F.col(tok).alias("_tok")).agg(F.count(F.lit(1)).alias("_n"))
+    return hash_embeddings_of(tokens.groupBy(key, F.col(tok).alias("term")).agg(F.count(F.lit(1)).alias("n")), key, dim)
+
+
+def hash_embeddings_of(counts: DataFrame, key: str, dim: int = 64) -> DataFrame:
+    """``hash_embeddings`` of tokens that are already counted: rows ``(key, term, n)``."""
+    tf_ = counts.select(key, F.col("term").alias("_tok"), F.col("n").alias("_n"))
     h = poly_hash(F.col("_tok"))
     contrib = tf_.select(key, (h % dim).cast("int").alias("d"),
                          (F.when(F.floor(h / dim) % 2 == 0, 1.0).otherwise(-1.0) * F.col("_n")).alias("s"))

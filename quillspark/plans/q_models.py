@@ -38,20 +38,21 @@ def cleaned_posts(raw):
 def daily_features(spark, d, svd_k: int = 10, embed_n: int = 8, dim: int = 64):
     """Q7 over the cleaned posts: one row per posting day: six summed counts, close price (as-of backward, then ffill/bfill),
     lexicon sentiment, 10 SVD components of TF-IDF and 8 hashed-embedding components; F10 null check."""
-    # cleaned once: sentiment, TF-IDF, SVD and embeddings all read it
-    p = cut_lineage(cleaned_posts(fixture(spark, d, "raw_dated_posts")).where(F.col("date").isNotNull()))
     src_rank = F.create_map(*[x for k, v in SOURCE_ORDER.items() for x in (F.lit(k), F.lit(v))])
-    p = p.withColumn("src_rank", src_rank[F.col("source")])
     order = ["src_rank", "row_id"]
+    posts = cleaned_posts(fixture(spark, d, "raw_dated_posts")).where(F.col("date").isNotNull()).withColumn("src_rank", src_rank[F.col("source")])
+    # the texts are read once: their tokens, valences and counts are what sentiment, TF-IDF, SVD and embeddings share
+    p = cut_lineage(tf.scan(posts, "date", [*order, *COUNT_COLS]))
     counts = p.groupBy("date").agg(*[F.sum(F.coalesce(F.col(c), F.lit(0))).cast("bigint").alias(c) for c in COUNT_COLS])
     stock = fixture(spark, d, "stock").select("Date", "Close")
     # daily rows: plain ordered windows (the calendar bounds them)
     daily = ordered.asof_backward(counts, stock, "date", "Date", ["Close"], bucket_fn=None)
     daily = ordered.ffill_bfill(daily, "Close", "date", out="close_price", bucket_fn=None).drop("Close")
-    sent = tf.sentiment_scores(p, "date")
-    w, _vocab = tf.tfidf(p, "date", order)
+    words = cut_lineage(tf.day_words(p, "date", order))
+    sent = tf.day_sentiment(p, "date")
+    w, _vocab = tf.tfidf_of(p, words, "date", order)
     svd = tf.truncated_svd(w, "date", "term", "weight", svd_k)
-    emb = tf.hash_embeddings(tf.day_tokens(p, "date", order), "date", dim=dim)
+    emb = tf.hash_embeddings_of(words, "date", dim=dim)
     emb = emb.select("date", *[F.col("embedding")[i].alias(f"embed_{i}") for i in range(embed_n)])
     out = (daily.join(sent, "date", "left").join(svd, "date", "left").join(emb, "date", "left")
                 .na.fill(0.0, subset=["sentiment_compound"] + [f"tfidf_{i}" for i in range(svd_k)] + [f"embed_{i}" for i in range(embed_n)]))
@@ -239,15 +240,20 @@ def validation_curve(spark, d, grid=TREE_GRID, folds: int = 3, specs: dict | Non
 
     Forests of one fold are nested: one forest of the most trees is fitted a fold, and a smaller one is its first trees.
     The RMSE of all sizes comes from running means of the trees' single predictions (``rg.forest_curve``)."""
+    from concurrent.futures import ThreadPoolExecutor
+    from functools import reduce
+
     from pyspark.ml.regression import RandomForestRegressor
     tr, _te, _s = _training_sets(spark, d)
     tr = tr.withColumn("_fold", F.pmod(F.xxhash64(*FEATURES[:6], F.lit(3)), F.lit(folds)))
     spec = {k: v for k, v in (specs or MODEL_SPECS)["Random Forest"].items() if k not in ("kind", "numTrees")}
-    curves = None
-    for k in range(folds):
+
+    def one(k):
         m = RandomForestRegressor(featuresCol="features", labelCol="y", numTrees=max(grid), maxMemoryInMB=1024, **spec).fit(tr.where(F.col("_fold") != k))
-        c = rg.forest_curve(m, tr.withColumn("_held", F.col("_fold") == k), "y", "_held", grid)
-        curves = c if curves is None else curves.unionByName(c)
+        return rg.forest_curve(m, tr.withColumn("_held", F.col("_fold") == k), "y", "_held", grid)
+
+    with ThreadPoolExecutor(folds) as pool:                       # the folds' fits run side by side
+        curves = reduce(lambda a, b: a.unionByName(b), pool.map(one, range(folds)))
     return (curves.groupBy(F.col("trees").alias("n_estimators"))
             .agg(F.avg(F.when(~F.col("_held"), F.col("rmse"))).alias("train_rmse"), F.avg(F.when(F.col("_held"), F.col("rmse"))).alias("val_rmse")))
 

@@ -101,3 +101,32 @@ def test_encode_with_runs_batch_encoder(spark):
     out = {r.row_id: r.embedding for r in tf.encode_with(df, "row_id", "text", factory, 2).collect()}
     assert out[1] == [float(len(POSTS[0][2])), float(POSTS[0][2].count(" "))]
     assert out[2] == [0.0, 0.0]          # null text encodes as ''
+
+
+def test_pruned_bigrams_change_no_vocabulary(spark, monkeypatch):
+    """The vocabulary with bigrams counted only where both words are frequent enough equals the unpruned one."""
+    import random
+
+    from quillspark.operators import text_features as tf
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(30)]
+    rows = [(i % 6, i, " ".join(rng.choices(words, weights=[1 / (k + 1) for k in range(30)], k=rng.randrange(0, 25)))) for i in range(90)]
+    df = spark.createDataFrame(rows, "day int, row_id long, text string")
+    for size in (5, 12, 40, 1000):
+        found = []
+        for most in (50_000, 0):
+            monkeypatch.setattr(tf, "MOST_FREQUENT", most)
+            w, v = tf.tfidf(df, "day", ["row_id"], stop_words=["w3"], max_df=1.0, max_features=size)
+            found.append((sorted(map(tuple, v.collect())), sorted((r[0], r[1], round(r[2], 12)) for r in w.collect())))
+        assert found[0] == found[1] and found[0][0]
+
+
+def test_scan_gives_what_the_single_features_give(spark):
+    from quillspark.operators import text_features as tf
+    rows = [(d, i, t) for i, (d, t) in enumerate([(1, "not very good, really bad"), (1, None), (1, "great it's Über gut"), (2, ""), (2, "a bb c dd"), (3, "sep sep")])]
+    df = spark.createDataFrame(rows, "day int, row_id long, text string")
+    s = tf.scan(df, "day", ["row_id"])
+    assert sorted(map(tuple, tf.day_sentiment(s, "day").collect())) == sorted(map(tuple, tf.sentiment_scores(df, "day").collect()))
+    words = tf.day_words(s, "day", ["row_id"])
+    by_words = sorted(map(tuple, tf.hash_embeddings_of(words, "day", 8).collect()))
+    assert by_words == sorted(map(tuple, tf.hash_embeddings(tf.day_tokens(df, "day", ["row_id"]), "day", dim=8).collect()))
