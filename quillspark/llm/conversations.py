@@ -24,7 +24,6 @@ an empty result.
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
 from heapq import heappop, heappush
 
 import pyarrow as pa
@@ -37,6 +36,8 @@ from .common import schema, slices
 
 #: Rows of a piece of a long conversation.
 PIECE = 1024
+#: Solved conversations that a task remembers; many are alike.
+KNOWN = 1 << 14
 #: Costs of the edits, and of leaving a truncated row in.
 REROLE, DELETE, INSERT, TRUNCATED = 1, 2, 5, 5
 #: States of the role pattern: nothing yet, after s, after u, after a. Where each initial leads; the first and last are final.
@@ -161,7 +162,6 @@ def cheapest(layers: list[Moves], inserts: Moves, start: int, finals) -> tuple[i
                      for x, v, audit, w in found if x == cost)
 
 
-@lru_cache(maxsize=1 << 14)
 def solved(letters: str) -> tuple[int, str]:
     """Cost and audit of a whole conversation."""
     return cheapest([MOVES[x] for x in letters], INSERTS, 0, FINAL)
@@ -225,12 +225,19 @@ _PIECE = ("key string, part int, seq int, whole boolean, cost long, audit string
 def _pieces(batches):
     """Solve the conversations that lie within the partition; cut those at its borders, and long ones, into pieces."""
     part = TaskContext.get().partitionId()
-    out, seq = [], 0
+    out, seq, known = [], 0, {}
+
+    def remembered(letters):
+        if letters not in known:
+            if len(known) >= KNOWN:
+                known.clear()
+            known[letters] = solved(letters)
+        return known[letters]
 
     def put(key, letters, whole):
         nonlocal seq
         seq += 1
-        cost, audit = solved(letters) if whole else (None, None)
+        cost, audit = remembered(letters) if whole else (None, None)
         ways = None if whole else [None if w is None else {"cost": w[0], "audit": w[1]} for w in transfers(letters)]
         out.append((key, part, seq, whole, cost, audit, *counts(letters), letters[0], letters[-1], ways))
 

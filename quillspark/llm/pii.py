@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import list_column, schema, utf8, with_kernel, word_hashes, words_of
+from .common import list_column, schema, slices, utf8, with_kernel, word_hashes, words_of
 from .spans import SPANS, ordered
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -162,7 +162,6 @@ def context_totals(df: DataFrame, text: str, contexts: DataFrame) -> DataFrame:
     sent = df.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches):
-        from .common import slices
         flags = np.unpackbits(sent.value.view(np.uint8), bitorder="little").astype(bool)
         for batch in batches:
             for part in slices(batch, "text"):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import list_column, schema, utf8, with_kernel, word_hashes, words_of
+from .common import list_column, schema, slices, utf8, with_kernel, word_hashes, words_of
 
 BUCKET_BITS = 18
 IS_WORD = np.array([48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128 or b == 39 for b in range(256)])
@@ -43,7 +43,6 @@ def tokens(column) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 def document_counts(labelled: DataFrame, text: str, label: str) -> DataFrame:
     """``(bucket, toxic, other)``: documents of each label that hold a word of the bucket; bucket -1 counts documents."""
     def run(batches):
-        from .common import slices
         for batch in batches:
             for part in slices(batch, "text"):
                 row, bucket, _, _ = tokens(part.column("text"))
