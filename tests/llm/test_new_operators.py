@@ -105,8 +105,6 @@ def words_fixture():
 def test_near_pairs_and_groups(spark, monkeypatch, bucket):
     monkeypatch.setattr(spelling, "BUCKET", bucket)
     counts = words_fixture()
-    docs = [(None, (w + " ") * n) for w, n in counts.items()]
-    want = brute.op12([])
     near = {}
     n = counts
 
@@ -121,13 +119,12 @@ def test_near_pairs_and_groups(spark, monkeypatch, bucket):
     form = {w: (lambda b: b if b is not None and n[b] >= 10 * n[w] else None)(min(near[w], key=lambda v: (-n[v], v.encode()), default=None)) for w in n}
     df = spark.createDataFrame(list(n.items()), "word string, n long")
     got = {r["word"]: r for r in spelling.groups(df).collect()}
-    assert set(got) == set(n) and want == {}
+    assert set(got) == set(n)
     for w in n:
         root = w
         while form[root] is not None:
             root = form[root]
         assert (got[w]["form"], got[w]["root"], got[w]["n"], got[w]["n_near"], got[w]["form_n"]) == (form[w], root, n[w], len(near[w]), n.get(form[w])), w
-    assert docs
 
 
 def test_spelling_query(spark, tmp_path):
