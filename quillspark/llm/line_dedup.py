@@ -6,7 +6,9 @@ Equal lines are one row, and two different lines link when their edit distance i
 1. A line is split into k + 1 even segments. A line within k edits holds at least one of them unchanged, shifted by at
    most k places. So each line's segments are an index under (length, segment number, text), and each line probes the
    index for every length from its own down to k less, only at the start positions that an alignment with the edits
-   left and right of the segment allows.
+   left and right of the segment allows. With k = 1, a segment that more than ``GROUP`` lines share is not joined: the
+   rest of its lines is split into two segments again, and so on (``refined``), so that the work follows the number of
+   lines in a group, not its square. With k > 1 a hot segment is joined as it is.
 2. Each pair that meets is verified by bit-parallel edit distance in a band of 2k + 1 diagonals: one word of bits holds
    the band, and a fold over the characters moves it down the diagonal. Equal ends are cut off before.
 3. Linked lines are classes (transitively). A class keeps its first place, by doc_id, then by line; all its other
@@ -16,11 +18,14 @@ Joins whose sides follow the corpus are sort-merge joins by hint, so that the pl
 sieves, of a fixed size, are broadcast.
 
 Shorter lines and blank lines always stay. Null and empty texts stay as they are. A text of which no line is left
-becomes empty. Rows that repeat an id count as one document. Other columns aren't read.
+becomes empty. Rows that repeat an id count as one document; rows without an id stay as they are and take no part.
+Other columns aren't read.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +60,7 @@ def lines_of(df: DataFrame, doc_id: str, text: str, min_chars: int) -> DataFrame
     """``(doc_id, pos, line, h1, h2)`` of the lines that take part; ``pos`` counts all lines of the text from 0, and
     the two hashes stand for the line."""
     parts = F.posexplode(F.split(F.col(text), NEWLINE, -1)).alias("pos", "line")
-    return (df.select(F.col(doc_id).alias("doc_id"), parts).withColumn("line", F.trim("line"))
+    return (df.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("doc_id"), parts).withColumn("line", F.trim("line"))
               .where(F.char_length("line") >= min_chars)
               .withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")}))
 
@@ -95,14 +100,79 @@ def segment_keys(line: str, n: Column, k: int) -> dict[str, Column]:
             "even": F.array(*even) if even else none, "less": F.array(*less) if less else none}
 
 
-def candidates(lines: DataFrame, k: int) -> DataFrame:
-    """Pairs ``(a, b)`` of line ids that meet in the index."""
-    index = lines.select(F.col("lid").alias("a"), F.explode("own").alias("key"))
-    equal = lines.select(F.col("lid").alias("b"), F.explode(F.concat("own", "even") if k > 1 else F.col("own")).alias("key")).where("key is not null")
-    less = lines.select(F.col("lid").alias("b"), F.explode("less").alias("key")).where("key is not null")
-    same = index.join(equal.hint("merge"), "key").where("a < b").select("a", "b")
-    shorter = index.join(less.hint("merge"), "key").where("a <> b").select("a", "b")
-    return same.unionByName(shorter).distinct()
+def candidates(lines: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """Pairs ``(a, b)`` of line ids that meet in the index; of lines in hot segments, those that ``refined`` finds."""
+    if k > 1:
+        index = lines.select(F.col("lid").alias("a"), F.explode("own").alias("key"))
+        equal = lines.select(F.col("lid").alias("b"), F.explode(F.concat("own", "even")).alias("key")).where("key is not null")
+        less = lines.select(F.col("lid").alias("b"), F.explode("less").alias("key")).where("key is not null")
+        same = index.join(equal.hint("merge"), "key").where("a < b").select("a", "b")
+        shorter = index.join(less.hint("merge"), "key").where("a <> b").select("a", "b")
+        return same.unionByName(shorter).distinct()
+    entries = lines.select("lid", "h1", "h2", F.explode(F.array(*[
+        F.struct(F.lit(longer).alias("longer"), F.lit(s).alias("s"), F.get(F.col(c), s).alias("key"))
+        for longer, c in ((0, "own"), (1, "less")) for s in (0, 1)])).alias("e")).select("lid", "h1", "h2", "e.*").where("key is not null")
+    hot = cut_lineage(hot_keys(lines.select(F.lit(0).alias("longer"), F.explode("own").alias("key"))))
+    entries = sifted(entries, sieve(hot, "key"), "key")
+    pairs = met(entries.where("not _in"))
+    if hot.limit(1).count():
+        pairs = pairs.unionByName(refined(entries.where("_in").select("lid", "h1", "h2", "longer", "s"), found))
+    return pairs.distinct()
+
+
+#: A key of more index entries than this is hot.
+GROUP = 8
+
+
+def hot_keys(entries: DataFrame) -> DataFrame:
+    return entries.where("longer = 0").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP).select("key")
+
+
+def met(entries: DataFrame) -> DataFrame:
+    """Pairs of entries ``(lid, longer, key)`` of one key, of which at least one is an index entry (``longer`` 0)."""
+    index = entries.where("longer = 0").select("key", F.col("lid").alias("a"))
+    every = entries.select("key", F.col("lid").alias("b"), "longer")
+    return index.join(every.hint("merge"), "key").where("a < b or longer = 1").select("a", "b")
+
+
+def refined(entries: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` of the lines in hot segments, for one edit: a group of m lines costs work in proportion to m.
+
+    Lines that share a segment can differ only in the gap that is left, from ``lo`` up to ``hi`` by the places of the
+    shorter line (``longer`` is 1 where a line probes for lines shorter by one). The gap is split again into two
+    segments, one of which matches; so the key is all that matched so far, and keys that are still hot are split on.
+    Pairs meet at keys of at most ``GROUP`` index entries. A hot gap of one character ends it: all index entries there
+    are one edit apart, so each links with the least of them, and a longer line with the entries that hold, in the
+    gap, one of its own two characters there (one for each character)."""
+    ids = entries.select("h1", "h2").distinct()
+    near = sifted(found.select("h1", "h2", "line"), sieve(ids, "h1", "h2"), "h1", "h2").where("_in").drop("_in")
+    texts = cut_lineage(near.groupBy("h1", "h2").agg(F.first("line").alias("line")))
+    n = F.char_length("line") - F.col("longer")
+    middle = (F.lit(1) + F.floor(n / 2)).cast("int")
+    state = entries.join(texts.hint("merge"), ["h1", "h2"]).select(
+        "lid", "longer", "line", F.when(F.col("s") == 0, middle).otherwise(1).alias("lo"),
+        F.when(F.col("s") == 0, n + 1).otherwise(middle).cast("int").alias("hi"))
+    pairs = []
+    while True:
+        matched = [F.char_length("line") - F.col("longer"), F.col("lo"), F.col("hi"), F.expr("substring(line, 1, lo - 1)"),
+                   F.expr("substring(line, hi + longer, char_length(line))")]
+        middle = F.expr("CAST(lo + (hi - lo) DIV 2 AS INT)")
+        ends = state.where("hi - lo = 1").withColumn("key", F.xxhash64(*matched))
+        least = ends.where("longer = 0").groupBy("key").agg(F.min("lid").alias("a"))
+        pairs.append(ends.where("longer = 0").join(least.hint("merge"), "key").where("a < lid").select("a", F.col("lid").alias("b")))
+        own = ends.where("longer = 0").select(F.xxhash64("key", F.expr("substring(line, lo, 1)")).alias("key"), F.col("lid").alias("a"))
+        probes = ends.where("longer = 1").select(F.explode(F.array_distinct(F.array(
+            *[F.xxhash64("key", F.expr(f"substring(line, lo + {x}, 1)")) for x in (0, 1)]))).alias("key"), F.col("lid").alias("b"))
+        pairs.append(own.join(probes.hint("merge"), "key").select("a", "b"))
+        halves = F.explode(F.array(F.struct(middle.alias("lo"), F.col("hi").alias("hi")), F.struct(F.col("lo").alias("lo"), middle.alias("hi"))))
+        split = state.where("hi - lo > 1").select("lid", "longer", "line", halves.alias("g")).select("lid", "longer", "line", "g.*")
+        split = cut_lineage(split.withColumn("key", F.xxhash64(*matched)))
+        hot = cut_lineage(hot_keys(split))
+        parts = sifted(split, sieve(hot, "key"), "key")
+        pairs.append(met(parts.where("not _in")))
+        if not hot.limit(1).count():
+            return reduce(DataFrame.unionByName, pairs)
+        state = parts.where("_in").select("lid", "longer", "line", "lo", "hi")
 
 
 def let(value: Column, use) -> Column:
@@ -200,7 +270,7 @@ def removals(df: DataFrame, doc_id: str, text: str, threshold: int = 1, min_char
     distinct = occurrences.groupBy("h1", "h2").agg(
         F.min(F.struct("doc_id", "pos")).alias("head"), F.count(F.lit(1)).alias("n"), *[F.first(k).alias(k) for k in ("own", "even", "less")])
     lines = cut_lineage(distinct.withColumn("lid", F.monotonically_increasing_id()))
-    pairs = cut_lineage(candidates(lines, threshold))
+    pairs = cut_lineage(candidates(lines, found, threshold))
     near = cut_lineage(components(verified(pairs, lines, found, threshold)))
     # the first place of every line that has more than one occurrence or belongs to a class of more than one line
     classed = lines.select("lid", "h1", "h2", "head", "n").join(near.withColumnRenamed("id", "lid").hint("merge"), "lid", "left")

@@ -18,6 +18,7 @@ import public_tokenizers  # noqa: E402
 from conftest import SF_MID  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
+from quillspark import session  # noqa: E402
 from quillspark.llm import bpe, common, decontaminate, langid, line_dedup, pii, queries, secrets, shards, shingle_join, spans, toxicity, vector_dups  # noqa: E402
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -112,6 +113,31 @@ def test_segment_join_misses_no_pair(spark, k):
     assert got == {i: removed for i, (removed, _) in brute.op5(docs, k).items()}
 
 
+def test_hot_segments_are_refined(spark):
+    rng = random.Random(9)
+    base = "the shared opening of every line, then number 000000 and the shared end"
+    lines = [base.replace("000000", f"{rng.randrange(10**6):06d}"[: rng.choice([4, 5, 6])]) for _ in range(400)]
+    for i in range(len(base)):                                # all at one place, and at every place
+        lines += [base[:i] + c + base[i + 1:] for c in "QZ"] + [base[:i] + base[i + 1:], base[:i] + "Q" + base[i:]]
+    lines = [x.strip() for x in lines]
+    docs = [(i, x) for i, x in enumerate(lines)] + [(None, base)]
+    rng.shuffle(docs)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.dedup(df, "doc_id", "text").collect()}
+    assert got.pop(None) == []
+    assert got == {i: removed for i, (removed, _) in brute.op5([d for d in docs if d[0] is not None], 1).items()}
+
+
+def test_a_family_of_copies_meets_in_few_pairs(spark):
+    base = "an opening that all of them have in common, and an ending"
+    n = 2000
+    lines = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit(base), F.format_string(" %07d", F.col("id") * 4999)).alias("text"))
+    found = line_dedup.lines_of(lines, "doc_id", "text", 20)
+    keyed = found.withColumn("n", F.char_length("line")).select(
+        F.col("doc_id").alias("lid"), "h1", "h2", *[c.alias(k) for k, c in line_dedup.segment_keys("line", F.col("n"), 1).items()])
+    assert line_dedup.candidates(session.cut_lineage(keyed), found, 1).count() < 2 * line_dedup.GROUP * n
+
+
 def test_line_dedup_is_native(spark):
     df = spark.createDataFrame([(0, "a line of twenty characters or so\nshort")], "doc_id long, text string")
     plan = line_dedup.dedup(df, "doc_id", "text")._jdf.queryExecution().executedPlan().toString()
