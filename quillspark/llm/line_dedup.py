@@ -152,29 +152,36 @@ def refined(entries: DataFrame, found: DataFrame) -> DataFrame:
     state = entries.join(texts.hint("merge"), ["h1", "h2"]).select(
         "lid", "longer", "line", F.when(F.col("s") == 0, middle).otherwise(1).alias("lo"),
         F.when(F.col("s") == 0, n + 1).otherwise(middle).cast("int").alias("hi"))
-    pairs = []
+    pairs = []                                                   # a table for each level: at most log2 of a line's length
     while True:
         matched = [F.char_length("line") - F.col("longer"), F.col("lo"), F.col("hi"), F.expr("substring(line, 1, lo - 1)"),
                    F.expr("substring(line, hi + longer, char_length(line))")]
         middle = F.expr("CAST(lo + (hi - lo) DIV 2 AS INT)")
         ends = state.where("hi - lo = 1").withColumn("key", F.xxhash64(*matched))
-        least = ends.where("longer = 0").groupBy("key").agg(F.min("lid").alias("a"))
-        pairs.append(ends.where("longer = 0").join(least.hint("merge"), "key").where("a < lid").select("a", F.col("lid").alias("b")))
-        own = ends.where("longer = 0").select(F.xxhash64("key", F.expr("substring(line, lo, 1)")).alias("key"), F.col("lid").alias("a"))
-        probes = ends.where("longer = 1").select(F.explode(F.array_distinct(F.array(
-            *[F.xxhash64("key", F.expr(f"substring(line, lo + {x}, 1)")) for x in (0, 1)]))).alias("key"), F.col("lid").alias("b"))
-        pairs.append(own.join(probes.hint("merge"), "key").select("a", "b"))
+        if ends.limit(1).count():
+            pairs.append(cut_lineage(one_apart(ends)))
         halves = F.explode(F.array(F.struct(middle.alias("lo"), F.col("hi").alias("hi")), F.struct(F.col("lo").alias("lo"), middle.alias("hi"))))
         split = state.where("hi - lo > 1").select("lid", "longer", "line", halves.alias("g")).select("lid", "longer", "line", "g.*")
         split = cut_lineage(split.withColumn("key", F.xxhash64(*matched)))
         hot = cut_lineage(hot_keys(split))
         parts = sifted(split, sieve(hot, "key"), "key")
-        pairs.append(met(parts.where("not _in")))
+        pairs.append(cut_lineage(met(parts.where("not _in"))))
         if not hot.limit(1).count():
             return reduce(DataFrame.unionByName, pairs)
         state = parts.where("_in").select("lid", "longer", "line", "lo", "hi")
 
 
+def one_apart(ends: DataFrame) -> DataFrame:
+    """Pairs of the entries whose gap is one character, as stated in ``refined``."""
+    index = ends.where("longer = 0")
+    least = index.groupBy("key").agg(F.min("lid").alias("a"))
+    equal = index.join(least.hint("merge"), "key").where("a < lid").select("a", F.col("lid").alias("b"))
+    own = index.select(F.xxhash64("key", F.expr("substring(line, lo, 1)")).alias("key"), F.col("lid").alias("a"))
+    probes = ends.where("longer = 1").select(F.explode(F.array_distinct(F.array(
+        *[F.xxhash64("key", F.expr(f"substring(line, lo + {x}, 1)")) for x in (0, 1)]))).alias("key"), F.col("lid").alias("b"))
+    return equal.unionByName(own.join(probes.hint("merge"), "key").select("a", "b"))
+
+
 def let(value: Column, use) -> Column:
     """``use(value)`` with the value computed once."""
     return F.get(F.transform(F.array(value), use), 0)

@@ -116,8 +116,8 @@ def test_segment_join_misses_no_pair(spark, k):
 def test_hot_segments_are_refined(spark):
     rng = random.Random(9)
     base = "the shared opening of every line, then number 000000 and the shared end"
-    lines = [base.replace("000000", f"{rng.randrange(10**6):06d}"[: rng.choice([4, 5, 6])]) for _ in range(400)]
-    for i in range(len(base)):                                # all at one place, and at every place
+    lines = [base.replace("000000", f"{rng.randrange(10**6):06d}"[: rng.choice([4, 5, 6])]) for _ in range(90)]
+    for i in range(0, len(base), 6):                          # all at one place, and at many
         lines += [base[:i] + c + base[i + 1:] for c in "QZ"] + [base[:i] + base[i + 1:], base[:i] + "Q" + base[i:]]
     lines = [x.strip() for x in lines]
     docs = [(i, x) for i, x in enumerate(lines)] + [(None, base)]
