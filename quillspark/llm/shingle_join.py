@@ -11,8 +11,10 @@ prefix where the sketch foretells many candidates, and its pairs must then share
 3. Two rounds compare each class with one centre: of the centres of its shingles (first the class with the most
    frequent prefix, then one by hash) the one it shares most with. Classes that link join components. Large groups of
    near copies melt into one here, in a number of comparisons that is linear in them.
-4. All pairs of classes in different components that share enough prefix shingles, and whose bounds on what they can
-   share, by the places of the prefix shingles that both have, reach the overlap they need, are verified, so that no link between components is lost, and the components are taken again.
+4. Classes in different components meet at a shingle only if what stands behind it in both sets still reaches the
+   overlap they need, as it does at the first shingle that a linked pair shares. Of these pairs, those that share enough prefix
+   shingles, and can reach the overlap behind the last of them, are verified, so that no link between components is
+   lost, and the components are taken again.
 
 Verification intersects the full sets, made again from the texts of the pairs, which compress better than hashes and
 stream past their centre; centres of many members are salted. The sketch has a fixed
@@ -31,7 +33,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -235,17 +237,27 @@ def candidate_pairs(t: DataFrame, last: bool, round_: int, percent: int) -> Data
         return overlap * (100 + percent) >= percent * (F.col("an") + F.col("bn"))
 
     if last:
-        # a token's rank among the class's tokens here: all that another component's class can have are among them
-        t = t.withColumn("rank", F.row_number().over(Window.partitionBy("doc_id").orderBy("pos")))
-        names = {"doc_id": "", "n": "n", "matches": "m", "comp": "c", "pos": "pos", "rank": "rank"}
-        x, y = (t.select("token", *[F.col(c).alias(side + as_) for c, as_ in names.items()]) for side in "ab")
-        # up to a token that both have they share no more than its rank, behind it no more than what is left
-        here = F.least("arank", "brank") + F.least(F.col("an") - F.col("apos"), F.col("bn") - F.col("bpos"))
-        met = x.join(y.hint("merge"), "token").where("a < b and ac <> bc").where(sizes & reaches(here))
-        pairs = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("m"), F.max("apos").alias("apos"), F.max("bpos").alias("bpos"),
-                                          *[F.first(c).alias(c) for c in ("an", "bn", "am", "bm")])
+        # the first shingle that a pair shares has all others of both sides behind it, so a token is met only where
+        # the rest of both sets, itself included, reaches the overlap; one such row at least is left of every link
+        names = {"doc_id": "", "n": "n", "matches": "m", "comp": "c", "pos": "pos"}
+        front = t.where(100 * (F.col("pos") - 1) <= (100 - percent) * F.col("n"))
+        x, y = (front.select("token", *[F.col(c).alias(side + as_) for c, as_ in names.items()]) for side in "ab")
+        rest = 1 + F.least(F.col("an") - F.col("apos"), F.col("bn") - F.col("bpos"))
+        met = x.join(y.hint("merge"), "token").where("a < b and ac <> bc").where(sizes & reaches(rest))
+        pairs = cut_lineage(met.select("a", "an", "am", "b", "bn", "bm").distinct())
+        # their matches are counted on the prefixes; in the global order the last shared shingle is the last of both
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        sets = t.join(ids.hint("merge"), "doc_id", "left_semi").groupBy("doc_id", "n").agg(
+            F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("s"))
+        for side in "ab":
+            own = sets.select(F.col("doc_id").alias(side), F.col("n").alias(side + "n"), F.col("s.token").alias(side + "s"), F.col("s.pos").alias(side + "at"))
+            pairs = pairs.join(own.hint("merge"), [side, side + "n"])
+        pairs = pairs.withColumn("both", F.array_intersect("as", "bs")).withColumn("m", F.size("both")).where(enough)
+        pairs = pairs.withColumn("end", F.element_at("both", -1))
+        for side in "ab":
+            pairs = pairs.withColumn(side + "pos", F.element_at(side + "at", F.array_position(side + "s", F.col("end")).cast("int")))
         left = F.col("m") + F.least(F.col("an") - F.col("apos"), F.col("bn") - F.col("bpos"))
-        return pairs.where(enough & reaches(left)).select("a", "b")
+        return pairs.where(reaches(left)).select("a", "b").distinct()
     # a token's centre, first: the class with most frequent shingles in its prefix. Of a family of near copies that is
     # one with few shingles of its own, the nearest to all others. Later: the class of the greatest hash
     lead = F.col("common") if round_ == 0 else F.lit(0)
