@@ -23,7 +23,7 @@ size and only steers the order: results never depend on it. Equal hashes stand f
 Joins whose sides follow the corpus are sort-merge joins by hint, so that the plan is the same at every size.
 
 Documents without words, and null texts, have no shingles and link with nothing. Rows that repeat an id count as one
-document. An empty table gives no row.
+document. Rows without an id take no part: their component is null, and nothing links with or through them. An empty table gives no row.
 """
 
 from __future__ import annotations
@@ -277,7 +277,7 @@ def find(df: DataFrame, doc_id: str, text: str, k: int = 5, percent: int = 80) -
     docs = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     table = cut_lineage(digests_and_sketch(docs, k))
     rows = table.where("chunk is null").select("doc_id", "n", "digest")
-    classes = rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+    classes = rows.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
     sketch = summed_sketch(table.where("chunk is not null").select("chunk", "counts"))
     own = cut_lineage(prefixes(docs, k, sketch, percent).where("n > 0").join(
         classes.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi"))
@@ -302,4 +302,4 @@ def find(df: DataFrame, doc_id: str, text: str, k: int = 5, percent: int = 80) -
             t = rest
     reps = classes.join(near.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "digest", F.coalesce("component_id", "doc_id").alias("component_id"))
-    return rows.join(reps, "digest", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return rows.join(reps, "digest", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))

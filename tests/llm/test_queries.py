@@ -108,9 +108,19 @@ def test_shards(spark, table):
 
 
 def test_jaccard(spark, table):
-    docs = list(enumerate(table[1][:-1]))
-    want, got = brute.op10(docs, 4, 85), rows(spark, "op10", table[0])
-    assert {i: (got[i]["n_shingles"], got[i]["component_id"]) for i in want} == want
+    want, got = brute.op10(list(enumerate(table[1])), 4, 85), rows(spark, "op10", table[0])
+    assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == want
+
+
+def test_shingle_join_rows_without_id(spark, tmp_path):
+    """Rows with a null id link with nothing: neither with equal texts nor as a bridge between two that are not similar."""
+    w = [f"w{i}" for i in range(80)]
+    a, bridge, b = w[:40] + w[46:], w, w[:20] + w[26:]
+    docs = [(7, " ".join(a)), (None, " ".join(bridge)), (8, " ".join(b)), (None, " ".join(a)), (9, " ".join(a)), (None, None)]
+    got = query("op10")(spark, data.write(tmp_path, docs=docs)).collect()
+    n = lambda x: len(x) - 3
+    assert sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"] or 0) for r in got) == sorted(
+        [(7, n(a), 7), (0, n(bridge), 0), (8, n(b), 8), (0, n(a), 0), (9, n(a), 7), (0, 0, 0)])
 
 
 @pytest.mark.parametrize("name", [f"op{n}" for n in range(1, 11)])
