@@ -119,6 +119,25 @@ def prediction_series(test: DataFrame, ts: str, y: str, yhat: str, window: int =
     return s.withColumn("residual", F.col("actual") - F.col("predicted_smooth"))
 
 
+def calibrated(df: DataFrame, train: DataFrame, y: str, yhat: str, out: str = "pred") -> DataFrame:
+    """M11 applied: ``df`` with its predictions moved by the line of the training rows."""
+    line = calibration(train, y, yhat).select(F.col("slope").alias("_slope"), F.col("intercept").alias("_intercept"))
+    return df.crossJoin(F.broadcast(line)).withColumn(out, F.col("_slope") * F.col(yhat) + F.col("_intercept")).drop("_slope", "_intercept")
+
+
+def in_price_units(df: DataFrame, *cols: str) -> DataFrame:
+    """``cols`` (z-scored logs) in the target's own units; ``df`` holds ``t_mean`` and ``t_std``."""
+    return df.withColumns({c: inverse_target(F.col(c)) for c in cols})
+
+
+def prediction_summary(df: DataFrame, y: str, yhat: str) -> DataFrame:
+    """M14's figures, one row: rows, correlation of actual and predicted, and both means. Null without two rows, or
+    where one side is constant."""
+    corr = F.try_divide(F.covar_samp(y, yhat), F.stddev_samp(y) * F.stddev_samp(yhat))   # corr() itself raises on a constant
+    return df.agg(F.count(F.lit(1)).alias("n"), corr.alias("correlation"),
+                  F.avg(y).alias("actual_mean"), F.avg(yhat).alias("predicted_mean"))
+
+
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
     from pyspark.ml.feature import VectorAssembler
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="error").transform(

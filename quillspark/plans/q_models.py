@@ -204,6 +204,37 @@ def train_all(spark, d, specs: dict | None = None, save_to: str | None = None):
     return df.orderBy(F.col("test_r2").desc_nulls_last()), models, (tr, te)
 
 
+def best_model(spark, d, specs: dict | None = None):
+    """Name and model of the saved winner (S8); the candidates are trained first where none is saved yet."""
+    specs = specs or MODEL_SPECS
+    path = _model_path(spark, d, "best", specs)
+    if sinks.load_model(spark, path) is None:
+        train_all(spark, d, specs)
+    return sinks.model_name(spark, path), sinks.load_model(spark, path)
+
+
+def _winner_test(spark, d, specs: dict | None = None):
+    """The winner's name, and the test rows with its prediction and the calibrated one, as z-scored logs."""
+    name, model = best_model(spark, d, specs)
+    tr, te, _stats = _training_sets(spark, d)
+    return name, rg.calibrated(_predict(model, te), _predict(model, tr), "y", "prediction")
+
+
+def winner_series(spark, d, specs: dict | None = None):
+    """Q8 + M14: the saved winner's calibrated test predictions in price units, smoothed over 7 test rows."""
+    _name, t = _winner_test(spark, d, specs)
+    return rg.prediction_series(rg.in_price_units(t, "y", "pred"), "timestamp", "y", "pred", 7)
+
+
+def winner_summary(spark, d, specs: dict | None = None):
+    """Q8 + M14 + M9: the saved winner's name, correlation and means of its calibrated test predictions, and the
+    direction accuracy of its uncalibrated ones, in price units."""
+    name, t = _winner_test(spark, d, specs)
+    t = rg.in_price_units(t, "y", "pred", "prediction")
+    side = rg.direction_accuracy(t, "y", "prediction").select("accuracy")
+    return rg.prediction_summary(t, "y", "pred").crossJoin(F.broadcast(side)).select(F.lit(name).alias("model"), "*")
+
+
 def leaderboard(spark, d, specs: dict | None = None):
     return train_all(spark, d, specs)[0]
 
@@ -328,8 +359,8 @@ SQL_CALIBRATION = _STANDIN_SQL + """SELECT round(regr_slope(y, yhat), 6) AS slop
 
 
 def prediction_series(spark, d):
-    """The series of M14 with M11, of the stand-in prediction: test predictions calibrated by the training line, then
-    smoothed over 7 test rows. M14's inverse scaling, correlation and means are not part of it."""
+    """The series of M14 with M11, of the stand-in prediction in its own units: test predictions calibrated by the
+    training line, then smoothed over 7 test rows. ``prediction_prices`` scales back from z-scored logs."""
     s = _standin(spark, d)
     c = rg.calibration(s.where("is_train"), "y", "yhat")
     t = s.where(~F.col("is_train")).crossJoin(F.broadcast(c)).withColumn(
@@ -345,6 +376,47 @@ sm AS (SELECT *, CASE WHEN count(predicted) OVER w = 7 THEN avg(predicted) OVER
        WINDOW w AS (ORDER BY Date ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING))
 SELECT Date, actual, round(predicted, 6) AS predicted, round(ps, 6) AS predicted_smooth, round(actual - ps, 6) AS residual FROM sm"""
 
+
+def _standin_test(spark, d):
+    """The stand-in's test rows as z-scored logs, calibrated, then back in price units."""
+    s = _standin(spark, d)
+    stats = rg.target_stats(s.where("is_train"), "y")
+    z = rg.normalize_target(s, stats, "y", out="z").withColumn("zhat", (F.ln("yhat") - F.col("t_mean")) / F.col("t_std"))
+    t = rg.calibrated(z.where(~F.col("is_train")), z.where("is_train"), "z", "zhat")
+    return rg.in_price_units(t, "z", "pred", "zhat")
+
+
+_STANDIN_TEST_SQL = _STANDIN_SQL + """, st AS (SELECT avg(ln(y)) AS m, stddev_samp(ln(y)) AS s FROM si WHERE is_train),
+z AS (SELECT Date, is_train, (ln(y) - m) / s AS z, (ln(yhat) - m) / s AS zhat, m, s FROM si, st),
+c AS (SELECT regr_slope(z, zhat) AS sl, regr_intercept(z, zhat) AS ic FROM z WHERE is_train),
+t AS (SELECT Date, exp(z * s + m) AS actual, exp((sl * zhat + ic) * s + m) AS predicted, exp(zhat * s + m) AS uncalibrated FROM z, c WHERE NOT is_train)
+"""
+
+
+def prediction_prices(spark, d):
+    """M14 whole, of the stand-in prediction: calibrated as z-scored logs, scaled back, smoothed over 7 test rows."""
+    p = rg.prediction_series(_standin_test(spark, d), "Date", "z", "pred", 7)
+    return p.select("Date", *[r6(c).alias(c) for c in ("actual", "predicted", "predicted_smooth", "residual")])
+
+
+SQL_PRED_PRICES = _STANDIN_TEST_SQL + """, sm AS (SELECT *, CASE WHEN count(predicted) OVER w = 7 THEN avg(predicted) OVER w END AS ps FROM t
+       WINDOW w AS (ORDER BY Date ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING))
+SELECT Date, round(actual, 6) AS actual, round(predicted, 6) AS predicted, round(ps, 6) AS predicted_smooth, round(actual - ps, 6) AS residual FROM sm"""
+
+
+def prediction_summary(spark, d):
+    """M14's figures and M9 after inverse scaling, of the stand-in prediction."""
+    t = _standin_test(spark, d)
+    side = rg.direction_accuracy(t, "z", "zhat").select("accuracy")
+    s = rg.prediction_summary(t, "z", "pred").crossJoin(F.broadcast(side))
+    return s.select("n", *[r6(c).alias(c) for c in ("correlation", "actual_mean", "predicted_mean", "accuracy")])
+
+
+SQL_PRED_SUMMARY = _STANDIN_TEST_SQL + """, a AS (SELECT avg(actual) AS th FROM t)
+SELECT count(*) AS n, round(corr(actual, predicted), 6) AS correlation, round(avg(actual), 6) AS actual_mean, round(avg(predicted), 6) AS predicted_mean,
+ round(avg(CASE WHEN (uncalibrated > th) = (actual > th) THEN 1.0 ELSE 0.0 END) * 100.0, 6) AS accuracy FROM t, a"""
+
+
 REGISTRY = {
     "daily_features": (daily_features, None),
     "feature_overview": (feature_overview, None),
@@ -356,7 +428,11 @@ REGISTRY = {
     "direction_confusion": (direction_confusion, SQL_CONFUSION),
     "calibration_line": (calibration_line, SQL_CALIBRATION),
     "prediction_series": (prediction_series, SQL_PRED_SERIES),
+    "prediction_prices": (prediction_prices, SQL_PRED_PRICES),
+    "prediction_summary": (prediction_summary, SQL_PRED_SUMMARY),
     "leaderboard": (leaderboard, None),
+    "winner_series": (winner_series, None),
+    "winner_summary": (winner_summary, None),
     "importance_top15": (importance_top15, None),
     "boosting_curve": (boosting_curve, None),
     "validation_curve": (validation_curve, None),
