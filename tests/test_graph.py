@@ -81,3 +81,22 @@ def test_community_before_moves_matches_published_check(spark):
     from quillspark.plans import q_graph as qg
     top = qg.community_before_moves(spark, SF_MID).orderBy("rank").first()
     assert top.community == 9 and abs(top.diff - 0.057348) < 1e-6 and top.label == "Comm 9"
+
+
+def test_last_similar_is_what_all_pairs_give(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, X.tolist(), int(s), int(p)) for i, (X, s, p) in enumerate(zip(rng.normal(size=(90, 4)), rng.choice([1, 2, 19, 20, 25], 90), rng.permutation(90)))]
+    comms = spark.createDataFrame(rows, "community long, centroid array<double>, size long, pos long")
+    pairs = vx.similarity_pairs(comms.select("community", "centroid"), "community", "centroid", 0.3, block_rows=20)
+    want = {r.node: r.target for r in gx.merge_targets(comms, pairs).collect()}
+    for block_rows in (20, 4096):
+        got = {r.node: r.target for r in vx.last_similar(comms, "community", "centroid", "size", "pos", 20, 0.3, block_rows).collect()}
+        assert got == want and want
+
+
+def test_blocks_are_not_copied_through_an_exchange(spark):
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, X.tolist()) for i, X in enumerate(rng.normal(size=(64, 4)))], "id long, v array<double>")
+    for out in (vx.knn(df, "id", "v", 3, block_rows=8), vx.similarity_pairs(df, "id", "v", 0.5, block_rows=8)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" in plan and "CoGroup" not in plan
