@@ -130,3 +130,24 @@ def test_scan_gives_what_the_single_features_give(spark):
     words = tf.day_words(s, "day", ["row_id"])
     by_words = sorted(map(tuple, tf.hash_embeddings_of(words, "day", 8).collect()))
     assert by_words == sorted(map(tuple, tf.hash_embeddings(tf.day_tokens(df, "day", ["row_id"]), "day", dim=8).collect()))
+
+
+def test_totals_over_more_days_than_a_mask_holds(spark):
+    """Days are bits of 64-day masks: document frequencies and totals are those of a plain count by day."""
+    from quillspark.operators import text_features as tf
+    rows = [(d, f"t{t}") for d in range(150) for t in range(12) for _ in range(1 + (d * t) % 3) if (d + t) % (t + 1) == 0]
+    df = spark.createDataFrame(rows, "day int, term string")
+    days = df.select("day").distinct().select("day", F.col("day").cast("long").alias("_di"))
+    want = sorted((t, len({d for d, x in rows if x == t}), sum(x == t for _, x in rows)) for t in {x for _, x in rows})
+    assert sorted(map(tuple, tf._totals(df, "day", days, 150).collect())) == want
+    few = df.where("day < 64")
+    assert {(r[0], r[1]) for r in tf._totals(few, "day", days.where("day < 64"), 64).collect()} == {
+        (t, len({d for d, x in rows if x == t and d < 64})) for t in {x for d, x in rows if d < 64}}
+
+
+def test_tfidf_counts_its_own_words_as_given_ones(spark):
+    df = spark.createDataFrame(POSTS, "day int, row_id long, text string")
+    s = tf.scan(df, "day", ["row_id"])
+    found = [tf.tfidf_of(s, words, "day", ["row_id"], max_df=1.0) for words in (None, tf.day_words(s, "day", ["row_id"]))]
+    a, b = ([sorted(map(tuple, x.collect())) for x in two] for two in found)
+    assert a == b and a[0] and a[1]
