@@ -36,3 +36,15 @@ def test_keep_first_dedupe_and_repartition_invariance(spark):
 def test_clean_texts_have_no_double_blanks(spark):
     t = qc.clean_originals(spark, SF_SMALL)
     assert t.where(F.col("text").contains("  ") | (F.col("text") != F.trim("text"))).count() == 0
+
+
+def test_texts_are_not_moved_for_counts(spark):
+    """Where only authors are counted, the ranking of duplicates holds digests and flags, no texts."""
+    def windows(node):
+        kids = node.children()
+        own = [node.output().mkString(",")] if node.nodeName() == "Window" else []
+        return own + [w for i in range(kids.size()) for w in windows(kids.apply(i))]
+
+    r = qc.clean_retweets(spark, SF_SMALL).groupBy("originalAuthor").count()
+    found = windows(r._jdf.queryExecution().optimizedPlan())
+    assert found and not any(name in w for w in found for name in ("tweet#", "_clean#", "text#"))
