@@ -58,3 +58,15 @@ def test_linear_svr_wide_epsilon_is_flat(spark):
     assert abs(w[0]) < 1e-12 and abs(b) < 1e-12
     w2, b2 = rg.linear_svr(df.withColumn("y", F.col("x") * 2.0), ["x"], "y", C=10.0, epsilon=0.1, lr=20.0, tol=1e-2, patience=15)
     assert abs(w2[0] - 2) < 0.1 and abs(b2) < 1
+
+
+def test_forest_rows_keep_their_nodes(spark, monkeypatch):
+    """A forest's fit doesn't send the trees grown so far with every level's tasks."""
+    import pyspark.ml.regression as reg
+
+    from quillspark.plans import q_models as qm
+    made, init = [], reg.RandomForestRegressor.fit
+    monkeypatch.setattr(reg.RandomForestRegressor, "fit", lambda self, df: made.append(self) or init(self, df))
+    df = spark.createDataFrame([(float(i), float(i % 3)) for i in range(40)], "x double, y double")
+    qm._fit("rf", rg.assemble(df, ["x"]), dict(kind="rf", numTrees=3, maxDepth=3, seed=1))
+    assert made[0].getCacheNodeIds()
