@@ -120,7 +120,7 @@ def routed_files(spark, d):
     with types and null tokens, whole texts with quotes and line ends included: what has come back of it."""
     path = _scratch(spark)
     out = routed(spark, d).select(F.col("row_id").alias("post_id"), "kind", "text", *CARRIED)
-    sinks.write_table(out, path, "csv", partition_by=["kind"])
+    sinks.write_table(out, path, "csv", partition_by=["kind"], compression="gzip")     # whole texts: a third of their size
     back = None
     for kind in cl.KINDS:
         part = csv_source.read_stage_csv(spark, f"{path}/kind={kind}").withColumn("kind", F.lit(kind))

@@ -90,3 +90,19 @@ def test_save_model_writes_model_metadata_and_features(spark, scratch_dir):
     assert [r[0] for r in spark.read.option("header", True).csv(out + "/feature_columns").collect()] == ["a", "b"]
     from pyspark.ml.regression import RandomForestRegressionModel
     assert RandomForestRegressionModel.load(out + "/model").getNumTrees == 5
+
+
+def test_routed_files_are_compressed(spark, monkeypatch):
+    """The routed posts' files hold whole texts: they are written compressed, and what comes back is the same."""
+    import os
+
+    from conftest import SF_SMALL
+    from quillspark.plans import q_cleaning as qc
+    found = []
+    scratch = qc._scratch
+    monkeypatch.setattr(qc, "_scratch", lambda s: found.append(scratch(s)) or found[-1])
+    back = {r["kind"]: (r["n_rows"], r["id_sum"]) for r in qc.routed_files(spark, SF_SMALL).collect()}
+    files = [f for _d, _s, fs in os.walk(found[0].removeprefix("file:")) for f in fs if f.startswith("part-")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    rows = qc.routed(spark, SF_SMALL).groupBy("kind").agg({"row_id": "sum", "*": "count"}).collect()
+    assert back == {r["kind"]: (r["count(1)"], r["sum(row_id)"]) for r in rows}
