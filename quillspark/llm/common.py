@@ -15,6 +15,8 @@ from ..session import cut_lineage, drop_table
 
 #: Bytes of text that a kernel holds at a time; larger single texts are processed alone.
 SLICE_BYTES = 1 << 20
+#: ...and a kernel whose arrays are tens of times as large as the text.
+SMALL_SLICE = 1 << 18
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -32,20 +34,20 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]: offsets[-1]], offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Cut a batch into runs of rows of about ``SLICE_BYTES`` of text, at least one row each."""
+def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of rows of about ``size`` bytes of text, at least one row each."""
     _, offsets = utf8(batch.column(column))
     n, at = batch.num_rows, 0
     while at < n:
-        end = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1
+        end = int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1
         end = min(max(end, at + 1), n)
         yield batch.slice(at, end - at)
         at = end
 
 
 def with_kernel(df: DataFrame, column: str, new: T.StructType,
-                kernel: Callable[[], Callable[[pa.RecordBatch], list]]) -> DataFrame:
-    """Append the columns ``new`` that ``kernel`` computes from slices of ``df``; columns of the same name go.
+                kernel: Callable[[], Callable[[pa.RecordBatch], list]], size: int = SLICE_BYTES) -> DataFrame:
+    """Append the columns ``new`` that ``kernel`` computes from slices of ``df`` (of about ``size`` bytes); columns of the same name go.
 
     ``kernel()`` runs once in each task (it may build tables) and returns the function of a slice."""
     df = df.drop(*[f.name for f in new if f.name in df.columns])
@@ -56,7 +58,7 @@ def with_kernel(df: DataFrame, column: str, new: T.StructType,
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            for part in slices(batch, column):
+            for part in slices(batch, column, size):
                 yield pa.RecordBatch.from_arrays([*part.columns, *f(part)], names=[*part.schema.names, *[x.name for x in new]])
 
     return df.mapInArrow(run, out)

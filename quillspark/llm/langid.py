@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import schema, utf8, with_kernel
+from .common import SMALL_SLICE, schema, utf8, with_kernel
 
 BUCKET_BITS = 15
 SIZES = (2, 3, 4)
@@ -94,7 +94,7 @@ def sample_counts(labelled: DataFrame, doc_id: str, text: str, lang: str, sample
             return [pa.array(p, pa.binary()) for p in packed]
         return f
 
-    counted = with_kernel(picked, "text", schema("bucket binary, n binary"), kernel).drop("text")
+    counted = with_kernel(picked, "text", schema("bucket binary, n binary"), kernel, SMALL_SLICE).drop("text")
     # bounded by sample_rows x buckets, packed
     rows = counted.orderBy("_h", "lang").limit(sample_rows).collect()
     return [(r["lang"], np.frombuffer(r["bucket"], "<i4"), np.frombuffer(r["n"], "<i4")) for r in rows]
@@ -189,4 +189,4 @@ def predict(df: DataFrame, text: str, model: Model | None) -> DataFrame:
 
         return f
 
-    return with_kernel(df, text, schema("lang_pred string, score double, rejected boolean"), kernel)
+    return with_kernel(df, text, schema("lang_pred string, score double, rejected boolean"), kernel, SMALL_SLICE)

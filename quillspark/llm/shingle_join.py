@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import components, drop_table, list_column, schema, slices, utf8, with_kernel, word_hashes, words_of
+from .common import SMALL_SLICE, components, drop_table, list_column, schema, slices, utf8, with_kernel, word_hashes, words_of
 
 IS_WORD = np.array([not (b == 32 or 9 <= b <= 13) for b in range(256)])
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
@@ -89,10 +89,10 @@ def digests_and_sketch(docs: DataFrame, k: int) -> DataFrame:
         sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
         names = ["doc_id", "n", "digest", "chunk", "counts"]
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SMALL_SLICE):
                 sets = shingle_sets(part.column("text"), k)
                 if any(map(len, sets)):
-                    sketch += np.bincount(counter(np.concatenate(sets)), minlength=1 << SKETCH_BITS).astype(np.uint32)
+                    np.add.at(sketch, counter(np.concatenate(sets)), np.uint32(1))
                 m = part.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
@@ -153,7 +153,7 @@ def prefixes(docs: DataFrame, k: int, sketch: np.ndarray, percent: int) -> DataF
     noise = float(np.median(sketch)) + 3 * float(np.sqrt(np.median(sketch) + 1))
 
     def kernel():
-        counts = sent.value.astype(np.int64)
+        counts = sent.value
 
         def f(batch):
             n, m, common, tokens = [], [], [], []
@@ -168,7 +168,7 @@ def prefixes(docs: DataFrame, k: int, sketch: np.ndarray, percent: int) -> DataF
 
         return f
 
-    return with_kernel(docs, "text", schema("n bigint, matches int, common int, tokens array<bigint>"), kernel).drop("text")
+    return with_kernel(docs, "text", schema("n bigint, matches int, common int, tokens array<bigint>"), kernel, SMALL_SLICE).drop("text")
 
 
 def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -213,7 +213,7 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
         at, centre = None, None
         for batch in batches:
             out = ([], [])
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SMALL_SLICE):
                 cols = [part.column(c).to_pylist() for c in ("a", "salt", "role", "doc_id")]
                 for a, salt, role, doc, s in zip(*cols, shingle_sets(part.column("text"), k)):
                     if role == 0:

@@ -4,6 +4,7 @@ import random
 import re
 import sys
 import tempfile
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -337,3 +338,28 @@ def test_windows_of_items_without_id_hit(spark, tmp_path):
     got = queries.op2_decontaminate(spark, path).select(*names).collect()
     assert sorted(map(tuple, got)) == rows
     assert (rows[0][2], rows[0][3], rows[0][5]) == (12, 0, True)
+
+
+def test_shingle_kernel_holds_little():
+    """8 MB of text in one batch: the kernel's arrays are bounded by its slices, and the sketch counts every shingle."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    texts = [" ".join(map(str, rng.integers(0, 10**6, 300))) for _ in range(4000)]
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts)})
+
+    class Rows:
+        def mapInArrow(self, run, schema):
+            return run
+
+    run = shingle_join.digests_and_sketch(Rows(), 5)
+    n = total = 0
+    tracemalloc.start()
+    for out in run([batch]):
+        for r in out.to_pylist():
+            n += r["n"] or 0
+            total += int(np.frombuffer(zlib.decompress(r["counts"]), np.uint32).sum()) if r["counts"] is not None else 0
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == total == 4000 * 296
+    assert most < 50e6
