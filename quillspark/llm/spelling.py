@@ -12,7 +12,8 @@ tells how its words may end.
 
 One edit leaves the first half or the second half of a word as it was. So there are two tries in the one table, of the
 words and of the words reversed, and a state may spend its edit only behind its exact half: the frontier stays where the
-tries are sparse. The first ``STEM`` code points are walked at once, as no edit may lie in them.
+tries are sparse. The first ``STEM`` code points are walked at once, as no edit may lie in them. A pair is looked for from
+one side only, by deleting a code point or putting a greater one in its place, and is then written both ways round.
 
 ``groups`` adds each word's form (its near word of most occurrences, if that is ten times its own) and root.
 
@@ -164,9 +165,11 @@ _ENDS = "transform(filter(tails, t -> {cond}), t -> named_struct('node', concat(
 _BEHIND = """named_struct('node', child, 'rest', substring(rest, {cut} + 1), 'edits',
     case when {cut} = length(rest) then case when child_n is not null then 2 end
          when length(rest) - {cut} < """ + str(END) + " or " + _MAY_END.format(end=_END.format(word="rest", length="length(child) + length(rest) - {cut}")) + """ then 1 end, 'near_n', child_n)"""
-#: One edit between a bucket's word and the rest, or between a label and as much of the rest.
-_NEAR = "abs(length(t.rest) - length(rest)) <= 1 and levenshtein(t.rest, rest, 1) = 1"
-_CUTS = "transform(filter(sequence(length(label) - 1, length(label) + 1), c -> c >= exact and c <= length(rest) and levenshtein(substring(rest, 1, c), label, 1) = 1), c -> " + _BEHIND.format(cut="c") + ")"
+#: One edit between a bucket's word and the rest, or between a label and as much of the rest: the word has one code point
+#: more, or the lesser of the two replaced ones. The other word of such a pair doesn't look for this one.
+_NEAR = "(length(t.rest) = length(rest) - 1 or length(t.rest) = length(rest) and rest < t.rest) and levenshtein(t.rest, rest, 1) = 1"
+_CUTS = """transform(filter(sequence(length(label), length(label) + 1), c -> c >= exact and c <= length(rest)
+    and (c > length(label) or substring(rest, 1, c) < label) and levenshtein(substring(rest, 1, c), label, 1) = 1), c -> """ + _BEHIND.format(cut="c") + ")"
 _NONE = "array()"
 
 
@@ -192,7 +195,7 @@ def _step(states: DataFrame) -> DataFrame:
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """Rows ``(word, near, near_n)``: for every word of ``words (word, n)`` all others at one edit, both ways round.
-    Words need ``2 * STEM`` code points or more."""
+    The longer word of a pair, or of two as long the one that comes first, looks for the other. Words need ``2 * STEM`` code points or more."""
     ways = []
     for mark, spelt, half in ((">", F.col("word"), "floor(length(word) / 2)"), ("<", F.reverse("word"), "length(word) - floor(length(word) / 2)")):
         ways.append(words.select("word", "n", F.expr(half).cast("int").alias("half"), F.concat(F.lit(mark), F.substring(spelt, 1, STEM)).alias("node"),
@@ -202,13 +205,15 @@ def near_pairs(words: DataFrame) -> DataFrame:
     found, levels = None, []
     while True:
         levels.append(level)
-        pairs = level.where("edits = 2").select("word", F.expr(
+        pairs = level.where("edits = 2").select("word", "n", F.expr(
             "case when startswith(node, '>') then substring(node, 2) else reverse(substring(node, 2)) end").alias("near"), "near_n")
         found = pairs if found is None else found.unionByName(pairs)
         if not level.where("edits < 2").limit(1).count():
             break
         level = cut_lineage(_step(level))
-    out = cut_lineage(found.distinct())
+    # each pair was looked for from one side
+    both = found.distinct().select(F.expr("inline(array(struct(word, near, near_n), struct(near as word, word as near, n as near_n)))"))
+    out = cut_lineage(both)
     for table in levels:
         drop_table(table)
     return out

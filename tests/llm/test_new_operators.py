@@ -127,6 +127,25 @@ def test_near_pairs_and_groups(spark, monkeypatch, bucket):
         assert (got[w]["form"], got[w]["root"], got[w]["n"], got[w]["n_near"], got[w]["form_n"]) == (form[w], root, n[w], len(near[w]), n.get(form[w])), w
 
 
+def test_near_pairs_are_looked_for_from_one_side(spark, monkeypatch):
+    step, found = spelling._step, []
+
+    def spied(states):
+        out = step(states)
+        for r in out.where("edits = 2").select("word", "node").distinct().collect():
+            near = r["node"][1:] if r["node"][0] == ">" else r["node"][:0:-1]
+            found.append((r["word"], near))
+        return out
+
+    monkeypatch.setattr(spelling, "_step", spied)
+    words = ["abcdefgh", "abcdefgx", "abcdefg", "xbcdefgh", "bcdefgh", "qqqqqqqqq"]
+    df = spark.createDataFrame([(w, k + 2) for k, w in enumerate(words)], "word string, n long")
+    got = {(r["word"], r["near"], r["near_n"]) for r in spelling.near_pairs(df).collect()}
+    pairs = [("abcdefgh", "abcdefgx"), ("abcdefgh", "abcdefg"), ("abcdefgx", "abcdefg"), ("abcdefgh", "xbcdefgh"), ("abcdefgh", "bcdefgh"), ("xbcdefgh", "bcdefgh")]
+    assert got == {(a, b, words.index(b) + 2) for x in pairs for a, b in (x, x[::-1])}
+    assert set(found) == set(pairs)                  # all, and none from the other side too
+
+
 def test_spelling_query(spark, tmp_path):
     rng = random.Random(6)
     stock = ["".join(rng.choice("abcdeÀé") for _ in range(rng.randrange(6, 11))) for _ in range(40)]
