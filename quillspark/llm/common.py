@@ -146,11 +146,13 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
                               F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("p")).select("p.u", "p.v")
         nxt = cut_lineage(small.where("u <> v").distinct())
         # a fixpoint: every node has one link, and what it links to has none
-        worst = nxt.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
-        chain = nxt.join(nxt.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count() if not worst else 1
+        ends = nxt.select(F.explode(F.array(F.struct(F.col("u").alias("id"), F.lit(1).alias("up")),
+                                            F.struct(F.col("v").alias("id"), F.lit(0).alias("up")))).alias("p")).select("p.id", "p.up")
+        unfinished = ends.groupBy("id").agg(F.sum("up").alias("ups"), F.min("up").alias("least")).where("ups > 1 or (ups = 1 and least = 0)")
+        settled = not unfinished.limit(1).count()
         drop_table(e)
         e = nxt
-        if not worst and not chain:
+        if settled:
             return e.select(F.col("u").alias("id"), F.col("v").alias("component_id")).unionByName(
                 e.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct())
     raise RuntimeError(f"components: no fixpoint after {max_rounds} rounds")

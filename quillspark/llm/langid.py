@@ -14,6 +14,7 @@ Null texts and texts without a letter get ``und`` with score 0 and are rejected;
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,6 +29,8 @@ SIZES = (2, 3, 4)
 #: Letters stay (A-Z in lower case), all else becomes a word border.
 FOLD = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)], np.uint8)
 NO_LANGUAGE = "und"
+#: Held-back rows whose vectors are averaged at a time on the driver.
+HELD_ROWS = 32
 
 
 def subwords(column) -> tuple[np.ndarray, np.ndarray]:
@@ -72,6 +75,15 @@ class Model:
         return (self.embedding @ self.softmax).astype(np.float32)
 
 
+def packed_numbers(x: np.ndarray) -> bytes:
+    """32-bit integers as their compressed steps: what the driver gets of a text, a fraction of its counts."""
+    return zlib.compress(np.diff(x, prepend=x.dtype.type(0)).tobytes(), 1)
+
+
+def unpacked_numbers(packed: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(packed), "<i4"), dtype="<i4")
+
+
 def sample_counts(labelled: DataFrame, doc_id: str, text: str, lang: str, sample_rows: int) -> list:
     """Bucket counts of about ``sample_rows`` labelled rows picked by a hash of the id (never more); the rest of the
     rows isn't read beyond that pick."""
@@ -90,14 +102,14 @@ def sample_counts(labelled: DataFrame, doc_id: str, text: str, lang: str, sample
             keys, n = np.unique(row.astype(np.int64) << BUCKET_BITS | bucket, return_counts=True)
             cuts = np.searchsorted(keys >> BUCKET_BITS, np.arange(batch.num_rows + 1)).tolist()
             bucket = (keys & ((1 << BUCKET_BITS) - 1)).astype("<i4")
-            packed = [[x[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])] for x in (bucket, n.astype("<i4"))]
+            packed = [[packed_numbers(x[a:b]) for a, b in zip(cuts[:-1], cuts[1:])] for x in (bucket, n.astype("<i4"))]
             return [pa.array(p, pa.binary()) for p in packed]
         return f
 
     counted = with_kernel(picked, "text", schema("bucket binary, n binary"), kernel, SMALL_SLICE).drop("text")
     # bounded by sample_rows x buckets, packed
     rows = counted.orderBy("_h", "lang").limit(sample_rows).collect()
-    return [(r["lang"], np.frombuffer(r["bucket"], "<i4"), np.frombuffer(r["n"], "<i4")) for r in rows]
+    return [(r["lang"], unpacked_numbers(r["bucket"]), unpacked_numbers(r["n"])) for r in rows]
 
 
 def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample_rows: int = 3000,
@@ -143,7 +155,7 @@ def fit(labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: s
             emb[f[cuts]] -= lr * np.add.reduceat((w[:, None] * np.repeat(grad, size, 0))[by], cuts)
     if not len(held):
         return Model(langs, emb, soft, 1.0, 0.0)
-    z = averages(held)[0] @ soft
+    z = np.concatenate([averages(held[s: s + HELD_ROWS])[0] for s in range(0, len(held), HELD_ROWS)]) @ soft
 
     def calibrated(t):
         p = np.exp((z - z.max(1, keepdims=True)) / t)

@@ -112,8 +112,9 @@ def candidates(lines: DataFrame, found: DataFrame, k: int) -> DataFrame:
     entries = lines.select("lid", "h1", "h2", F.explode(F.array(*[
         F.struct(F.lit(longer).alias("longer"), F.lit(s).alias("s"), F.get(F.col(c), s).alias("key"))
         for longer, c in ((0, "own"), (1, "less")) for s in (0, 1)])).alias("e")).select("lid", "h1", "h2", "e.*").where("key is not null")
-    hot = cut_lineage(hot_keys(lines.select(F.lit(0).alias("longer"), F.explode("own").alias("key"))))
-    entries = sifted(entries, sieve(hot, "key"), "key")
+    # a table, as every plan below reads it again
+    hot = cut_lineage(sieve(hot_keys(lines.select(F.lit(0).alias("longer"), F.explode("own").alias("key"))), "key"))
+    entries = sifted(entries, hot, "key")
     pairs = met(entries.where("not _in"))
     if hot.limit(1).count():
         pairs = pairs.unionByName(refined(entries.where("_in").select("lid", "h1", "h2", "longer", "s"), found))
@@ -163,8 +164,8 @@ def refined(entries: DataFrame, found: DataFrame) -> DataFrame:
         halves = F.explode(F.array(F.struct(middle.alias("lo"), F.col("hi").alias("hi")), F.struct(F.col("lo").alias("lo"), middle.alias("hi"))))
         split = state.where("hi - lo > 1").select("lid", "longer", "line", halves.alias("g")).select("lid", "longer", "line", "g.*")
         split = cut_lineage(split.withColumn("key", F.xxhash64(*matched)))
-        hot = cut_lineage(hot_keys(split))
-        parts = sifted(split, sieve(hot, "key"), "key")
+        hot = cut_lineage(sieve(hot_keys(split), "key"))
+        parts = sifted(split, hot, "key")
         pairs.append(cut_lineage(met(parts.where("not _in"))))
         if not hot.limit(1).count():
             return reduce(DataFrame.unionByName, pairs)

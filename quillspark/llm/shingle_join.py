@@ -109,7 +109,7 @@ def digests_and_sketch(docs: DataFrame, k: int) -> DataFrame:
 
 
 def summed_sketch(parts: DataFrame) -> np.ndarray:
-    """The tasks' sketches added up, chunk by chunk; the driver gets 2^SKETCH_BITS counters, whatever the corpus."""
+    """The tasks' sketches added up, chunk by chunk; the driver gets 2^SKETCH_BITS counters of 32 bits, whatever the corpus."""
     def run(batches):
         total: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -117,11 +117,12 @@ def summed_sketch(parts: DataFrame) -> np.ndarray:
                 x = np.frombuffer(zlib.decompress(x), np.uint32).astype(np.int64)
                 total[c] = total[c] + x if c in total else x
         for c, x in total.items():
+            x = np.minimum(x, np.iinfo(np.uint32).max).astype(np.uint32)
             yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([zlib.compress(x.tobytes(), 1)], pa.binary())], names=["chunk", "counts"])
 
-    out = np.zeros(1 << SKETCH_BITS, np.int64)
+    out = np.zeros(1 << SKETCH_BITS, np.uint32)
     for r in parts.repartition("chunk").mapInArrow(run, "chunk int, counts binary").collect():
-        out[r["chunk"] * CHUNK: (r["chunk"] + 1) * CHUNK] = np.frombuffer(zlib.decompress(r["counts"]), np.int64)
+        out[r["chunk"] * CHUNK: (r["chunk"] + 1) * CHUNK] = np.frombuffer(zlib.decompress(r["counts"]), np.uint32)
     return out
 
 
@@ -149,8 +150,9 @@ def prefix(s: np.ndarray, sketch: np.ndarray, noise: float, percent: int) -> tup
 def prefixes(docs: DataFrame, k: int, sketch: np.ndarray, percent: int) -> DataFrame:
     """``(doc_id, n, matches, common, tokens)``: prefix of every document with shingles, and how many of its shingles
     the sketch knows as frequent."""
-    sent = docs.sparkSession.sparkContext.broadcast(sketch.astype(np.uint32))
-    noise = float(np.median(sketch)) + 3 * float(np.sqrt(np.median(sketch) + 1))
+    sent = docs.sparkSession.sparkContext.broadcast(sketch)
+    middle = float(np.median(sketch))
+    noise = middle + 3 * float(np.sqrt(middle + 1))
 
     def kernel():
         counts = sent.value
@@ -176,10 +178,10 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     before anything is shuffled."""
     bits = 24
     place = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - bits)
-    filled = (ids.select(place.alias("bit")).groupBy(F.expr("bit >> 6").alias("w")).agg(F.bit_or(F.expr("1L << CAST(bit & 63 AS INT)")).alias("b")).collect())
+    # at most 2^18 rows, as columns: 4 MB on the driver
+    filled = ids.select(place.alias("bit")).groupBy(F.expr("bit >> 6").alias("w")).agg(F.bit_or(F.expr("1L << CAST(bit & 63 AS INT)")).alias("b")).toArrow()
     bitmap = np.zeros(1 << (bits - 6), np.int64)
-    for r in filled:                                              # at most 2^18 rows
-        bitmap[r["w"]] = r["b"]
+    bitmap[filled["w"].to_numpy()] = filled["b"].to_numpy()
     sent = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches):

@@ -363,3 +363,40 @@ def test_shingle_kernel_holds_little():
     tracemalloc.stop()
     assert n == total == 4000 * 296
     assert most < 50e6
+
+
+def test_language_fit_holds_few_vectors_at_a_time(monkeypatch):
+    """Held-back rows are averaged some at a time: the driver never holds a vector for each of all their subwords."""
+    import tracemalloc
+    rng = np.random.default_rng(2)
+    rows = [("ab"[i % 2], np.sort(rng.choice(1 << langid.BUCKET_BITS, 4000, replace=False)).astype("<i4"), np.ones(4000, "<i4")) for i in range(600)]
+    for _, bucket, n in rows[:5]:
+        for x in (bucket, n, bucket[::-1].copy()):
+            assert (langid.unpacked_numbers(langid.packed_numbers(x)) == x).all()
+    monkeypatch.setattr(langid, "sample_counts", lambda *a: rows)
+    tracemalloc.start()
+    langid.fit(None, epochs=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 45e6                                            # 600 x 4000 weights are 9.6 MB of it
+
+
+def test_ids_reach_the_driver_as_columns(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(300)], "doc_id bigint, text string")
+    ids = docs.where("doc_id % 3 = 0").select("doc_id")
+    with monkeypatch.context() as m:
+        m.setattr(type(ids), "collect", lambda self: pytest.fail("rows as Python objects"))
+        some = shingle_join.texts_of(docs, ids)
+    got = {r["doc_id"] for r in some.collect()}
+    assert set(range(0, 300, 3)) <= got and len(got) < 150
+
+
+def test_sieves_of_hot_segments_are_tables(spark, monkeypatch):
+    """A level's sieve is read by several plans: it is made once, not by each of them."""
+    made, plain = [], line_dedup.sifted
+    monkeypatch.setattr(line_dedup, "sifted", lambda df, words, *c: made.append((c, words)) or plain(df, words, *c))
+    lines = [f"the one shared start of lines {c}{d} and end" for c in "abcdefgh" for d in "0123456"]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    assert line_dedup.dedup(df, "doc_id", "text").where("size(removed) = 0").count() == 1
+    plans = [w._jdf.queryExecution().executedPlan().toString() for c, w in made if c == ("key",)]
+    assert len(plans) > 1 and not any("Exchange" in p for p in plans)
