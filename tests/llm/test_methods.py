@@ -323,6 +323,29 @@ def test_pipeline_stages_keep_the_columns(spark, tmp_path):
     assert corpus_pipeline.run(spark, data.write(tempfile.mkdtemp(prefix="quill-run-"), docs=[])).count() == 0
 
 
+@pytest.mark.parametrize("stage", [f for name, f in corpus_pipeline.STAGES if name != "line_dedup"])
+def test_stages_send_texts_in_small_batches(spark, stage):
+    """A split of several MB isn't one batch; a longer text is one of its own; a size that the session names stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    path = data.write(tempfile.mkdtemp(prefix="quill-run-"), docs=["word other " * 1000] * 400 + ["long text " * 300_000, "end"])
+    docs = spark.read.parquet(path + "/documents.parquet").coalesce(1)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "bytes"])
+
+    try:
+        stage(spark, docs, path)
+        got = docs.select("text").mapInArrow(sizes, "n long, bytes long").collect()
+        assert sum(r["n"] for r in got) == 402 and len(got) >= 4
+        assert max(r["bytes"] for r in got if r["bytes"] < 3_000_000) < 1_200_000
+        spark.conf.set(key, "64m")
+        stage(spark, docs, path)
+        assert spark.conf.get(key) == "64m" and docs.select("text").mapInArrow(sizes, "n long, bytes long").count() == 1
+    finally:
+        spark.conf.unset(key)
+
+
 def test_windows_of_items_without_id_hit(spark, tmp_path):
     """A benchmark row with a null id counts its windows as hits and adds no item, as OP2_SQL does."""
     import duckdb
