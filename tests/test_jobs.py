@@ -145,3 +145,14 @@ def test_cleaned_posts_drop_repeats(spark):
     got = q_models.cleaned_posts(spark.createDataFrame(rows, cols)).collect()
     assert {(r["row_id"], r["source"], r["text"]) for r in got} == {
         (0, "tweets", "a post"), (4, "retweets", "same content"), (7, "replies", "@x hi there")}
+
+
+def test_daily_features_cut_the_texts_once_and_sweep(spark, monkeypatch):
+    """Days are not dealt out by ranges, whose sample reads all texts a time more; each step's shuffle files go before the next."""
+    from quillspark import session
+    from quillspark.operators import text_features as tf
+    monkeypatch.setattr(type(spark.range(0)), "repartitionByRange", lambda *a: pytest.fail("a sample of ranges"))
+    swept = []
+    for where in (q_models, tf):
+        monkeypatch.setattr(where, "sweep", lambda s: swept.append(1) or session.sweep(s))
+    assert q_models.daily_features(spark, SF_SMALL).count() == 910 and len(swept) >= 4
