@@ -100,3 +100,21 @@ def test_blocks_are_not_copied_through_an_exchange(spark):
     for out in (vx.knn(df, "id", "v", 3, block_rows=8), vx.similarity_pairs(df, "id", "v", 0.5, block_rows=8)):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" in plan and "CoGroup" not in plan
+
+
+def test_knn_few_and_many_pairs_reach_the_threshold(spark, monkeypatch):
+    """Where few pairs reach the threshold no row's k-th key is looked for; the neighbours are those of brute force."""
+    import numpy as np
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 6))
+    x[40] = x[41] = x[42]                                             # ties
+    df = spark.createDataFrame([(i, [float(t) for t in v]) for i, v in enumerate(x)], "id long, v array<double>")
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    s = u @ u.T
+    for least in (-1.0, 0.2, 0.9):
+        got = {}
+        for r in vx.knn(df, "id", "v", 4, threshold=least, block_rows=90).collect():
+            got.setdefault(r["src"], []).append((r["rank"], r["dst"]))
+        for i in range(300):
+            want = [j for j in sorted(range(300), key=lambda j: (-round(s[i, j], 12), j)) if j != i and s[i, j] >= least][:4]
+            assert [j for _r, j in sorted(got.get(i, []))] == want
